@@ -29,6 +29,7 @@ VIEW_SQL = {
     "scored_docs": V.SCORED_DOCS_SQL,
     "subscribers": V.SUBSCRIBERS_SQL,
     "shop_orders": V.SHOP_ORDERS_SQL,
+    "odds": V.ODDS_SQL,
 }
 
 

@@ -507,3 +507,33 @@ shop_orders AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
+
+
+# ------------------------------------------------------------ odds polls
+
+def odds(spark: SparkSession, sf: str) -> DataFrame:
+    """Polled quotes: one row per poll (event). game = user, teams from the
+    user key, American moneylines from the event value."""
+    e = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    hi = F.col("value") >= 250
+    return e.select(
+        F.col("event_id").alias("poll_id"), F.col("user_id").alias("game_key"),
+        F.col("ts").alias("fetched_at"), F.to_date("ts").alias("fetch_date"),
+        F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("home_team"),
+        F.concat(F.lit("NATION_"), ((F.col("user_id") + 7) % 25).cast("string")).alias("away_team"),
+        F.when(hi, F.col("value") - 100).otherwise(-(F.col("value") + 100)).alias("home_ml"),
+        F.when(hi, -F.col("value")).otherwise(F.col("value") + 50).alias("away_ml"),
+        F.col("event_type").alias("book"),
+    )
+
+
+ODDS_SQL = """
+odds AS (
+  SELECT event_id AS poll_id, user_id AS game_key, ts AS fetched_at, CAST(ts AS DATE) AS fetch_date,
+         'NATION_' || CAST(user_id % 25 AS VARCHAR) AS home_team,
+         'NATION_' || CAST((user_id + 7) % 25 AS VARCHAR) AS away_team,
+         CASE WHEN value >= 250 THEN value - 100 ELSE -(value + 100) END AS home_ml,
+         CASE WHEN value >= 250 THEN -value ELSE value + 50 END AS away_ml,
+         event_type AS book
+  FROM events
+)"""
