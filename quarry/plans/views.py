@@ -297,7 +297,7 @@ games AS (
          CASE WHEN a.pts > b.pts OR (a.pts = b.pts AND a.rn % 2 = 1) THEN 'W' ELSE 'L' END AS wl,
          CAST(a.pts > b.pts OR (a.pts = b.pts AND a.rn % 2 = 1) AS INTEGER) AS win,
          a.pts, b.pts AS opp_pts,
-         a.n_orders * 8.0 AS fga, a.n_orders * 2.0 AS fta,
+         CAST(a.n_orders * 8.0 AS DOUBLE) AS fga, CAST(a.n_orders * 2.0 AS DOUBLE) AS fta,
          CAST(a.oreb AS DOUBLE) AS oreb, CAST(a.tov AS DOUBLE) AS tov
   FROM games_slotted a
   JOIN games_slotted b ON a.game_date = b.game_date AND a.league = b.league AND a.slot = b.slot
