@@ -42,8 +42,36 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
-MODULES = ["scans", "filters", "joins", "aggregates", "windows", "topk", "sets", "scalars",
-           "learning", "streams"]
+MODULES = ["scans", "filters", "joins", "aggregates", "windows", "topk", "scalars",
+           "learning", "ml", "streams"]
+
+
+def _zero_sign_safe(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``: a value rounded
+    to zero from below is -0.0 in IEEE arithmetic, while Spark's decimal
+    rounding returns +0.0; adding 0.0 makes both +0.0."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 0, j + len(key) - 1
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _zero_sign_safe(sql[j + len(key):k])
+        out.append(sql[i:j] + "(round(" + inner + ") + 0.0)")
+        i = k + 1
 
 
 def with_views(views, body: str) -> str:
@@ -65,7 +93,7 @@ def query(name: str, sql: str | None = None, views=()):
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, with_views(views, sql) if sql else None)
+        REGISTRY[name] = Query(name, fn, _zero_sign_safe(with_views(views, sql)) if sql else None)
         return fn
     return deco
 
