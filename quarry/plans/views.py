@@ -32,6 +32,16 @@ def _cents(c):
     return F.round(F.col(c) * 100).cast("long")
 
 
+def _net_units(price="l_extendedprice", discount="l_discount"):
+    """price * (1 - discount) in exact 1e-4 units (cents x percent): sums of
+    these are integers, so totals do not depend on summation order."""
+    return _cents(price) * F.round((1 - F.col(discount)) * 100).cast("long")
+
+
+NET_UNITS_SQL = ("CAST(round({p}l_extendedprice * 100) AS BIGINT) * "
+                 "CAST(round((1 - {p}l_discount) * 100) AS BIGINT)")
+
+
 # ---------------------------------------------------------------- flights
 
 def flights(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,7 +198,7 @@ def marketing(spark: SparkSession, sf: str) -> DataFrame:
     """
     li = (read_table(spark, sf, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount"])
           .groupBy("l_orderkey")
-          .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net")))
+          .agg(F.sum(_net_units()).alias("net")))
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
     c = read_table(spark, sf, "customer", ["c_custkey", "c_mktsegment"])
     j = (o.join(c, o.o_custkey == c.c_custkey)
@@ -197,7 +207,7 @@ def marketing(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("c_mktsegment").alias("channel"))
              .agg((F.sum(_cents("o_totalprice")) / 10000.0).alias("spend"),
                   F.count_distinct("o_custkey").alias("new_patients"),
-                  F.coalesce(F.sum("net"), F.lit(0.0)).alias("revenue_attributed")))
+                  F.coalesce(F.sum("net") / 10000.0, F.lit(0.0)).alias("revenue_attributed")))
 
 
 MARKETING_SQL = """
@@ -205,9 +215,9 @@ marketing AS (
   SELECT strftime(o.o_orderdate, '%Y-%m') AS month, c.c_mktsegment AS channel,
          SUM(CAST(round(o.o_totalprice * 100) AS BIGINT)) / 10000.0 AS spend,
          COUNT(DISTINCT o.o_custkey) AS new_patients,
-         COALESCE(SUM(li.net), 0.0) AS revenue_attributed
+         COALESCE(SUM(li.net) / 10000.0, 0.0) AS revenue_attributed
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  LEFT JOIN (SELECT l_orderkey, SUM(l_extendedprice * (1 - l_discount)) AS net
+  LEFT JOIN (SELECT l_orderkey, SUM(""" + NET_UNITS_SQL.format(p="") + """) AS net
              FROM lineitem GROUP BY l_orderkey) li ON o.o_orderkey = li.l_orderkey
   GROUP BY 1, 2
 )"""
@@ -470,7 +480,7 @@ def shop_orders(spark: SparkSession, sf: str) -> DataFrame:
     order join (both sides scale; sort-merge join on the order key)."""
     li = (read_table(spark, sf, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount", "l_shipdate"])
           .groupBy("l_orderkey")
-          .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+          .agg((F.sum(_net_units()) / 10000.0).alias("revenue"),
                F.count(F.lit(1)).alias("n_items"),
                F.min(F.to_date("l_shipdate")).alias("first_ship")))
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
@@ -500,7 +510,7 @@ shop_orders AS (
          CAST(1 + o.o_orderkey % 5 AS INTEGER) AS score,
          o.o_orderpriority AS payment_type
   FROM orders o
-  JOIN (SELECT l_orderkey, SUM(l_extendedprice * (1 - l_discount)) AS revenue, COUNT(*) AS n_items,
+  JOIN (SELECT l_orderkey, SUM(""" + NET_UNITS_SQL.format(p="") + """) / 10000.0 AS revenue, COUNT(*) AS n_items,
                MIN(CAST(l_shipdate AS DATE)) AS first_ship
         FROM lineitem GROUP BY l_orderkey) li ON o.o_orderkey = li.l_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
