@@ -183,3 +183,24 @@ def last_row_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     packed = F.struct(*[F.col(c) for c in others])
     r = df.groupBy(*keys).agg(F.max_by(packed, F.struct(*[F.col(c) for c in order_cols])).alias("_last"))
     return r.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in others])
+
+
+def group_mean_encode(df: DataFrame, key: str, y: str, out: str, fit_on: Column | None = None,
+                      leave_one_out: bool = False, default: Column | float | None = None) -> DataFrame:
+    """Mean of ``y`` per ``key`` attached to every row (target encoding).
+
+    Fitted as a group aggregate on the rows selected by ``fit_on`` (the
+    train split; all rows when None) and joined back, which is cheaper than
+    a window on a hot key. ``leave_one_out`` removes the row's own label
+    from its group mean on fitted rows: (sum - y) / (n - 1). Keys unseen in
+    the fit get ``default`` (the fitted global mean when None).
+    """
+    fit = df if fit_on is None else df.filter(fit_on)
+    stats = fit.groupBy(key).agg(F.sum(y).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    glob = fit.agg(F.avg(y)).scalar() if default is None else (default if isinstance(default, Column)
+                                                                 else F.lit(default))
+    j = df.join(stats, key, "left")
+    own = F.lit(True) if fit_on is None else fit_on
+    plain = F.col("_s") / F.col("_n")
+    loo = F.when(own & (F.col("_n") > 1), (F.col("_s") - F.col(y)) / (F.col("_n") - 1)).otherwise(plain)
+    return j.withColumn(out, F.coalesce(loo if leave_one_out else plain, glob)).drop("_s", "_n")

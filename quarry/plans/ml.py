@@ -12,13 +12,18 @@ from quarry.functions.scalar import round_to
 from quarry.operators import models as ML
 from quarry.operators.metrics import auc_exact
 from quarry.operators.ordered import global_row_number
+from quarry.operators.windows import group_mean_encode
 from quarry.plans import views as V
 from quarry.plans.catalog import query
 from quarry.plans.learning import _rfm
 from quarry.session import scratch_path
 
-DELAY_FEATURES = ["month", "day_of_week", "dep_hour", "distance", "is_evening", "is_summer"]
-DELAY_CATEGORICAL = ["carrier", "origin"]
+DELAY_FEATURES = ["month", "day_of_week", "dep_hour", "distance", "is_evening", "is_summer",
+                  "carrier_rate", "origin_rate", "dest_rate", "route_rate"]
+# Carrier / airport / route keys grow with the data, so they enter the model
+# as delay rates fitted on the train split (group mean encodings), never as
+# tree categoricals.
+ENCODED = {"carrier": "carrier_rate", "origin": "origin_rate", "dest": "dest_rate", "route": "route_rate"}
 
 
 def _flight_features(spark, sf):
@@ -32,10 +37,15 @@ def _flight_features(spark, sf):
                     (F.pmod(F.xxhash64("order_id", "leg", F.lit(42)), F.lit(100)) < 80).alias("_train"))
 
 
+def _encoded(f):
+    for key, out in ENCODED.items():
+        f = group_mean_encode(f, key, "delayed", out, fit_on=F.col("_train"))
+    return f
+
+
 def _delay_model(spark, sf, iters=10):
-    f = _flight_features(spark, sf)
-    pipe = ML.gbt_pipeline(DELAY_FEATURES + DELAY_CATEGORICAL, "delayed", categorical=DELAY_CATEGORICAL,
-                           max_iter=iters, max_depth=4, step=0.1, max_bins=256)
+    f = _encoded(_flight_features(spark, sf))
+    pipe = ML.gbt_pipeline(DELAY_FEATURES, "delayed", max_iter=iters, max_depth=4, step=0.1)
     return pipe.fit(f.filter("_train")), f
 
 
@@ -80,7 +90,13 @@ def score_requests(spark, sf):
                    F.hour("fetched_at").cast("double").alias("dep_hour"),
                    F.lit(1000.0).alias("distance")).distinct()
     req = req.withColumn("is_evening", (F.col("dep_hour") >= 18).cast("double")) \
-             .withColumn("is_summer", F.col("month").isin(6, 7, 8).cast("double"))
+             .withColumn("is_summer", F.col("month").isin(6, 7, 8).cast("double")) \
+             .withColumn("route", F.concat_ws("_", "origin", "dest"))
+    train = f.filter("_train")
+    base = train.agg(F.avg("delayed")).scalar()
+    for key, out in ENCODED.items():
+        rates = train.groupBy(key).agg(F.avg("delayed").alias(out))
+        req = req.join(rates, key, "left").withColumn(out, F.coalesce(out, base))
     s = ML.score(m, req)
     tier = F.when(F.col("prob") >= 0.5, "High").when(F.col("prob") >= 0.3, "Medium").otherwise("Low")
     return s.select("carrier", "origin", "dest", "month", "dep_hour", round_to("prob", 6).alias("prob"), tier.alias("tier"))
@@ -232,7 +248,7 @@ def model_bundle(spark, sf):
     checkpoint area, load it back and score with the loaded copy."""
     m, f = _delay_model(spark, sf, iters=3)
     path = scratch_path(spark, "model_bundle")
-    ML.save_bundle(m, spark, path, DELAY_FEATURES + DELAY_CATEGORICAL, "1")
+    ML.save_bundle(m, spark, path, DELAY_FEATURES, "1")
     loaded, meta = ML.load_bundle(spark, path)
     s = ML.score(loaded, f)
     return s.groupBy("carrier").agg(F.avg("prob").alias("avg_prob")).withColumn("version", F.lit(meta["version"]))

@@ -441,3 +441,21 @@ def holdout_by_date(spark, sf):
     p = V.prices(spark, sf)
     cutoff = F.add_months(p.agg(F.max(O)).scalar(), -6)
     return p.select(K, O, (F.col(O) >= cutoff).cast("int").alias("is_holdout"))
+
+
+_FLC = "(SELECT *, CAST(arr_delay >= 15 AS INTEGER) AS delayed FROM flights WHERE cancelled = 0 AND diverted = 0)"
+
+
+@query("group_mean_encode", views=["flights"], sql=f"""
+, fl AS {_FLC},
+s AS (SELECT origin, SUM(delayed) AS s, COUNT(*) AS n FROM fl GROUP BY origin)
+SELECT fl.order_id, fl.leg, round(s.s * 1.0 / s.n, 6) AS origin_delay_rate,
+       round(CASE WHEN s.n > 1 THEN (s.s - fl.delayed) * 1.0 / (s.n - 1) ELSE s.s * 1.0 / s.n END, 6) AS origin_rate_loo
+FROM fl JOIN s ON fl.origin = s.origin""")
+def group_mean_encode(spark, sf):
+    f = V.flights(spark, sf).filter((F.col("cancelled") == 0) & (F.col("diverted") == 0)) \
+        .withColumn("delayed", (F.col("arr_delay") >= 15).cast("int"))
+    e = W.group_mean_encode(f, "origin", "delayed", "origin_delay_rate")
+    e = W.group_mean_encode(e, "origin", "delayed", "origin_rate_loo", leave_one_out=True)
+    return e.select("order_id", "leg", r6(F.col("origin_delay_rate")).alias("origin_delay_rate"),
+                    r6(F.col("origin_rate_loo")).alias("origin_rate_loo"))
