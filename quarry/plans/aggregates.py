@@ -638,3 +638,38 @@ def revenue_summary(spark, sf):
         F.count(F.lit(1)).alias("n_appointments"), F.count_if(att).alias("n_attended"),
         round_to(F.avg("no_show") * 100, 4).alias("noshow_pct"),
         r2(F.sum(F.when(F.col("no_show") == 1, F.col("revenue")))).alias("lost_revenue"))
+
+
+# ------------------------------------------------ lambdas as expressions
+
+@query("lambda_aggregates", views=["flights"], sql=f"""
+, fl AS {_FLIGHTS_CLEAN},
+g AS (SELECT origin, 1 - avg(delayed) AS ontime, quantile_cont(dep_delay, 0.9) AS p90_delay FROM fl GROUP BY origin)
+SELECT origin, round(ontime, 6) AS ontime_rate, round(p90_delay, 6) AS p90_delay,
+       round((ontime - avg(ontime) OVER ()) / NULLIF(stddev_samp(ontime) OVER (), 0), 6) AS ontime_z
+FROM g""")
+def lambda_aggregates(spark, sf):
+    """The reference's aggregate lambdas (1 - mean, percentile, z-score) as
+    built-in aggregate expressions; no UDAF."""
+    f = _flights_clean(spark, sf)
+    g = f.groupBy("origin").agg((1 - F.avg("delayed")).alias("ontime"))
+    p = A.percentiles(f, ["origin"], "dep_delay", {"p90_delay": 0.9})
+    g = g.join(p, "origin")
+    mean, sd = g.agg(F.avg("ontime")).scalar(), g.agg(F.stddev_samp("ontime")).scalar()
+    return g.select("origin", r6(F.col("ontime")).alias("ontime_rate"), r6(F.col("p90_delay")).alias("p90_delay"),
+                    r6(safe_divide(F.col("ontime") - mean, sd)).alias("ontime_z"))
+
+
+@query("row_lambdas", views=["games"], sql="""
+SELECT game_id, team_id, round(fga - oreb + tov + 0.4 * fta, 6) AS poss,
+       round(CASE WHEN 2 * (fga + 0.44 * fta) > 0 THEN pts / (2 * (fga + 0.44 * fta)) ELSE 0.0 END, 6) AS ts,
+       CASE WHEN win = 1 THEN pts ELSE -pts END AS signed_pts, lower(replace(team_abbr, '_', ' ')) AS team_name
+FROM games""")
+def row_lambdas(spark, sf):
+    """Row-wise apply / element map of the reference as column expressions."""
+    g = V.games(spark, sf)
+    d = 2 * (F.col("fga") + 0.44 * F.col("fta"))
+    return g.select("game_id", "team_id", r6(F.col("fga") - F.col("oreb") + F.col("tov") + 0.4 * F.col("fta")).alias("poss"),
+                    r6(F.when(d > 0, F.col("pts") / d).otherwise(0.0)).alias("ts"),
+                    F.when(F.col("win") == 1, F.col("pts")).otherwise(-F.col("pts")).alias("signed_pts"),
+                    F.lower(F.replace("team_abbr", F.lit("_"), F.lit(" "))).alias("team_name"))
