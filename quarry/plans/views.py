@@ -54,10 +54,12 @@ def flights(spark: SparkSession, sf: str) -> DataFrame:
     n = _nations(spark, sf)
     ns = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin"))
     nc = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dest"))
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, o.o_custkey == c.c_custkey)
-           .join(s, li.l_suppkey == s.s_suppkey)
-           .join(ns, "s_nationkey").join(nc, "c_nationkey"))
+    # Orders-sized side first (orders + customer nation), so lineitem is
+    # shuffled once by order key and once by supplier key; the supplier side
+    # is supplier + nation. Nation lookups are broadcast (25 rows).
+    od = o.join(c, o.o_custkey == c.c_custkey).join(nc, "c_nationkey").select("o_orderkey", "o_orderdate", "dest")
+    sd = s.join(ns, "s_nationkey").select("s_suppkey", "origin")
+    j = li.join(od, li.l_orderkey == od.o_orderkey).join(sd, li.l_suppkey == sd.s_suppkey)
     fd = F.to_date("l_shipdate")
     delay = F.datediff(fd, F.to_date("o_orderdate")).cast("double")
     return j.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.scalar import round_to, safe_divide
 from quarry.operators import windows as W
-from quarry.operators.ordered import global_row_number
+from quarry.operators.ordered import global_row_number, grouped_running
 from quarry.operators.rating import elo_ratings
 from quarry.plans import views as V
 from quarry.plans.catalog import query
@@ -273,11 +273,14 @@ SELECT appt_id, patient_id,
              / NULLIF(COUNT(*) OVER ({_AW} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0), 6) AS prior_noshow_rate
 FROM appointments""")
 def expanding_prior_stats(spark, sf):
-    a = V.appointments(spark, sf)
-    w = W._w("patient_id", ["appt_date", "appt_id"]).rowsBetween(Window.unboundedPreceding, -1)
-    s = F.coalesce(F.sum("no_show").over(w), F.lit(0)).cast("long")
-    n = F.count(F.lit(1)).over(w)
-    return a.select("appt_id", "patient_id", s.alias("prior_noshows"), n.alias("prior_appts"),
+    """Prior no-shows / appointments per patient via a grouped prefix scan
+    (no per-patient window, so a dominant patient is split across tasks)."""
+    a = V.appointments(spark, sf).select("appt_id", "patient_id", "appt_date", "no_show",
+                                         F.lit(1).cast("long").alias("_one"))
+    r = grouped_running(a, ["patient_id"], ["appt_date", "appt_id"],
+                        {"prior_noshows": "no_show", "prior_appts": "_one"})
+    s, n = F.col("prior_noshows").cast("long"), F.col("prior_appts")
+    return r.select("appt_id", "patient_id", s.alias("prior_noshows"), n.alias("prior_appts"),
                     r6(F.coalesce(safe_divide(s, n), F.lit(0.0))).alias("prior_noshow_rate"))
 
 
