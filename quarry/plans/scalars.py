@@ -265,12 +265,20 @@ WITH a AS (SELECT ticker, list(round(close, 6) ORDER BY date) AS closes FROM pri
 SELECT ticker, closes[-5:] AS last5, closes[1:3] AS first3,
        list_filter(closes, lambda x, i: (i - 1) % 100 = 0) AS every100 FROM a""")
 def array_build_slice(spark, sf):
-    p = V.prices(spark, sf)
-    # one ordered array per ticker: bounded by the calendar (one bar per day)
-    a = p.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("date", S.round_to("close", 6).alias("c"))))
-                                .alias("_s")).select("ticker", F.col("_s.c").alias("closes"))
-    return a.select("ticker", F.slice("closes", -5, 5).alias("last5"), F.slice("closes", 1, 3).alias("first3"),
-                    F.filter("closes", lambda x, i: i % 100 == 0).alias("every100"))
+    """Ordered arrays per ticker: last 5, first 3 and every 100th close.
+    Positions come from a per-ticker row number (one bar per day, so
+    calendar-bounded) and only the selected elements are collected."""
+    from pyspark.sql import Window
+    p = V.prices(spark, sf).select("ticker", "date", S.round_to("close", 6).alias("c"))
+    w = Window.partitionBy("ticker")
+    p = p.withColumn("i", F.row_number().over(w.orderBy("date")) - 1).withColumn("n", F.count(F.lit(1)).over(w))
+    keep = p.filter((F.col("i") < 3) | (F.col("i") >= F.col("n") - 5) | (F.col("i") % 100 == 0))
+
+    def ordered(cond):
+        return F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("i", "c")))), lambda x: x["c"])
+    return keep.groupBy("ticker").agg(ordered(F.col("i") >= F.col("n") - 5).alias("last5"),
+                                      ordered(F.col("i") < 3).alias("first3"),
+                                      ordered(F.col("i") % 100 == 0).alias("every100"))
 
 
 @query("map_build", views=["payer"], sql="""
