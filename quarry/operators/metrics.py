@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import safe_divide
-from quarry.operators.ordered import global_row_number, ordered_scan
+from quarry.operators.ordered import global_row_number, group_offsets, ordered_scan
 
 
 def _score_counts(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +35,7 @@ def auc_exact(df: DataFrame, score: str, label: str, groups: Sequence[str] = ())
     cnt = _score_counts(base, score, label, g)
     sc = ordered_scan(cnt, g + [score], {"_cn": ("sum", "_neg")})
     sc = sc.withColumn("_before", F.col("_cn") - F.col("_neg"))
-    start = sc.groupBy(*g).agg(F.min("_before").alias("_b0"))
+    start = group_offsets(cnt, g, {"_b0": "_neg"}).select(*g, "_b0")
     j = sc.join(start, g)
     below = F.col("_before") - F.col("_b0")
     r = j.groupBy(*g).agg((F.sum(F.col("_pos") * (below + F.col("_neg") / 2.0))

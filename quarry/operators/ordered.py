@@ -135,6 +135,19 @@ def ordered_scan(df: DataFrame, order_by: Sequence, specs: Mapping[str, tuple[st
     return ck.mapInPandas(scan, schema)
 
 
+def group_offsets(df: DataFrame, group: Sequence[str], sums: Mapping[str, str],
+                  num_partitions: int | None = None) -> DataFrame:
+    """Per group, the total of each column over all earlier groups (in
+    group order): the offset of the group's first row in a global scan over
+    (group, ...). Computed on the small table of group totals, so the big
+    scan is consumed once."""
+    g = list(group)
+    tot = df.groupBy(*g).agg(*[F.sum(i).alias(f"_t_{o}") for o, i in sums.items()])
+    sc = ordered_scan(tot, g, {f"_u_{o}": ("sum", f"_t_{o}") for o in sums}, num_partitions)
+    return sc.select(*g, *[(F.col(f"_u_{o}") - F.col(f"_t_{o}")).alias(o) for o in sums],
+                     *[F.col(f"_t_{o}").alias(f"{o}_total") for o in sums])
+
+
 def global_row_number(df: DataFrame, order_by: Sequence, out: str = "rank",
                       num_partitions: int | None = None) -> DataFrame:
     """1-based position in the global order (use a unique tie-break key)."""
@@ -158,7 +171,7 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                 .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c")))
     sc = ordered_scan(counts, g + [value_col], {"_cum": ("sum", "_c")}, num_partitions)
     sc = sc.withColumn("_end", F.col("_cum") - 1).withColumn("_start", F.col("_cum") - F.col("_c"))
-    stats = sc.groupBy(*g).agg(F.min("_start").alias("_base"), F.sum("_c").alias("_n"))
+    stats = group_offsets(counts, g, {"_base": "_c"}).withColumnRenamed("_base_total", "_n")
     j = sc.join(stats, g)
     aggs = []
     for name, q in qs.items():
@@ -195,7 +208,7 @@ def grouped_running(df: DataFrame, group: Sequence[str], order: Sequence, sums:
     sc = ordered_scan(df, g + list(order), specs, num_partitions)
     incl = {o: F.col(f"_c_{o}") for o in sums}
     excl = {o: F.col(f"_c_{o}") - F.coalesce(F.col(i), F.lit(0)) for o, i in sums.items()}
-    base = sc.groupBy(*g).agg(*[F.min(excl[o]).alias(f"_b_{o}") for o in sums])
+    base = group_offsets(df, g, {f"_b_{o}": i for o, i in sums.items()}).select(*g, *[f"_b_{o}" for o in sums])
     j = sc.join(base, g)
     vals = excl if exclusive else incl
     return j.withColumns({o: vals[o] - F.col(f"_b_{o}") for o in sums}) \
