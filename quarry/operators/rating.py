@@ -28,10 +28,12 @@ def expected_home(h: float, a: float) -> float:
     return 1.0 / (1.0 + 10.0 ** ((a - h) / ELO_SCALE))
 
 
-def replay(pdf: pd.DataFrame, base: float = ELO_BASE, k: float = ELO_K) -> pd.DataFrame:
-    """Replay one league's home rows (game_date, game_id order)."""
+def replay(pdf: pd.DataFrame, ratings: dict[str, float] | None = None, base: float = ELO_BASE,
+           k: float = ELO_K) -> pd.DataFrame:
+    """Replay home rows in (game_date, game_id) order from ``ratings``
+    (updated in place; empty = everyone at ``base``)."""
+    ratings = {} if ratings is None else ratings
     pdf = pdf.sort_values(["game_date", "game_id"], kind="mergesort")
-    ratings: dict[str, float] = {}
     out = []
     for league, gid, gdate, home, away, win in pdf[["league", "game_id", "game_date", "home", "away",
                                                      "win"]].itertuples(index=False):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import round_to
 from quarry.operators import models as ML
 from quarry.operators.metrics import auc_exact
-from quarry.operators.ordered import global_row_number
+from quarry.operators.ordered import global_row_number, grouped_running
 from quarry.operators.windows import group_mean_encode
 from quarry.plans import views as V
 from quarry.plans.catalog import query
@@ -105,12 +105,13 @@ def score_requests(spark, sf):
 @query("boosted_trees_noshow")
 def boosted_trees_noshow(spark, sf):
     """No-show GBT on prior-history features, 80/20 split by date."""
-    from pyspark.sql import Window
-    a = V.appointments(spark, sf)
-    w = Window.partitionBy("patient_id").orderBy("appt_date", "appt_id").rowsBetween(Window.unboundedPreceding, -1)
+    a = V.appointments(spark, sf).withColumn("_one", F.lit(1).cast("long"))
+    # patient history via the grouped prefix scan (no per-patient window)
+    a = grouped_running(a, ["patient_id"], ["appt_date", "appt_id"],
+                        {"prior_noshows": "no_show", "prior_appts": "_one"})
     a = a.select("appt_id", "appt_date", "no_show", "revenue", "is_cosmetic",
-                 F.coalesce(F.sum("no_show").over(w), F.lit(0)).cast("double").alias("prior_noshows"),
-                 F.count(F.lit(1)).over(w).cast("double").alias("prior_appts"),
+                 F.col("prior_noshows").cast("double").alias("prior_noshows"),
+                 F.col("prior_appts").cast("double").alias("prior_appts"),
                  F.weekday("appt_date").cast("double").alias("weekday"), F.month("appt_date").cast("double").alias("month"))
     # first 80 % by (date, id) is train: distributed rank, not a global sort
     n = a.agg(F.count(F.lit(1))).scalar()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quarry.operators.rating import ELO_BASE, ELO_K, expected_home
+from quarry.operators.rating import replay
 
 
 def run_available(query_writer, timeout_s: int = 600) -> None:
@@ -67,18 +67,9 @@ ELO_STATE = "ratings string"
 
 def _elo_update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     ratings = json.loads(state.get[0]) if state.exists else {}
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["game_date", "game_id"], kind="mergesort")
-    rows = []
-    for league, gid, gdate, home, away, win in pdf[["league", "game_id", "game_date", "home", "away",
-                                                     "win"]].itertuples(index=False):
-        h, a = ratings.get(home, ELO_BASE), ratings.get(away, ELO_BASE)
-        e = expected_home(h, a)
-        rows.append((league, gid, gdate, home, away, h, a))
-        ratings[home] = h + ELO_K * (float(win) - e)
-        ratings[away] = a + ELO_K * ((1.0 - float(win)) - (1.0 - e))
+    out = replay(pd.concat(list(batches), ignore_index=True), ratings)   # updates ratings
     state.update((json.dumps(ratings),))
-    yield pd.DataFrame(rows, columns=["league", "game_id", "game_date", "home", "away", "home_pre_elo",
-                                      "away_pre_elo"])
+    yield out[["league", "game_id", "game_date", "home", "away", "home_pre_elo", "away_pre_elo"]]
 
 
 def elo_stream(spark: SparkSession, landing: str, schema, out: str, checkpoint: str) -> DataFrame:
