@@ -47,6 +47,13 @@ def _order_cols(order_by: Sequence) -> list[Column]:
     return out
 
 
+def scan_partitions(spark) -> int:
+    """Range partitions for a scan: the shuffle-partition setting, capped at
+    four per core so small runs do not write hundreds of empty files."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+
+
 def ordered_scan(df: DataFrame, order_by: Sequence, specs: Mapping[str, tuple[str, str]],
                  num_partitions: int | None = None) -> DataFrame:
     """Inclusive running ``op`` of columns in the global order ``order_by``.
@@ -57,7 +64,7 @@ def ordered_scan(df: DataFrame, order_by: Sequence, specs: Mapping[str, tuple[st
     in arbitrary order; aggregate to distinct keys first when that matters.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or scan_partitions(spark)
     cols = _order_cols(order_by)
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     ck = cut_lineage(ranged)
