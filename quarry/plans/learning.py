@@ -568,7 +568,8 @@ WF_MIN_TRAIN, WF_MIN_TEST = 5000, 500
 b AS (SELECT MIN(date) AS d0, MAX(date) AS d1 FROM preds),
 c AS (SELECT date, COUNT(*) AS n FROM preds GROUP BY date),
 f AS (SELECT k, CAST(d0 + INTERVAL ({WF_TRAIN_DAYS} + {WF_EMBARGO}) DAY + k * INTERVAL {WF_STEP} DAY AS DATE) AS test_start
-      FROM b, (SELECT unnest(range(0, 100)) AS k)),
+      FROM b, (SELECT unnest(range(0, greatest(date_diff('day', d0, d1) - ({WF_TRAIN_DAYS} + {WF_EMBARGO}), 0) // {WF_STEP} + 1)) AS k
+               FROM b) ks),
 f2 AS (SELECT k, test_start, CAST(test_start + INTERVAL {WF_TEST_DAYS} DAY AS DATE) AS test_end,
               CAST(test_start - INTERVAL {WF_EMBARGO} DAY AS DATE) AS train_end,
               CAST(test_start - INTERVAL ({WF_EMBARGO} + {WF_TRAIN_DAYS}) DAY AS DATE) AS train_start
@@ -583,8 +584,10 @@ SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS fold, train_start, tra
 def walk_forward_folds(spark, sf):
     p = preds(spark, sf)
     d0, d1 = p.agg(F.min("date")).scalar(), p.agg(F.max("date")).scalar()
-    # the fold table is generated from a sequence: (span / step) rows, tiny
-    ks = p.sparkSession.range(0, 100).select(F.col("id").cast("int").alias("k"))
+    # the fold table is generated from a sequence over the data's date span:
+    # (span / step) rows, tiny, no fixed cap
+    n_folds = F.floor(F.greatest(F.datediff(d1, d0) - (WF_TRAIN_DAYS + WF_EMBARGO), F.lit(0)) / WF_STEP)
+    ks = p.agg(F.count(F.lit(1))).select(F.explode(F.sequence(F.lit(0), n_folds.cast("int"))).alias("k"))
     f = ks.select("k", F.date_add(d0, F.lit(WF_TRAIN_DAYS + WF_EMBARGO) + F.col("k") * WF_STEP).alias("test_start"))
     f = f.filter(F.col("test_start") <= d1)
     f = f.select("k", "test_start", F.date_add("test_start", WF_TEST_DAYS).alias("test_end"),
