@@ -26,6 +26,19 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from quarry.operators.rating import replay
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A child session (same SparkContext, own SQL conf) for a streaming job.
+
+    The state-store partition count of a stateful query is fixed by the
+    shuffle-partition setting at its first start; it is capped here like the
+    prefix scan (four per core) without changing the caller's session.
+    """
+    from quarry.operators.ordered import scan_partitions
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions", str(scan_partitions(spark)))
+    return s
+
+
 def run_available(query_writer, timeout_s: int = 600) -> None:
     q = query_writer.trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
@@ -35,7 +48,7 @@ def run_available(query_writer, timeout_s: int = 600) -> None:
 
 def dedupe_ingest(spark: SparkSession, landing: str, schema, out: str, checkpoint: str,
                   keys=("game_id", "team_id"), event_time: str = "event_ts", delay: str = "3650 days") -> DataFrame:
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    src = stream_session(spark).readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
     d = src.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
     run_available(d.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
                   .outputMode("append"))
@@ -46,7 +59,7 @@ def latest_snapshot(spark: SparkSession, landing: str, schema, out: str, checkpo
     """Latest quote per (day, home, away): streaming aggregate in complete mode,
     written per micro-batch with foreachBatch (overwrite = upsert of the
     whole, small, per-key result)."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    src = stream_session(spark).readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
     agg = src.groupBy("fetch_date", "home_team", "away_team").agg(
         F.max_by(F.struct("home_ml", "away_ml"), F.struct("fetched_at", "poll_id")).alias("_q"))
     flat = agg.select("fetch_date", "home_team", "away_team", F.col("_q.home_ml").alias("home_ml"),
@@ -75,7 +88,7 @@ def _elo_update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iter
 def elo_stream(spark: SparkSession, landing: str, schema, out: str, checkpoint: str) -> DataFrame:
     """Files must land in time order (one file per period); each league's
     ratings are the keyed state carried between micro-batches."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    src = stream_session(spark).readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
     res = src.groupBy("league").applyInPandasWithState(_elo_update, ELO_OUT, ELO_STATE, "append",
                                                        GroupStateTimeout.NoTimeout)
     run_available(res.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
