@@ -328,7 +328,7 @@ _QB_SQL = """
 e AS (SELECT date, list_distinct(list_sort(quantile_cont(score, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])))
              AS edges FROM scored_events GROUP BY date),
 b AS (SELECT s.id, s.date, s.score, s.label,
-             greatest(len(list_filter(e.edges, lambda x: x < s.score)) - 1, 0) AS bucket
+             CAST(greatest(len(list_filter(e.edges, lambda x: x < s.score)) - 1, 0) AS INTEGER) AS bucket
       FROM scored_events s JOIN e ON s.date = e.date)"""
 
 
