@@ -16,7 +16,7 @@ from quarry.operators.windows import group_mean_encode
 from quarry.plans import views as V
 from quarry.plans.catalog import query
 from quarry.plans.learning import _rfm
-from quarry.session import scratch_path
+from quarry.session import cut_lineage, scratch_path
 
 DELAY_FEATURES = ["month", "day_of_week", "dep_hour", "distance", "is_evening", "is_summer",
                   "carrier_rate", "origin_rate", "dest_rate", "route_rate"]
@@ -44,7 +44,10 @@ def _encoded(f):
 
 
 def _delay_model(spark, sf, iters=10):
-    f = _encoded(_flight_features(spark, sf))
+    # the feature table is read by four encoders, the fit and the scorer:
+    # materialise it once in the shared checkpoint folder instead of
+    # re-running the lineitem joins for each reader
+    f = _encoded(cut_lineage(_flight_features(spark, sf)))
     pipe = ML.gbt_pipeline(DELAY_FEATURES, "delayed", max_iter=iters, max_depth=4, step=0.1)
     return pipe.fit(f.filter("_train")), f
 
