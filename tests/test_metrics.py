@@ -87,3 +87,15 @@ def test_equity_curve_and_drawdown(spark):
     cum = (1 + pdf.daily_ret).cumprod()
     assert np.allclose(c.cum.values, cum.values)
     assert np.allclose(c.drawdown.values, (cum / cum.cummax() - 1).values)
+
+
+def test_walk_forward_fold_identities(spark, registry):
+    from quarry.plans import learning as L
+    f = registry["walk_forward_folds"].build(spark, "/root/testdata/sf0.01").toPandas()
+    assert len(f) > 0
+    assert (f.fold.sort_values().tolist() == list(range(1, len(f) + 1)))
+    gap = (pd.to_datetime(f.test_start) - pd.to_datetime(f.train_end)).dt.days
+    span = (pd.to_datetime(f.train_end) - pd.to_datetime(f.train_start)).dt.days
+    test_span = (pd.to_datetime(f.test_end) - pd.to_datetime(f.test_start)).dt.days
+    assert (gap == L.WF_EMBARGO).all() and (span == L.WF_TRAIN_DAYS).all() and (test_span == L.WF_TEST_DAYS).all()
+    assert (f.n_train >= L.WF_MIN_TRAIN).all() and (f.n_test >= L.WF_MIN_TEST).all()
