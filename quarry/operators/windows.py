@@ -75,40 +75,49 @@ def _row_index(key, order) -> Column:
     return (F.row_number().over(_w(key, order)) - 1).cast("double")
 
 
-def ema_max_rows(span: float) -> int:
-    """Rows per key for which the closed form below stays finite."""
-    a = 2.0 / (span + 1.0)
-    return int(700.0 / -math.log(1.0 - a))
+def exp_weighted_running_sum(df: DataFrame, v: Column, key, order, r: float, out: str) -> DataFrame:
+    """E_t = sum_{i<=t} r^(t-i) * v_i per key (nulls count as 0), any length.
+
+    Rows are cut into blocks of B rows with r^-B <= e^300, so every weight
+    inside a block stays finite. Within block b (first row a_b, offset
+    j = t - a_b): E_t = r^j * C_t + r^(j+1) * E(a_b - 1), where C_t is the
+    running sum of v_i * r^-(i - a_b) inside the block. E(a_b - 1) equals
+    r^(B-1) * T_(b-1) (T = block total) up to a term scaled by r^B <= e^-300,
+    which is below double precision, so only the previous block is needed.
+    The block running sums are windows over (key, block), not over the key.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    B = max(1, int(300.0 / -math.log(r)))
+    d = df.withColumn("_ew_i", F.row_number().over(_w(key, order)) - 1)
+    d = d.withColumn("_ew_b", F.floor(F.col("_ew_i") / B)).withColumn("_ew_j", F.col("_ew_i") - F.col("_ew_b") * B)
+    d = d.withColumn("_ew_u", F.coalesce(v, F.lit(0.0)) * F.pow(F.lit(r), -F.col("_ew_j")))
+    wb = Window.partitionBy(*keys, "_ew_b").orderBy("_ew_i").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_ew_c", F.sum("_ew_u").over(wb))
+    tot = d.groupBy(*keys, "_ew_b").agg(F.sum("_ew_u").alias("_ew_t")) \
+        .select(*keys, (F.col("_ew_b") + 1).alias("_ew_b"), "_ew_t")
+    d = d.join(tot, keys + ["_ew_b"], "left")
+    prev = F.coalesce(F.pow(F.lit(r), F.lit(float(B - 1))) * F.col("_ew_t"), F.lit(0.0))
+    e = F.pow(F.lit(r), F.col("_ew_j")) * F.col("_ew_c") + F.pow(F.lit(r), F.col("_ew_j") + 1) * prev
+    return d.withColumn(out, e).drop("_ew_i", "_ew_b", "_ew_j", "_ew_u", "_ew_c", "_ew_t")
 
 
 def ema(df: DataFrame, x: str, key, order, span: float, out: str) -> DataFrame:
-    """pandas ``ewm(span, adjust=False).mean()``: y0 = x0, y = a*x + (1-a)*y[-1].
-
-    Closed form y_t = r^t * (x_0 + a * sum_{i=1..t} r^-i x_i) with r = 1-a,
-    evaluated with one running-sum window; finite for up to
-    ``ema_max_rows(span)`` rows per key (about 3,100 for span 9).
-    """
+    """pandas ``ewm(span, adjust=False).mean()``: y0 = x0, y = a*x + (1-a)*y[-1],
+    i.e. y_t = sum_i w_i (1-a)^(t-i) x_i with w_0 = 1 and w_i = a after."""
     a = 2.0 / (span + 1.0)
-    r = 1.0 - a
-    i = "_ema_i"
-    d = df.withColumn(i, _row_index(key, order))
-    z = F.when(F.col(i) == 0, F.col(x)).otherwise(F.lit(a) * F.pow(F.lit(r), -F.col(i)) * F.col(x))
-    run = F.sum(z).over(_w(key, order).rowsBetween(Window.unboundedPreceding, 0))
-    return d.withColumn(out, F.pow(F.lit(r), F.col(i)) * run).drop(i)
+    first = F.row_number().over(_w(key, order)) == 1
+    v = F.when(first, F.col(x)).otherwise(F.lit(a) * F.col(x))
+    return exp_weighted_running_sum(df, v, key, order, 1.0 - a, out)
 
 
 def ewm_adjusted(df: DataFrame, x: str, key, order, span: float, min_periods: int, out: str) -> DataFrame:
     """pandas ``ewm(span, min_periods).mean()`` (adjust=True): weights r^(t-i)
     over non-null values, positions counted including nulls."""
     r = 1.0 - 2.0 / (span + 1.0)
-    i = "_ewm_i"
-    d = df.withColumn(i, _row_index(key, order))
-    wgt = F.pow(F.lit(r), -F.col(i))
-    frame = _w(key, order).rowsBetween(Window.unboundedPreceding, 0)
-    num = F.sum(F.when(F.col(x).isNotNull(), wgt * F.col(x))).over(frame)
-    den = F.sum(F.when(F.col(x).isNotNull(), wgt)).over(frame)
-    n = F.count(F.col(x)).over(frame)
-    return d.withColumn(out, F.when(n >= min_periods, num / den)).drop(i)
+    d = exp_weighted_running_sum(df, F.col(x), key, order, r, "_ewm_n")
+    d = exp_weighted_running_sum(d, F.when(F.col(x).isNotNull(), F.lit(1.0)), key, order, r, "_ewm_d")
+    n = F.count(F.col(x)).over(_w(key, order).rowsBetween(Window.unboundedPreceding, 0))
+    return d.withColumn(out, F.when(n >= min_periods, F.col("_ewm_n") / F.col("_ewm_d"))).drop("_ewm_n", "_ewm_d")
 
 
 def macd(df: DataFrame, price: str, key, order, fast=12, slow=26, signal=9) -> DataFrame:

@@ -91,3 +91,17 @@ def test_group_mean_encode_leave_one_out(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("a", 1), ("b", 0)], "k string, y int")
     r = W.group_mean_encode(df, "k", "y", "m", leave_one_out=True).orderBy("k", "y").toPandas()
     assert r.m.tolist() == [1.0, 0.5, 0.5, 0.0]
+
+
+def test_ema_and_ewm_long_keys(spark):
+    """Keys far longer than the closed-form range of one block."""
+    rng = np.random.default_rng(9)
+    n = 9000
+    x = np.cumsum(rng.normal(size=n)) + 100
+    x_n = x.copy()
+    x_n[rng.random(n) < 0.03] = np.nan
+    pdf = pd.DataFrame({"k": "long", "t": np.arange(n), "x": x, "xn": x_n})
+    df = spark.createDataFrame(pdf, "k string, t long, x double, xn double")
+    got = W.ewm_adjusted(W.ema(df, "x", "k", "t", 9, "e"), "xn", "k", "t", 10, 5, "w").toPandas().sort_values("t")
+    assert np.allclose(got.e.values, pdf.x.ewm(span=9, adjust=False).mean().values, rtol=1e-9)
+    assert np.allclose(got.w.values, pdf.xn.ewm(span=10, min_periods=5).mean().values, rtol=1e-9, equal_nan=True)
