@@ -213,3 +213,37 @@ def group_mean_encode(df: DataFrame, key: str, y: str, out: str, fit_on: Column
     plain = F.col("_s") / F.col("_n")
     loo = F.when(own & (F.col("_n") > 1), (F.col("_s") - F.col(y)) / (F.col("_n") - 1)).otherwise(plain)
     return j.withColumn(out, F.coalesce(loo if leave_one_out else plain, glob)).drop("_s", "_n")
+
+
+def blocked(df: DataFrame, key, order, back: int, forward: int = 0, block_rows: int = 100_000) -> DataFrame:
+    """Split every key into blocks of ``block_rows`` rows so that row-frame
+    windows run per (key, block) instead of per key.
+
+    Adds ``_idx`` (0-based row position in the key, from the grouped prefix
+    scan: no per-key sort), ``_blk`` and ``_own``. The last ``back`` rows of
+    a block are copied into the next block and the first ``forward`` rows
+    into the previous one (``_own`` = false), so any window looking at most
+    ``back`` rows behind and ``forward`` rows ahead is exact for owned rows.
+    Use ``key=[*keys, "_blk"]`` and ``order="_idx"`` for the windows, then
+    keep ``_own`` rows. A key holding a third of all rows is spread over
+    many tasks.
+    """
+    from quarry.operators.ordered import grouped_running
+    keys = [key] if isinstance(key, str) else list(key)
+    orders = [order] if isinstance(order, (str, Column)) else list(order)
+    if back >= block_rows or forward >= block_rows:
+        raise ValueError("window reach must be smaller than the block")
+    d = grouped_running(df.withColumn("_one", F.lit(1).cast("long")), keys, orders, {"_idx": "_one"})
+    d = d.drop("_one")
+    blk = F.floor(F.col("_idx") / block_rows)
+    pos = F.col("_idx") - blk * block_rows
+    copies = F.array(F.struct(blk.alias("b"), F.lit(True).alias("own")))
+    copies = F.when(pos >= block_rows - back, F.array_union(copies, F.array(F.struct((blk + 1).alias("b"),
+                                                                                      F.lit(False).alias("own"))))) \
+              .otherwise(copies) if back > 0 else copies
+    if forward > 0:
+        copies = F.when((pos < forward) & (blk > 0),
+                        F.array_union(copies, F.array(F.struct((blk - 1).alias("b"), F.lit(False).alias("own"))))) \
+                  .otherwise(copies)
+    d = d.select("*", F.explode(copies).alias("_c"))
+    return d.select(*[c for c in d.columns if c != "_c"], F.col("_c.b").alias("_blk"), F.col("_c.own").alias("_own"))

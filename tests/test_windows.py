@@ -105,3 +105,24 @@ def test_ema_and_ewm_long_keys(spark):
     got = W.ewm_adjusted(W.ema(df, "x", "k", "t", 9, "e"), "xn", "k", "t", 10, 5, "w").toPandas().sort_values("t")
     assert np.allclose(got.e.values, pdf.x.ewm(span=9, adjust=False).mean().values, rtol=1e-9)
     assert np.allclose(got.w.values, pdf.xn.ewm(span=10, min_periods=5).mean().values, rtol=1e-9, equal_nan=True)
+
+
+def test_blocked_windows_equal_per_key_windows(spark):
+    """A hot key cut into small blocks with halos gives the same rolling,
+    lag and lead values as one window over the whole key."""
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"k": ["hot"] * 3000 + ["cold"] * 40, "t": np.r_[np.arange(3000), np.arange(40)],
+                        "x": rng.normal(size=3040)})
+    df = spark.createDataFrame(pdf, "k string, t long, x double")
+    b = W.blocked(df, "k", "t", back=19, forward=5, block_rows=250)
+    kb = ["k", "_blk"]
+    got = (b.select("k", "t", "_own", W.rolling("x", kb, "_idx", 20, 10).alias("r"),
+                    F.lag("x", 3).over(W._w(kb, "_idx")).alias("l3"), F.lead("x", 5).over(W._w(kb, "_idx")).alias("f5"))
+            .filter("_own").toPandas().sort_values(["k", "t"]))
+    ref = pdf.sort_values(["k", "t"]).copy()
+    g = ref.groupby("k").x
+    ref["r"] = g.transform(lambda s: s.rolling(20, min_periods=10).mean())
+    ref["l3"], ref["f5"] = g.shift(3), g.shift(-5)
+    assert len(got) == len(ref)
+    for c in ["r", "l3", "f5"]:
+        assert np.allclose(got[c].to_numpy(dtype=float), ref[c].to_numpy(dtype=float), equal_nan=True), c
