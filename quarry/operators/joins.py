@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 def asof_latest_before(probes: DataFrame, probe_id: Sequence[str], facts: DataFrame, key: str,
                        probe_time: str, fact_time: str, payload: Sequence[str], bucket: str = "month",
-                       out: str = "asof") -> DataFrame:
+                       out: str = "asof", method: str = "bucket") -> DataFrame:
     """For each probe row (unique by ``probe_id``), the payload of the latest
     fact with the same key and ``fact_time < probe_time`` (strictly before),
     as struct ``out`` (null when there is none).
@@ -28,6 +28,8 @@ def asof_latest_before(probes: DataFrame, probe_id: Sequence[str], facts: DataFr
     one row per key and bucket, and is carried in with a window over that
     small table.
     """
+    if method == "scan":
+        return _asof_by_scan(probes, probe_id, facts, key, probe_time, fact_time, payload, out)
     unit = {"month": "month", "year": "year", "week": "week", "day": "day"}[bucket]
     pay = F.struct(F.col("_t").alias("_t"), *[F.col(c) for c in payload])
     f = facts.select(F.col(key).alias("_k"), F.col(fact_time).alias("_t"), *payload)
@@ -57,6 +59,29 @@ def asof_latest_before(probes: DataFrame, probe_id: Sequence[str], facts: DataFr
     return probes.join(res, list(probe_id), "left")
 
 
+def _asof_by_scan(probes: DataFrame, probe_id: Sequence[str], facts: DataFrame, key: str, probe_time: str,
+                  fact_time: str, payload: Sequence[str], out: str) -> DataFrame:
+    """As-of without any per-key grouping: facts are numbered in (key, time)
+    order by the prefix scan; over facts and probes in (key, time, probe
+    first) order a running max of that number is the latest fact at or
+    before each probe, valid when it is not below the key's first number.
+    Payloads are fetched by an equi-join on the fact number."""
+    from quarry.operators.ordered import global_row_number, ordered_scan
+    f = facts.select(F.col(key).alias("_k"), F.col(fact_time).alias("_t"), *payload)
+    f = global_row_number(f, ["_k", "_t"], "_fid")
+    first = f.groupBy("_k").agg(F.min("_fid").alias("_f0"))
+    pid = F.struct(*[F.col(c) for c in probe_id])
+    pk = probes.select(pid.alias("_pid"), F.col(key).alias("_k"), F.col(probe_time).alias("_t"))
+    u = (f.select("_k", "_t", F.lit(1).alias("_m"), "_fid", F.lit(None).cast(pk.schema["_pid"].dataType).alias("_pid"))
+          .unionByName(pk.select("_k", "_t", F.lit(0).alias("_m"), F.lit(None).cast("long").alias("_fid"), "_pid")))
+    sc = ordered_scan(u, ["_k", "_t", "_m", "_fid"], {"_cand": ("max", "_fid")})
+    hits = sc.filter(F.col("_m") == 0).join(first, "_k", "left") \
+             .withColumn("_cand", F.when(F.col("_cand") >= F.col("_f0"), F.col("_cand")))
+    pay = f.select(F.col("_fid").alias("_cand"), F.struct(F.col("_t").alias("_t"), *[F.col(c) for c in payload]).alias(out))
+    res = hits.join(pay, "_cand", "left").select(*[F.col(f"_pid.{c}").alias(c) for c in probe_id], out)
+    return probes.join(res, list(probe_id), "left")
+
+
 def fuzzy_contains_join(names: DataFrame, name_col: str, dim: DataFrame, code_col: str, dim_name_col: str,
                         order_col: str, out: str = "matched_code") -> DataFrame:
     """Full name -> code. Rule 1: the code or the dimension name occurs in

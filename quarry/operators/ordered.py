@@ -117,22 +117,21 @@ def ordered_scan(df: DataFrame, order_by: Sequence, specs: Mapping[str, tuple[st
         for pdf in batches:
             for out, (op, src) in spec_items:
                 s = pdf[src]
+                c = carry.get(out)
+                # null inputs contribute nothing; the running value carries
+                # through them (ffill), then the partition's carry-in is applied
                 if op == "sum":
-                    local = s.cumsum(skipna=True)
-                    c = carry.get(out)
-                    res = local if c is None else local + c
+                    local = s.cumsum(skipna=True).ffill()
+                    res = local.fillna(0) + c if c is not None else local
                 elif op == "prod":
-                    local = s.astype("float64").cumprod(skipna=True)
-                    c = carry.get(out)
-                    res = local if c is None else local * c
+                    local = s.astype("float64").cumprod(skipna=True).ffill()
+                    res = local.fillna(1.0) * c if c is not None else local
                 elif op == "max":
-                    local = s.cummax(skipna=True)
-                    c = carry.get(out)
-                    res = local if c is None else np.maximum(local, c)
+                    local = s.cummax(skipna=True).ffill()
+                    res = np.fmax(local, c) if c is not None else local
                 else:
-                    local = s.cummin(skipna=True)
-                    c = carry.get(out)
-                    res = local if c is None else np.minimum(local, c)
+                    local = s.cummin(skipna=True).ffill()
+                    res = np.fmin(local, c) if c is not None else local
                 pdf[out] = res
                 last = res.dropna()
                 if len(last):

@@ -124,7 +124,7 @@ FROM shop_orders o ASOF LEFT JOIN games g ON o.state = g.team_abbr AND o.order_d
 def asof_latest_before(spark, sf):
     o = V.shop_orders(spark, sf).select("order_id", "state", "order_date")
     g = V.games(spark, sf).select(F.col("team_abbr").alias("state"), "game_date", "pts")
-    j = J.asof_latest_before(o, ["order_id"], g, "state", "order_date", "game_date", ["pts"], bucket="year")
+    j = J.asof_latest_before(o, ["order_id"], g, "state", "order_date", "game_date", ["pts"], method="scan")
     return j.select("order_id", F.col("asof._t").alias("last_game_date"), F.col("asof.pts").alias("last_game_pts"))
 
 

@@ -10,7 +10,11 @@ from quarry.operators import joins as J
 from quarry.operators.rating import ELO_BASE, ELO_K, elo_ratings
 
 
-def test_asof_strictly_before_with_hot_key(spark):
+import pytest
+
+
+@pytest.mark.parametrize("method", ["bucket", "scan"])
+def test_asof_strictly_before_with_hot_key(spark, method):
     rng = np.random.default_rng(2)
     base = dt.date(2020, 1, 1)
     facts = pd.DataFrame({"k": np.where(rng.random(3000) < 0.7, "hot", rng.choice(["a", "b", "c"], 3000)),
@@ -20,7 +24,7 @@ def test_asof_strictly_before_with_hot_key(spark):
     probes = pd.DataFrame({"pid": np.arange(400), "k": rng.choice(["hot", "a", "b", "c", "zz"], 400),
                            "t": [base + dt.timedelta(days=int(d)) for d in rng.integers(0, 800, 400)]})
     got = J.asof_latest_before(spark.createDataFrame(probes), ["pid"], spark.createDataFrame(facts), "k", "t", "t",
-                               ["v"], bucket="month").select("pid", F.col("asof.v").alias("v")).toPandas()
+                               ["v"], bucket="month", method=method).select("pid", F.col("asof.v").alias("v")).toPandas()
     got = got.set_index("pid").sort_index()
     for _, p in probes.iterrows():
         cand = facts[(facts.k == p.k) & (facts.t < p.t)]
