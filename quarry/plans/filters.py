@@ -50,12 +50,16 @@ def min_history_filter(spark, sf):
     return p.join(keep, "ticker", "left_semi").select("ticker", "date")
 
 
-@query("sample_rows")
+@query("sample_rows", views=["appointments"], sql="""
+SELECT appt_id, patient_id FROM appointments
+ORDER BY ((appt_id % 1000003) * 2654435761) % 4294967296, appt_id LIMIT 2000""")
 def sample_rows(spark, sf):
-    """min(2000, n) appointments, deterministic: smallest seeded hashes
-    (a sampling operator; the limit is the feature)."""
+    """min(2000, n) appointments without replacement, deterministic: the
+    smallest values of a portable id hash (a sampling operator; the limit
+    is the feature). Top-k per task, so no global sort."""
+    from quarry.operators.metrics import split_hash
     a = V.appointments(spark, sf)
-    return a.orderBy(F.xxhash64("appt_id", F.lit(42)), "appt_id").limit(2000).select("appt_id", "patient_id")
+    return a.orderBy(split_hash("appt_id"), "appt_id").limit(2000).select("appt_id", "patient_id")
 
 
 @query("in_list", views=["flights"], sql="""

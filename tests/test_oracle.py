@@ -9,7 +9,7 @@ from quarry.plans.check import compare
 
 REG = load_all()
 SQL_QUERIES = sorted(n for n, q in REG.items() if q.sql)
-ROWS_ONLY_FAST = ["elo_ratings", "stream_elo", "sample_rows"]
+ROWS_ONLY_FAST = ["elo_ratings", "stream_elo"]
 
 
 @pytest.mark.parametrize("name", SQL_QUERIES)
