@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

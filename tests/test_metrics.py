@@ -5,7 +5,6 @@ import itertools
 
 import numpy as np
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import aggregates as A
