@@ -26,3 +26,21 @@ def test_global_rank_has_no_single_partition_sort(spark, registry):
     p = _plan(registry["rank_desc"].build(spark, TEST_SF))
     assert "SinglePartition" not in p
     assert "MapInPandas" in p or "PythonMapInArrow" in p
+
+
+AUDITED = ["group_rate_stats", "payment_benchmarks", "gini", "top_share", "cohort_retention", "rfm",
+           "rolling_std", "macd", "ewm_adjusted", "expanding_prior_stats", "quantile_buckets", "rank_desc",
+           "time_ordered_split", "asof_latest_before", "fuzzy_name_join", "auc_exact", "roc_pr_points",
+           "backtest_stats", "cum_product", "walk_forward_folds", "stratified_split", "label_encode",
+           "last_n_per_key", "insert_or_replace", "flatten_nested_quotes", "extract_html_table"]
+
+
+def test_no_single_partition_exchange_over_raw_rows(spark, registry):
+    """A SinglePartition exchange may only sit on top of a partial
+    aggregate (one row per task); never on raw rows."""
+    for name in AUDITED:
+        lines = _plan(registry[name].build(spark, TEST_SF)).split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                child = lines[i + 1] if i + 1 < len(lines) else ""
+                assert "HashAggregate" in child or "ObjectHashAggregate" in child, (name, child)
