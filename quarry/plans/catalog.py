@@ -74,14 +74,14 @@ def _zero_sign_safe(sql: str) -> str:
         i = k + 1
 
 
-def with_views(views, body: str) -> str:
+def with_views(views, body: str, recursive: bool = False) -> str:
     """Prefix ``body`` with the CTEs of ``views``; a body that opens with
     its own WITH (or a leading comma) continues the same CTE list."""
     ctes = [VIEW_SQL[v].strip() for v in views]
     b = body.strip()
     if not ctes:
         return b
-    head = "WITH " + ",\n".join(ctes)
+    head = ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes)
     if b[:5].upper() == "WITH ":
         return head + ",\n" + b[5:]
     if b.startswith(","):
@@ -89,11 +89,11 @@ def with_views(views, body: str) -> str:
     return head + "\n" + b
 
 
-def query(name: str, sql: str | None = None, views=()):
+def query(name: str, sql: str | None = None, views=(), recursive: bool = False):
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, _zero_sign_safe(with_views(views, sql)) if sql else None)
+        REGISTRY[name] = Query(name, fn, _zero_sign_safe(with_views(views, sql, recursive)) if sql else None)
         return fn
     return deco
 

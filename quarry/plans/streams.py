@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import round_to
 from quarry.plans import views as V
 from quarry.plans.catalog import query
+from quarry.plans.windows import ELO_SQL
 from quarry.session import scratch_path
 from quarry.streaming import jobs as J
 
@@ -55,7 +56,8 @@ def stream_latest_snapshot(spark, sf):
     return J.latest_snapshot(spark, landing, o.schema, out, ck)
 
 
-@query("stream_elo")
+@query("stream_elo", views=["games"], recursive=True,
+       sql=ELO_SQL.replace(",\n       round(h - a, 1) AS elo_diff FROM elo", " FROM elo"))
 def stream_elo(spark, sf):
     """Streaming Elo: same pre-game ratings as the batch replay."""
     landing, out, ck = _run_dirs(spark, sf, "elo")

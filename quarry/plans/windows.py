@@ -422,7 +422,29 @@ def price_snapshot(spark, sf):
                     F.col("_s.c").alias("sparkline"))
 
 
-@query("elo_ratings")
+# Oracle: the same replay as a recursive CTE, one step per game per league,
+# ratings carried as a MAP (team -> rating).
+ELO_SQL = """
+, hg AS (SELECT league, game_id, game_date, team_abbr AS home, opponent_abbr AS away, win,
+                row_number() OVER (PARTITION BY league ORDER BY game_date, game_id) AS k
+         FROM games WHERE is_home = 1 AND win IS NOT NULL),
+elo(league, k, ratings, game_id, game_date, home, away, h, a) AS (
+  SELECT DISTINCT league, CAST(0 AS BIGINT), MAP([]::VARCHAR[], []::DOUBLE[]), NULL::VARCHAR, NULL::DATE,
+         NULL::VARCHAR, NULL::VARCHAR, NULL::DOUBLE, NULL::DOUBLE FROM hg
+  UNION ALL
+  SELECT s.league, s.k, map_concat(s.ratings,
+           MAP([s.home, s.away], [s.h + 20.0 * (s.win - s.e), s.a + 20.0 * ((1 - s.win) - (1 - s.e))])),
+         s.game_id, s.game_date, s.home, s.away, s.h, s.a
+  FROM (SELECT g.league, g.k, e0.ratings, g.game_id, g.game_date, g.home, g.away, g.win,
+               COALESCE(e0.ratings[g.home], 1500.0) AS h, COALESCE(e0.ratings[g.away], 1500.0) AS a,
+               1.0 / (1.0 + pow(10.0, (COALESCE(e0.ratings[g.away], 1500.0) - COALESCE(e0.ratings[g.home], 1500.0)) / 400.0)) AS e
+        FROM elo e0 JOIN hg g ON g.league = e0.league AND g.k = e0.k + 1) s
+)
+SELECT game_id, game_date, home, away, round(h, 1) AS home_pre_elo, round(a, 1) AS away_pre_elo,
+       round(h - a, 1) AS elo_diff FROM elo WHERE k > 0"""
+
+
+@query("elo_ratings", views=["games"], sql=ELO_SQL, recursive=True)
 def elo(spark, sf):
     g = V.games(spark, sf).filter((F.col("is_home") == 1) & F.col("win").isNotNull())
     home = g.select("league", "game_id", "game_date", F.col("team_abbr").alias("home"),
