@@ -75,7 +75,8 @@ def _row_index(key, order) -> Column:
     return (F.row_number().over(_w(key, order)) - 1).cast("double")
 
 
-def exp_weighted_running_sum(df: DataFrame, v: Column, key, order, r: float, out: str) -> DataFrame:
+def exp_weighted_running_sum(df: DataFrame, v: Column, key, order, r: float, out: str,
+                             index: str | None = None) -> DataFrame:
     """E_t = sum_{i<=t} r^(t-i) * v_i per key (nulls count as 0), any length.
 
     Rows are cut into blocks of B rows with r^-B <= e^300, so every weight
@@ -85,10 +86,14 @@ def exp_weighted_running_sum(df: DataFrame, v: Column, key, order, r: float, out
     r^(B-1) * T_(b-1) (T = block total) up to a term scaled by r^B <= e^-300,
     which is below double precision, so only the previous block is needed.
     The block running sums are windows over (key, block), not over the key.
+    ``index`` names a precomputed 0-based row position within the key (e.g.
+    ``_idx`` from :func:`blocked` / the grouped prefix scan); without it a
+    per-key row_number numbers the rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
     B = max(1, int(300.0 / -math.log(r)))
-    d = df.withColumn("_ew_i", F.row_number().over(_w(key, order)) - 1)
+    pos = F.col(index) if index else F.row_number().over(_w(key, order)) - 1
+    d = df.withColumn("_ew_i", pos)
     d = d.withColumn("_ew_b", F.floor(F.col("_ew_i") / B)).withColumn("_ew_j", F.col("_ew_i") - F.col("_ew_b") * B)
     d = d.withColumn("_ew_u", F.coalesce(v, F.lit(0.0)) * F.pow(F.lit(r), -F.col("_ew_j")))
     wb = Window.partitionBy(*keys, "_ew_b").orderBy("_ew_i").rowsBetween(Window.unboundedPreceding, 0)
@@ -101,23 +106,33 @@ def exp_weighted_running_sum(df: DataFrame, v: Column, key, order, r: float, out
     return d.withColumn(out, e).drop("_ew_i", "_ew_b", "_ew_j", "_ew_u", "_ew_c", "_ew_t")
 
 
-def ema(df: DataFrame, x: str, key, order, span: float, out: str) -> DataFrame:
+def ema(df: DataFrame, x: str, key, order, span: float, out: str, index: str | None = None) -> DataFrame:
     """pandas ``ewm(span, adjust=False).mean()``: y0 = x0, y = a*x + (1-a)*y[-1],
     i.e. y_t = sum_i w_i (1-a)^(t-i) x_i with w_0 = 1 and w_i = a after."""
     a = 2.0 / (span + 1.0)
-    first = F.row_number().over(_w(key, order)) == 1
+    first = (F.col(index) == 0) if index else (F.row_number().over(_w(key, order)) == 1)
     v = F.when(first, F.col(x)).otherwise(F.lit(a) * F.col(x))
-    return exp_weighted_running_sum(df, v, key, order, 1.0 - a, out)
+    return exp_weighted_running_sum(df, v, key, order, 1.0 - a, out, index)
 
 
-def ewm_adjusted(df: DataFrame, x: str, key, order, span: float, min_periods: int, out: str) -> DataFrame:
+def ewm_adjusted(df: DataFrame, x: str, key, order, span: float, min_periods: int, out: str,
+                 index: str | None = None) -> DataFrame:
     """pandas ``ewm(span, min_periods).mean()`` (adjust=True): weights r^(t-i)
-    over non-null values, positions counted including nulls."""
+    over non-null values, positions counted including nulls. With ``index``
+    the non-null count comes from the grouped prefix scan as well."""
     r = 1.0 - 2.0 / (span + 1.0)
-    d = exp_weighted_running_sum(df, F.col(x), key, order, r, "_ewm_n")
-    d = exp_weighted_running_sum(d, F.when(F.col(x).isNotNull(), F.lit(1.0)), key, order, r, "_ewm_d")
-    n = F.count(F.col(x)).over(_w(key, order).rowsBetween(Window.unboundedPreceding, 0))
-    return d.withColumn(out, F.when(n >= min_periods, F.col("_ewm_n") / F.col("_ewm_d"))).drop("_ewm_n", "_ewm_d")
+    d = exp_weighted_running_sum(df, F.col(x), key, order, r, "_ewm_n", index)
+    d = exp_weighted_running_sum(d, F.when(F.col(x).isNotNull(), F.lit(1.0)), key, order, r, "_ewm_d", index)
+    if index:
+        from quarry.operators.ordered import grouped_running
+        keys = [key] if isinstance(key, str) else list(key)
+        d = grouped_running(d.withColumn("_ewm_1", F.col(x).isNotNull().cast("long")), keys, [index],
+                            {"_ewm_c": "_ewm_1"}, exclusive=False).drop("_ewm_1")
+        n = F.col("_ewm_c")
+    else:
+        n = F.count(F.col(x)).over(_w(key, order).rowsBetween(Window.unboundedPreceding, 0))
+    return d.withColumn(out, F.when(n >= min_periods, F.col("_ewm_n") / F.col("_ewm_d"))) \
+            .drop("_ewm_n", "_ewm_d", "_ewm_c")
 
 
 def macd(df: DataFrame, price: str, key, order, fast=12, slow=26, signal=9) -> DataFrame:

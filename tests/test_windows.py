@@ -126,3 +126,23 @@ def test_blocked_windows_equal_per_key_windows(spark):
     assert len(got) == len(ref)
     for c in ["r", "l3", "f5"]:
         assert np.allclose(got[c].to_numpy(dtype=float), ref[c].to_numpy(dtype=float), equal_nan=True), c
+
+
+def test_ema_ewm_with_scan_index_on_hot_key(spark):
+    """Row positions from the grouped prefix scan instead of a per-key sort."""
+    from quarry.operators.ordered import grouped_running
+    rng = np.random.default_rng(12)
+    n = 6000
+    x = np.cumsum(rng.normal(size=n)) + 100
+    xn = x.copy()
+    xn[rng.random(n) < 0.05] = np.nan
+    pdf = pd.DataFrame({"k": ["hot"] * (n - 50) + ["cold"] * 50, "t": np.arange(n), "x": x, "xn": xn})
+    df = spark.createDataFrame(pdf, "k string, t long, x double, xn double")
+    ix = grouped_running(df.withColumn("_one", F.lit(1).cast("long")), ["k"], ["t"], {"i": "_one"})
+    got = W.ewm_adjusted(W.ema(ix, "x", "k", "t", 9, "e", index="i"), "xn", "k", "t", 10, 5, "w", index="i")
+    got = got.toPandas().sort_values(["k", "t"])
+    ref = pdf.sort_values(["k", "t"])
+    e = ref.groupby("k").x.transform(lambda s: s.ewm(span=9, adjust=False).mean())
+    w = ref.groupby("k").xn.transform(lambda s: s.ewm(span=10, min_periods=5).mean())
+    assert np.allclose(got.e.values, e.values, rtol=1e-9)
+    assert np.allclose(got.w.values, w.to_numpy(dtype=float), rtol=1e-9, equal_nan=True)
