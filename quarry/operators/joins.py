@@ -15,6 +15,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Broadcast size guard: the largest small side broadcast without a question.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking its size. The count stops at
+    ``max_rows + 1`` rows, so the check is cheap; beyond the limit the plain
+    DataFrame is returned and the planner / AQE choose the join (sort-merge
+    with skew splitting). Fixed-size tables (nation, region, calendar months)
+    are broadcast directly."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def asof_latest_before(probes: DataFrame, probe_id: Sequence[str], facts: DataFrame, key: str,
                        probe_time: str, fact_time: str, payload: Sequence[str], bucket: str = "month",
                        out: str = "asof", method: str = "bucket") -> DataFrame:
@@ -92,8 +106,8 @@ def fuzzy_contains_join(names: DataFrame, name_col: str, dim: DataFrame, code_co
     each name is compared with every entry of that fixed list only.
     """
     n = names.select(name_col).distinct().withColumn("_lname", F.lower(F.col(name_col)))
-    d = F.broadcast(dim.select(F.col(code_col).alias("_code"), F.lower(F.col(dim_name_col)).alias("_dname"),
-                               F.col(order_col).alias("_ord")))
+    d = bounded_broadcast(dim.select(F.col(code_col).alias("_code"), F.lower(F.col(dim_name_col)).alias("_dname"),
+                                     F.col(order_col).alias("_ord")))
     rule1 = F.col("_lname").contains(F.lower(F.col("_code"))) | F.col("_lname").contains(F.col("_dname"))
     words = F.split(F.col("_lname"), r"\s+")
     rule2 = F.exists(words, lambda wd: (F.length(wd) > 0) & F.col("_dname").contains(wd))
@@ -116,7 +130,7 @@ def fallback_chain(df: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[st
 def ordered_pairs(items: DataFrame, col: str, left: str = "home", right: str = "away") -> DataFrame:
     """All ordered pairs of a bounded item list, diagonal excluded."""
     a = items.select(F.col(col).alias(left))
-    b = F.broadcast(items.select(F.col(col).alias(right)))
+    b = bounded_broadcast(items.select(F.col(col).alias(right)))
     return a.join(b, F.col(left) != F.col(right))
 
 

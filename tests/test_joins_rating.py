@@ -61,3 +61,10 @@ def test_stream_elo_equals_batch(spark, registry):
     b = registry["elo_ratings"].build(spark, TEST_SF).select("game_id", "home_pre_elo", "away_pre_elo")
     s = registry["stream_elo"].build(spark, TEST_SF).select("game_id", "home_pre_elo", "away_pre_elo")
     assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
+
+
+def test_bounded_broadcast_checks_size(spark):
+    small = spark.range(10)
+    assert "broadcast" in J.bounded_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
+    big = spark.range(1000)
+    assert "broadcast" not in J.bounded_broadcast(big, 100)._jdf.queryExecution().logical().toString().lower()
