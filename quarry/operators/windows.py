@@ -262,3 +262,22 @@ def blocked(df: DataFrame, key, order, back: int, forward: int = 0, block_rows:
                   .otherwise(copies)
     d = d.select("*", F.explode(copies).alias("_c"))
     return d.select(*[c for c in d.columns if c != "_c"], F.col("_c.b").alias("_blk"), F.col("_c.own").alias("_own"))
+
+
+def keyed_frame(df: DataFrame, key, order, back: int, forward: int = 0, block_rows: int = 100_000):
+    """Choose the plan for row-frame windows from the data.
+
+    Returns ``(frame, keys, order, own)``. One small aggregate finds the
+    longest key. If every key fits in one block, plain per-key windows are
+    already bounded and are used as is; otherwise the blocked view (halo
+    rows, positions from the grouped prefix scan) spreads long keys over
+    tasks. Compute the windows over ``keys`` / ``order`` on ``frame``, then
+    keep rows where ``own`` is true.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if longest <= block_rows:
+        orders = [order] if isinstance(order, (str, Column)) else list(order)
+        return df, keys, orders, F.lit(True)
+    b = blocked(df, keys, order, back, forward, block_rows)
+    return b, keys + ["_blk"], ["_idx"], F.col("_own")

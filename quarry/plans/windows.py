@@ -34,7 +34,8 @@ def _roll_sql(x, n, m, agg="avg", current=True, part=_PW):
 SELECT ticker, date, round(lag(close, 1) OVER ({_PW}), 6) AS close_lag1,
        round(lag(close, 5) OVER ({_PW}), 6) AS close_lag5 FROM prices""")
 def lag_shift(spark, sf):
-    p = W.lag_cols(V.prices(spark, sf), K, O, ["close"], [1, 5], "{c}_lag{k}")
+    f, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=5)
+    p = W.lag_cols(f, kk, oo, ["close"], [1, 5], "{c}_lag{k}").filter(own)
     return p.select(K, O, r6(F.col("close_lag1")).alias("close_lag1"), r6(F.col("close_lag5")).alias("close_lag5"))
 
 
@@ -45,9 +46,11 @@ SELECT ticker, date, round(ln(lead(close, 5) OVER ({_PW}) / close), 6) AS fwd_re
        COALESCE(CAST(ln(lead(close, 5) OVER ({_PW}) / close) > 0 AS INTEGER), 0) AS target_reference
 FROM prices""")
 def lead_target(spark, sf):
-    p = V.prices(spark, sf)
-    w = W._w(K, O)
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=0, forward=5)
+    w = W._w(kk, oo)
     fwd = F.ln(safe_divide(F.lead("close", 5).over(w), F.col("close")))
+    p = p.withColumn("_fwd", fwd).filter(own)
+    fwd = F.col("_fwd")
     return p.select(K, O, r6(fwd).alias("fwd_ret_5d"),
                     F.when(fwd.isNotNull(), (fwd > 0).cast("int")).alias("target"),
                     F.coalesce((fwd > 0).cast("int"), F.lit(0)).alias("target_reference"))
@@ -60,8 +63,10 @@ SELECT ticker, date, round(ln(close / lag(close, 1) OVER ({_PW})), 6) AS ret_1d,
        round(ln(close / lag(close, 5) OVER ({_PW})) - ln(close / lag(close, 20) OVER ({_PW})), 6) AS mom_accel
 FROM prices""")
 def log_returns(spark, sf):
-    p = V.prices(spark, sf)
-    r1, r5, r20 = (W.log_return("close", K, O, k) for k in (1, 5, 20))
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=20)
+    r1, r5, r20 = (W.log_return("close", kk, oo, k) for k in (1, 5, 20))
+    p = p.withColumns({"_r1": r1, "_r5": r5, "_r20": r20}).filter(own)
+    r1, r5, r20 = F.col("_r1"), F.col("_r5"), F.col("_r20")
     return p.select(K, O, r6(r1).alias("ret_1d"), r6(r5).alias("ret_5d"), r6(r20).alias("ret_20d"),
                     r6(r5 - r20).alias("mom_accel"))
 
@@ -69,8 +74,9 @@ def log_returns(spark, sf):
 @query("pct_change", views=["prices"], sql=f"""
 SELECT ticker, date, round(close / lag(close, 1) OVER ({_PW}) - 1, 6) AS pct_change FROM prices""")
 def pct_change(spark, sf):
-    p = V.prices(spark, sf)
-    return p.select(K, O, r6(W.pct_change("close", K, O)).alias("pct_change"))
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=1)
+    return p.withColumn("_pc", W.pct_change("close", kk, oo)).filter(own) \
+        .select(K, O, r6(F.col("_pc")).alias("pct_change"))
 
 
 _GW = "PARTITION BY team_id ORDER BY game_date"
@@ -127,8 +133,9 @@ def rolling_std(spark, sf):
 @query("rolling_max", views=["prices"], sql=f"""
 SELECT ticker, date, round(close / ({_roll_sql('close', 252, 100, 'max')}), 6) AS price_52w_pct FROM prices""")
 def rolling_max(spark, sf):
-    p = V.prices(spark, sf)
-    return p.select(K, O, r6(F.col("close") / W.rolling("close", K, O, 252, 100, "max")).alias("price_52w_pct"))
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=251)
+    p = p.withColumn("_m", W.rolling("close", kk, oo, 252, 100, "max")).filter(own)
+    return p.select(K, O, r6(F.col("close") / F.col("_m")).alias("price_52w_pct"))
 
 
 def _rsi_sql(n):
@@ -141,8 +148,9 @@ g AS (SELECT ticker, date, CASE WHEN delta IS NOT NULL THEN greatest(delta, 0) E
              CASE WHEN delta IS NOT NULL THEN greatest(-delta, 0) END AS loss FROM d)
 SELECT ticker, date, round({_rsi_sql(14)}, 6) AS rsi_14, round({_rsi_sql(7)}, 6) AS rsi_7 FROM g""")
 def rsi(spark, sf):
-    p = V.prices(spark, sf)
-    return p.select(K, O, r6(W.rsi("close", K, O, 14)).alias("rsi_14"), r6(W.rsi("close", K, O, 7)).alias("rsi_7"))
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=14)
+    p = p.withColumns({"_r14": W.rsi("close", kk, oo, 14), "_r7": W.rsi("close", kk, oo, 7)}).filter(own)
+    return p.select(K, O, r6(F.col("_r14")).alias("rsi_14"), r6(F.col("_r7")).alias("rsi_7"))
 
 
 def _ema_sql(x, span, src_order=_PW, i="i"):
@@ -183,9 +191,10 @@ WITH b AS (SELECT ticker, date, close, {_roll_sql('close', 20, 20)} AS sma,
 SELECT ticker, date, round((close - (sma - 2 * sd)) / NULLIF(4 * sd, 0), 6) AS bb_pct_b,
        round((4 * sd) / NULLIF(sma, 0), 6) AS bb_width FROM b""")
 def bollinger(spark, sf):
-    p = V.prices(spark, sf)
-    pb, width = W.bollinger("close", K, O, 20)
-    return p.select(K, O, r6(pb).alias("bb_pct_b"), r6(width).alias("bb_width"))
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=19)
+    pb, width = W.bollinger("close", kk, oo, 20)
+    p = p.withColumns({"_pb": pb, "_bw": width}).filter(own)
+    return p.select(K, O, r6(F.col("_pb")).alias("bb_pct_b"), r6(F.col("_bw")).alias("bb_width"))
 
 
 @query("atr", views=["prices"], sql=f"""
@@ -194,8 +203,9 @@ WITH t AS (SELECT ticker, date, close,
            FROM prices)
 SELECT ticker, date, round(({_roll_sql('tr', 14, 14)}) / NULLIF(close, 0), 6) AS atr_14 FROM t""")
 def atr(spark, sf):
-    p = V.prices(spark, sf)
-    return p.select(K, O, r6(W.atr("high", "low", "close", K, O, 14)).alias("atr_14"))
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=14)
+    p = p.withColumn("_atr", W.atr("high", "low", "close", kk, oo, 14)).filter(own)
+    return p.select(K, O, r6(F.col("_atr")).alias("atr_14"))
 
 
 @query("volume_ratio", views=["prices"], sql=f"""
@@ -204,9 +214,9 @@ WITH v AS (SELECT ticker, date, volume, {_roll_sql('volume', 20, 10)} AS avg20,
 SELECT ticker, date, round(volume / NULLIF(avg20, 0), 6) AS vol_ratio,
        round(avg5 / NULLIF(avg20, 0), 6) AS vol_trend FROM v""")
 def volume_ratio(spark, sf):
-    p = V.prices(spark, sf)
-    avg20 = W.rolling("volume", K, O, 20, 10)
-    avg5 = W.rolling("volume", K, O, 5, 5)
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=19)
+    p = p.withColumns({"_a20": W.rolling("volume", kk, oo, 20, 10), "_a5": W.rolling("volume", kk, oo, 5, 5)}).filter(own)
+    avg20, avg5 = F.col("_a20"), F.col("_a5")
     return p.select(K, O, r6(safe_divide(F.col("volume"), avg20)).alias("vol_ratio"),
                     r6(safe_divide(avg5, avg20)).alias("vol_trend"))
 
@@ -219,8 +229,9 @@ SELECT ticker, date, round((close - s20) / NULLIF(s20, 0), 6) AS pct_above_sma20
        round((close - s200) / NULLIF(s200, 0), 6) AS pct_above_sma200,
        COALESCE(CAST(s20 > s50 AS INTEGER), 0) AS sma_20_50_cross FROM s""")
 def sma_deviation(spark, sf):
-    p = V.prices(spark, sf)
-    s20, s50, s200 = (W.rolling("close", K, O, n, m) for n, m in ((20, 10), (50, 25), (200, 100)))
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=199)
+    p = p.withColumns({f"_s{n}": W.rolling("close", kk, oo, n, m) for n, m in ((20, 10), (50, 25), (200, 100))}).filter(own)
+    s20, s50, s200 = F.col("_s20"), F.col("_s50"), F.col("_s200")
     c = F.col("close")
     return p.select(K, O, r6(safe_divide(c - s20, s20)).alias("pct_above_sma20"),
                     r6(safe_divide(c - s50, s50)).alias("pct_above_sma50"),

@@ -146,3 +146,16 @@ def test_ema_ewm_with_scan_index_on_hot_key(spark):
     w = ref.groupby("k").xn.transform(lambda s: s.ewm(span=10, min_periods=5).mean())
     assert np.allclose(got.e.values, e.values, rtol=1e-9)
     assert np.allclose(got.w.values, w.to_numpy(dtype=float), rtol=1e-9, equal_nan=True)
+
+
+def test_keyed_frame_switches_to_blocks_for_long_keys(spark):
+    pdf = pd.DataFrame({"k": ["hot"] * 700 + ["cold"] * 30, "t": np.r_[np.arange(700), np.arange(30)],
+                        "x": np.random.default_rng(1).normal(size=730)})
+    df = spark.createDataFrame(pdf, "k string, t long, x double")
+    f, kk, oo, own = W.keyed_frame(df, "k", "t", back=9, block_rows=100)
+    assert kk == ["k", "_blk"]
+    got = f.withColumn("r", W.rolling("x", kk, oo, 10, 5)).filter(own).toPandas().sort_values(["k", "t"])
+    exp = pdf.sort_values(["k", "t"]).groupby("k").x.transform(lambda s: s.rolling(10, min_periods=5).mean())
+    assert np.allclose(got.r.values, exp.to_numpy(dtype=float), equal_nan=True)
+    f2, kk2, _, _ = W.keyed_frame(df, "k", "t", back=9, block_rows=1000)
+    assert kk2 == ["k"]
