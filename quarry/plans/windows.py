@@ -88,8 +88,9 @@ SELECT team_id, game_date,
        CAST(least(COALESCE(date_diff('day', lag(game_date) OVER ({_GW}), game_date), 3), 10) <= 1 AS INTEGER) AS is_b2b
 FROM games""")
 def rest_days(spark, sf):
-    g = V.games(spark, sf)
-    rd = W.rest_days("game_date", "team_id", "game_date")
+    g, kk, oo, own = W.keyed_frame(V.games(spark, sf), "team_id", "game_date", back=1)
+    g = g.withColumn("_rd", W.rest_days("game_date", kk, oo)).filter(own)
+    rd = F.col("_rd")
     return g.select("team_id", "game_date", rd.alias("rest_days"), (rd <= 1).cast("int").alias("is_b2b"))
 
 
@@ -100,11 +101,13 @@ SELECT team_id, game_date,
        round({_roll_sql('win', 20, 8, current=False, part=_GW)}, 6) AS roll20_win_pct
 FROM games""")
 def rolling_mean_minperiods(spark, sf):
-    g = V.games(spark, sf)
     k, o = "team_id", "game_date"
-    return g.select(k, o, r6(W.rolling("pts", k, o, 5, 3, include_current=False)).alias("roll5_pts"),
-                    r6(W.rolling("pts", k, o, 10, 5, include_current=False)).alias("roll10_pts"),
-                    r6(W.rolling("win", k, o, 20, 8, include_current=False)).alias("roll20_win_pct"))
+    g, kk, oo, own = W.keyed_frame(V.games(spark, sf), k, o, back=20)
+    g = g.withColumns({"_r5": W.rolling("pts", kk, oo, 5, 3, include_current=False),
+                       "_r10": W.rolling("pts", kk, oo, 10, 5, include_current=False),
+                       "_r20": W.rolling("win", kk, oo, 20, 8, include_current=False)}).filter(own)
+    return g.select(k, o, r6(F.col("_r5")).alias("roll5_pts"), r6(F.col("_r10")).alias("roll10_pts"),
+                    r6(F.col("_r20")).alias("roll20_win_pct"))
 
 
 _RET1 = f"ln(close / lag(close, 1) OVER ({_PW}))"
@@ -309,23 +312,23 @@ SELECT team_id, game_date,
              / greatest(row_number() OVER (PARTITION BY team_id, season ORDER BY game_date) - 1, 1), 6) AS season_win_pct_reset
 FROM games""")
 def expanding_win_pct(spark, sf):
-    g = V.games(spark, sf)
-
-    def share(keys):
-        w = W._w(keys, "game_date")
-        prior = F.coalesce(F.sum("win").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return r6(prior / F.greatest(F.row_number().over(w) - 1, F.lit(1)))
-    return g.select("team_id", "game_date", share("team_id").alias("season_win_pct"),
-                    share(["team_id", "season"]).alias("season_win_pct_reset"))
+    # prior wins / prior games per team (and per team-season) from the
+    # grouped prefix scan: no per-team window
+    g = V.games(spark, sf).select("team_id", "season", "game_date", "win", F.lit(1).cast("long").alias("_one"))
+    a = grouped_running(g, ["team_id"], ["game_date"], {"_pw": "win", "_pn": "_one"})
+    a = grouped_running(a, ["team_id", "season"], ["game_date"], {"_sw": "win", "_sn": "_one"})
+    share = lambda w, n: r6(F.coalesce(F.col(w), F.lit(0)) / F.greatest(F.col(n), F.lit(1)))
+    return a.select("team_id", "game_date", share("_pw", "_pn").alias("season_win_pct"),
+                    share("_sw", "_sn").alias("season_win_pct_reset"))
 
 
 @query("warmup_skip", views=["games"], sql=f"""
 SELECT team_id, game_date, game_id FROM (
   SELECT team_id, game_date, game_id, row_number() OVER ({_GW}) AS rn FROM games) WHERE rn > 5""")
 def warmup_skip(spark, sf):
-    g = V.games(spark, sf)
-    return (g.withColumn("_rn", F.row_number().over(W._w("team_id", "game_date")))
-             .filter(F.col("_rn") > 5).select("team_id", "game_date", "game_id"))
+    g = V.games(spark, sf).select("team_id", "game_date", "game_id", F.lit(1).cast("long").alias("_one"))
+    r = grouped_running(g, ["team_id"], ["game_date"], {"_prior": "_one"})   # rows before this one
+    return r.filter(F.col("_prior") >= 5).select("team_id", "game_date", "game_id")
 
 
 @query("cross_section_zscore", views=["prices"], sql=f"""
