@@ -135,11 +135,11 @@ def ewm_adjusted(df: DataFrame, x: str, key, order, span: float, min_periods: in
             .drop("_ewm_n", "_ewm_d", "_ewm_c")
 
 
-def macd(df: DataFrame, price: str, key, order, fast=12, slow=26, signal=9) -> DataFrame:
-    d = ema(df, price, key, order, fast, "_ema_f")
-    d = ema(d, price, key, order, slow, "_ema_s")
+def macd(df: DataFrame, price: str, key, order, fast=12, slow=26, signal=9, index: str | None = None) -> DataFrame:
+    d = ema(df, price, key, order, fast, "_ema_f", index)
+    d = ema(d, price, key, order, slow, "_ema_s", index)
     d = d.withColumn("macd_line", F.col("_ema_f") - F.col("_ema_s"))
-    d = ema(d, "macd_line", key, order, signal, "macd_signal")
+    d = ema(d, "macd_line", key, order, signal, "macd_signal", index)
     d = d.withColumn("macd_hist", safe_divide(F.col("macd_line") - F.col("macd_signal"), F.col(price)))
     d = d.withColumn("macd_cross", (F.col("macd_line") > F.col("macd_signal")).cast("int"))
     return d.drop("_ema_f", "_ema_s")
@@ -281,3 +281,18 @@ def keyed_frame(df: DataFrame, key, order, back: int, forward: int = 0, block_ro
         return df, keys, orders, F.lit(True)
     b = blocked(df, keys, order, back, forward, block_rows)
     return b, keys + ["_blk"], ["_idx"], F.col("_own")
+
+
+def row_index(df: DataFrame, key, order, block_rows: int = 100_000) -> tuple[DataFrame, str | None]:
+    """Adaptive row numbering for the exponential windows: ``None`` (use the
+    per-key row_number) when every key fits in a block, otherwise a 0-based
+    ``_ix`` column from the grouped prefix scan so no window is keyed on the
+    key alone."""
+    keys = [key] if isinstance(key, str) else list(key)
+    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if longest <= block_rows:
+        return df, None
+    from quarry.operators.ordered import grouped_running
+    orders = [order] if isinstance(order, (str, Column)) else list(order)
+    d = grouped_running(df.withColumn("_one", F.lit(1).cast("long")), keys, orders, {"_ix": "_one"})
+    return d.drop("_one"), "_ix"

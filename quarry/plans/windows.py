@@ -171,8 +171,9 @@ _PI = f"(SELECT *, row_number() OVER ({_PW}) - 1 AS i FROM prices)"
 SELECT ticker, date, round({_ema_sql('close', 12)}, 6) AS ema_12, round({_ema_sql('close', 26)}, 6) AS ema_26
 FROM {_PI}""")
 def ema_recursive(spark, sf):
-    p = W.ema(V.prices(spark, sf), "close", K, O, 12, "ema_12")
-    p = W.ema(p, "close", K, O, 26, "ema_26")
+    p, ix = W.row_index(V.prices(spark, sf), K, O)
+    p = W.ema(p, "close", K, O, 12, "ema_12", ix)
+    p = W.ema(p, "close", K, O, 26, "ema_26", ix)
     return p.select(K, O, r6(F.col("ema_12")).alias("ema_12"), r6(F.col("ema_26")).alias("ema_26"))
 
 
@@ -183,7 +184,8 @@ SELECT ticker, date, round(macd_line, 6) AS macd_line, round(macd_signal, 6) AS
        round((macd_line - macd_signal) / NULLIF(close, 0), 6) AS macd_hist,
        CAST(macd_line > macd_signal AS INTEGER) AS macd_cross FROM s""")
 def macd(spark, sf):
-    p = W.macd(V.prices(spark, sf), "close", K, O)
+    p, ix = W.row_index(V.prices(spark, sf), K, O)
+    p = W.macd(p, "close", K, O, index=ix)
     return p.select(K, O, r6(F.col("macd_line")).alias("macd_line"), r6(F.col("macd_signal")).alias("macd_signal"),
                     r6(F.col("macd_hist")).alias("macd_hist"), "macd_cross")
 
