@@ -94,7 +94,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     for every id that has an edge to another one.
 
     Alternating large-star and small-star steps. Each step groups by id with
-    partial minima and joins back (a join that can split a hot hub); the edge
+    partial minima and joins back; the minima are written first, so that the
+    join is between two plain shuffles and AQE can split a hot hub. The edge
     list stays distributed and is written to the shared folder after each
     round. Null ends are dropped.
     """
@@ -104,9 +105,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     state = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large, "large")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                                                F.struct("u", F.col("m").alias("v")))).alias("e")) \
                      .select("e.u", "e.v").where("u <> v").distinct()

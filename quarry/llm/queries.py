@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import read_table
 from quarry.llm.encoding import public_path
+from quarry.llm.fingerprints import compare_with_next, lexicon
+from quarry.llm.jaccard import jaccard_components
 from quarry.llm.licenses import notices, scan_licenses
 from quarry.llm.lines import dedup_lines
 from quarry.llm.mixing import mix_sources
@@ -128,3 +130,35 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_folder(spark)
     index = write_token_files(documents(spark, sf_dir, "doc_id", "text"), public_path(), folder, end_id=2)
     return read_token_files(spark, index, folder)
+
+
+@query()
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, their edited texts and next documents."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return compare_with_next(docs, lexicon(docs))
+
+
+@query(r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM shingles),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT s.doc_id, any_value(len(s.s))::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM shingles s JOIN reach r ON s.doc_id = r.doc_id GROUP BY s.doc_id
+""")
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under a shingle likeness of 0.8."""
+    return jaccard_components(documents(spark, sf_dir, "doc_id", "text"), words=5)
