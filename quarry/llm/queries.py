@@ -19,6 +19,7 @@ from quarry.llm.licenses import notices, scan_licenses
 from quarry.llm.lines import dedup_lines
 from quarry.llm.mixing import mix_sources
 from quarry.llm.packing import pack_documents
+from quarry.llm.ppm import score_language
 from quarry.llm.quality import score_quality
 from quarry.llm.token_files import read_token_files, token_folder, write_token_files
 
@@ -162,3 +163,9 @@ FROM shingles s JOIN reach r ON s.doc_id = r.doc_id GROUP BY s.doc_id
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under a shingle likeness of 0.8."""
     return jaccard_components(documents(spark, sf_dir, "doc_id", "text"), words=5)
+
+
+@query()
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by the byte model and by the word model."""
+    return score_language(documents(spark, sf_dir, "doc_id", "text"))
