@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import binary_texts, by_bytes, mix64, shuffle_partitions, words_of
+from quarry.llm.common import binary_texts, by_bytes, mix64, shuffle_partitions, unzipped, words_of, zipped
 
 #: Subset l of a draw keeps each lexicon term with probability 2**-l.
 LEVELS = tuple(range(1, 11))
@@ -134,7 +134,7 @@ def fingerprint(docs: DataFrame, terms: list[bytes], seed: int = 1, text_col: st
 
 
 def in_descending_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_p, _last, _id, _text, _extra): partition p holds a range of ids,
+    """(_p, _extra, _id, _hash, _text, _text_n), texts ``zipped``: partition p holds a range of ids,
     sorted descending, and after them (``_extra``) a copy of the document that
     follows: the first of the next lower range, or for the lowest range the
     first of all. So every document and its next stand together. Null ids come
@@ -160,11 +160,12 @@ def in_descending_order(docs: DataFrame, id_col: str, text_col: str) -> DataFram
     tops = placed(src.select("_id")).groupBy("_p").agg(F.max("_id").alias("top"), F.count(F.lit(1)).alias("n")).orderBy("_p").collect()
     lead = [(r["top"], tops[k + 1]["_p"] if k + 1 < len(tops) else tops[0]["_p"], k + 1 == len(tops)) for k, r in enumerate(tops)]
     leads = spark.createDataFrame(lead, "_top bigint, _to int, _wrap boolean")  # a row a partition
+    src = src.withColumn("_hash", F.xxhash64("_text"))
     copies = src.join(F.broadcast(leads), F.col("_id").eqNullSafe(F.col("_top"))) \
-        .select(F.col("_to").alias("_p"), F.lit(True).alias("_extra"), "_id", "_text")
-    own = placed(src).select("_p", F.lit(False).alias("_extra"), "_id", "_text")
-    return own.unionByName(copies).repartitionById(max(1, len(cuts) + 1), F.col("_p")) \
-        .sortWithinPartitions("_extra", F.col("_id").desc_nulls_last(), F.xxhash64("_text"))
+        .select(F.col("_to").alias("_p"), F.lit(True).alias("_extra"), "_id", "_hash", "_text")
+    own = placed(src).select("_p", F.lit(False).alias("_extra"), "_id", "_hash", "_text")
+    return zipped(own.unionByName(copies), "_text").repartitionById(max(1, len(cuts) + 1), F.col("_p")) \
+        .sortWithinPartitions("_extra", F.col("_id").desc_nulls_last(), "_hash")
 
 
 def edited_text(text: str, following: str) -> str:
@@ -189,12 +190,13 @@ def compare_with_next(docs: DataFrame, terms: list[bytes], seed: int = 1, id_col
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         last, closed = None, False
         for b in batches:
-            rows = zip(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in ("_id", "_text", "_extra")])
-            for part in by_bytes(rows, lambda r: len(r[1]), 1 << 22):
+            rows = zip(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in ("_id", "_text", "_extra", "_text_n")])
+            for part in by_bytes(rows, lambda r: r[3], 1 << 22):
                 out: list[list] = [[] for _ in kinds]
-                for i, text, extra in part:
+                for i, raw, extra, n in part:
                     if closed:
                         break
+                    text = unzipped(raw, n).decode()
                     own = fp.of(text.encode())
                     if last is not None:
                         j, before, its = last

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quarry.llm.common import binary_texts, by_bytes, connected_components, mix64, words_of, written
+from quarry.llm.common import binary_texts, by_bytes, connected_components, mix64, unzipped, words_of, written, zipped
 
 #: Least likeness of a link, in hundredths.
 LIKENESS = 80
@@ -110,51 +110,51 @@ def signatures(features: np.ndarray) -> np.ndarray:
     return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
-def _with_sets(docs: DataFrame, words: int, sigs: bool) -> DataFrame:
-    """(id, n, h, g[, sigs]) of (id, text): size and 128-bit hash of the set, signatures."""
+def _with_sets(docs: DataFrame, words: int, zip_: bool = False) -> DataFrame:
+    """(id, n, h, g, sigs) of (id, text) or, with ``zip_``, (id, text, text_n): size and 128-bit hash of the set, signatures."""
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            rows = zip(b.column(0).to_pylist(), binary_texts(b.column(1)))
+            raw = binary_texts(b.column(1))
+            rows = zip(b.column(0).to_pylist(), map(unzipped, raw, b.column(2).to_pylist()) if zip_ else raw)
             for part in by_bytes(rows, lambda r: len(r[1]), 1 << 22):
                 sets = shingle_sets([t for _, t in part], words)
                 cols = [pa.array([i for i, _ in part], b.column(0).type), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([int(mix64(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets], pa.int64()),
                         pa.array([int((mix64(s ^ np.uint64(0xA5A5A5A5A5A5A5A5))).sum(dtype=np.uint64).astype(np.int64)) for s in sets], pa.int64())]
-                if sigs:
-                    got = [signatures(s) for s in sets]
-                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
-                    cols.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got) if got else [], pa.int64())))
-                yield pa.RecordBatch.from_arrays(cols, ["id", "n", "h", "g", "sigs"][: len(cols)])
+                got = [signatures(s) for s in sets]
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got), pa.int64())))
+                yield pa.RecordBatch.from_arrays(cols, ["id", "n", "h", "g", "sigs"])
 
-    return docs.mapInArrow(run, "id bigint, n bigint, h bigint, g bigint" + ", sigs array<bigint>" * sigs)
+    return docs.mapInArrow(run, "id bigint, n bigint, h bigint, g bigint, sigs array<bigint>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(a, b, near) for each pair: the exact likeness of their sets. The
     texts are joined to the pairs on either side; a text that is in very many
     pairs is split by AQE's skew join."""
-    ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    tb = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+    ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"), F.col("text_n").alias("na"))
+    tb = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"), F.col("text_n").alias("nb"))
 
     def run(batches):
         import pyarrow as pa
 
-        held: dict[int, np.ndarray] = {}  # sets of the pivots, which come again and again
+        held: dict[tuple, np.ndarray] = {}  # sets of the pivots, which come again and again
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ta, tb = batch.column(2), batch.column(3)
+            b, ta, na, tb, nb = [batch.column(k).to_pylist() for k in range(1, 6)]
             near = []
-            for k in range(len(a)):
-                if b[k] not in held:
+            for k in range(len(b)):
+                key = (b[k], tb[k])
+                if key not in held:
                     if len(held) > 64:
                         held.clear()
-                    held[b[k]] = shingle_sets(binary_texts(tb.slice(k, 1)), words)[0]
-                near.append(likeness_of(shingle_sets(binary_texts(ta.slice(k, 1)), words)[0], held[b[k]]) if len(held[b[k]]) else 0.0)
+                    held[key] = shingle_sets([unzipped(tb[k], nb[k])], words)[0]
+                near.append(likeness_of(shingle_sets([unzipped(ta[k], na[k])], words)[0], held[key]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.float64())], ["a", "b", "near"])
 
-    both = pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
+    both = pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "na", "tb", "nb")
     return both.mapInArrow(run, "a bigint, b bigint, near double")
 
 
@@ -185,7 +185,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, id_col: str = "doc_id",
     few candidate documents are shuffled.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sets = written(_with_sets(src, words, sigs=True), "sets")
+    sets = written(_with_sets(src, words), "sets")
 
     def exploded(df: DataFrame) -> DataFrame:
         """(ref, sig): ref is the id times two, plus the band's place."""
@@ -206,8 +206,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, id_col: str = "doc_id",
     copies = facts.join(same, ["n", "h", "g"]).select("id", "lead")
     leads = same.select(F.col("lead").alias("id"), "n").groupBy("id").agg(F.max("n").alias("m"), F.min("n").alias("l"))
     leads = written(leads, "leads")
-    texts = written(src.where("text <> ''").join(leads, "id", "left_semi"), "texts")
-    few = written(_with_sets(texts, words, sigs=True), "few")
+    texts = written(zipped(src.where("text <> ''"), "text").join(leads, "id", "left_semi"), "texts")
+    few = written(_with_sets(texts, words, zip_=True), "few")
     # 2. the rarest signatures of each
     rows = exploded(few)
     counts = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
