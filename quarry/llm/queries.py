@@ -22,6 +22,7 @@ from quarry.llm.packing import pack_documents
 from quarry.llm.ppm import score_language
 from quarry.llm.quality import score_quality
 from quarry.llm.token_files import read_token_files, token_folder, write_token_files
+from quarry.llm.topk import exact_top_k
 
 QUERIES, ORACLES = {}, {}
 
@@ -169,3 +170,18 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by the byte model and by the word model."""
     return score_language(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, s.vec_id, list_dot_product(q.e, s.e)::BIGINT AS score
+    FROM v q JOIN v s ON q.vec_id <> s.vec_id AND len(q.e) = len(s.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+""")
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest by inner product of every 20th vector."""
+    return exact_top_k(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 20 == 0, k=20)
