@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import safe_divide
-from quarry.operators.joins import bounded_broadcast
 from quarry.operators.ordered import exact_percentiles, ordered_scan
 
 
@@ -136,8 +135,8 @@ def cohort_retention(visits: DataFrame, entity: str, date: str, offsets_months:
                .withColumn("_hi", F.add_months("_start", F.col("offset") + window_months))
     v = visits if attended is None else visits.filter(F.col(attended) == 1)
     v = v.select(entity, date).join(first.select(entity, "cohort"), entity)
-    # wins has (#quarters x #offsets) rows, fixed by the calendar: broadcast.
-    hits = (v.join(bounded_broadcast(wins), "cohort")
+    # wins has (#quarters x #offsets) rows; the planner sees how small it is
+    hits = (v.join(wins, "cohort")
              .filter((F.col(date) >= F.col("_lo")) & (F.col(date) <= F.col("_hi")))
              .groupBy("cohort", "offset").agg(F.count_distinct(entity).alias("retained")))
     out = wins.join(hits, ["cohort", "offset"], "left")

@@ -1,9 +1,8 @@
 """Joins beyond plain equi joins: as-of, fuzzy contains, fallback chains,
 bounded pair grids, alignment.
 
-Broadcast policy: only sides whose size is fixed by the schema (team or
-sector lists, calendar grids, literal lookup tables) are broadcast
-explicitly. Everything else is left to the planner, where AQE decides
+Broadcast policy: only sides whose size is fixed by the schema or checked
+against a documented limit that raises are broadcast explicitly. Everything else is left to the planner, where AQE decides
 at runtime from measured sizes and splits skewed partitions.
 """
 
@@ -15,20 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Broadcast size guard: the largest small side broadcast without a question.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its size. The count stops at
-    ``max_rows + 1`` rows, so the check is cheap; beyond the limit the plain
-    DataFrame is returned and the planner / AQE choose the join (sort-merge
-    with skew splitting). Fixed-size tables (nation, region, calendar months)
-    are broadcast directly."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def asof_latest_before(probes: DataFrame, probe_id: Sequence[str], facts: DataFrame, key: str,
                        probe_time: str, fact_time: str, payload: Sequence[str], bucket: str = "month",
                        out: str = "asof", method: str = "bucket") -> DataFrame:
@@ -96,24 +81,35 @@ def _asof_by_scan(probes: DataFrame, probe_id: Sequence[str], facts: DataFrame,
     return probes.join(res, list(probe_id), "left")
 
 
+#: Entries a lookup list of ``fuzzy_contains_join`` may have; a longer one raises.
+LOOKUP_LIMIT = 10_000
+
+
 def fuzzy_contains_join(names: DataFrame, name_col: str, dim: DataFrame, code_col: str, dim_name_col: str,
                         order_col: str, out: str = "matched_code") -> DataFrame:
     """Full name -> code. Rule 1: the code or the dimension name occurs in
     the full name (case-insensitive). Rule 2: any word of the full name
     occurs in a dimension name. First hit by (rule, dimension order).
 
-    ``dim`` is a bounded lookup list (one row per team) and is broadcast;
-    each name is compared with every entry of that fixed list only.
+    ``dim`` is a lookup list (one row per team) of ``LOOKUP_LIMIT`` entries at
+    most; a longer one raises. Substring rules have no equality to join on:
+    the list becomes one array, each distinct name is tested against its
+    entries in place, and no join or shuffle of pairs is planned.
     """
-    n = names.select(name_col).distinct().withColumn("_lname", F.lower(F.col(name_col)))
-    d = bounded_broadcast(dim.select(F.col(code_col).alias("_code"), F.lower(F.col(dim_name_col)).alias("_dname"),
-                                     F.col(order_col).alias("_ord")))
-    rule1 = F.col("_lname").contains(F.lower(F.col("_code"))) | F.col("_lname").contains(F.col("_dname"))
-    words = F.split(F.col("_lname"), r"\s+")
-    rule2 = F.exists(words, lambda wd: (F.length(wd) > 0) & F.col("_dname").contains(wd))
-    cand = (n.join(d, rule1 | rule2)
-             .withColumn("_rule", F.when(rule1, 1).otherwise(2)))
-    best = cand.groupBy(name_col).agg(F.min_by("_code", F.struct("_rule", "_ord")).alias(out))
+    n = names.select(name_col).distinct()
+    d = dim.select(F.col(order_col).alias("o"), F.col(code_col).alias("c"), F.lower(F.col(dim_name_col)).alias("d")) \
+           .limit(LOOKUP_LIMIT + 1).collect()
+    if len(d) > LOOKUP_LIMIT:
+        raise ValueError(f"the lookup list has more than {LOOKUP_LIMIT} entries")
+    rows = [F.struct(F.lit(r["o"]).alias("o"), F.lit(r["c"]).alias("c"), F.lit(r["d"]).alias("d"))
+            for r in sorted(d, key=lambda r: r["o"])]
+    if not rows:
+        return names.withColumn(out, F.lit(None).cast("string"))
+    name, words = F.lower(F.col(name_col)), F.split(F.lower(F.col(name_col)), r"\s+")
+    rule1 = F.filter("_dim", lambda x: name.contains(F.lower(x["c"])) | name.contains(x["d"]))
+    rule2 = F.filter("_dim", lambda x: F.exists(words, lambda wd: (F.length(wd) > 0) & x["d"].contains(wd)))
+    best = n.withColumn("_dim", F.array(*rows)) \
+        .select(name_col, F.coalesce(F.get(rule1, 0)["c"], F.get(rule2, 0)["c"]).alias(out)).where(F.col(out).isNotNull())
     return names.join(best, name_col, "left")
 
 
@@ -128,10 +124,14 @@ def fallback_chain(df: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[st
 
 
 def ordered_pairs(items: DataFrame, col: str, left: str = "home", right: str = "away") -> DataFrame:
-    """All ordered pairs of a bounded item list, diagonal excluded."""
+    """All ordered pairs of an item list, diagonal excluded: the one operator
+    whose result is a pair grid. The list may have ``LOOKUP_LIMIT`` entries; a
+    longer one raises."""
+    if items.limit(LOOKUP_LIMIT + 1).count() > LOOKUP_LIMIT:
+        raise ValueError(f"the item list has more than {LOOKUP_LIMIT} entries")
     a = items.select(F.col(col).alias(left))
-    b = bounded_broadcast(items.select(F.col(col).alias(right)))
-    return a.join(b, F.col(left) != F.col(right))
+    b = items.select(F.col(col).alias(right))
+    return a.join(F.broadcast(b), F.col(left) != F.col(right))
 
 
 def align_to_keys(keys: DataFrame, agg: DataFrame, on: Sequence[str], fill: Mapping[str, object]) -> DataFrame:

@@ -46,26 +46,19 @@ def _order_cols(order_by: Sequence) -> list[Column]:
     return out
 
 
-def scan_partitions(spark) -> int:
-    """Range partitions for a scan: the shuffle-partition setting, capped at
-    four per core so small runs do not write hundreds of empty files."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
-
-
 def ordered_scan(df: DataFrame, order_by: Sequence, specs: Mapping[str, tuple[str, str]],
                  num_partitions: int | None = None) -> DataFrame:
     """Inclusive running ``op`` of columns in the global order ``order_by``.
 
     ``specs`` maps output column -> (op, input column) with op in
     sum/prod/max/min. ``order_by`` items are names (ascending) or
-    (name, ascending) tuples. Rows tied on the whole order key are scanned
+    (name, ascending) tuples. Without ``num_partitions`` there are as many
+    range partitions as the shuffle setting says, less those that AQE merges
+    because the data is small. Rows tied on the whole order key are scanned
     in arbitrary order; aggregate to distinct keys first when that matters.
     """
-    spark = df.sparkSession
-    n = num_partitions or scan_partitions(spark)
     cols = _order_cols(order_by)
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    ranged = df.repartitionByRange(*([num_partitions] if num_partitions else []), *cols).sortWithinPartitions(*cols)
     ck = cut_lineage(ranged)
 
     for out, (op, src) in specs.items():
@@ -80,23 +73,22 @@ def ordered_scan(df: DataFrame, order_by: Sequence, specs: Mapping[str, tuple[st
     totals = {r["_pid"]: r for r in ck.groupBy(F.spark_partition_id().alias("_pid")).agg(*aggs).collect()}
     carries: dict[int, dict[str, object]] = {}
     running: dict[str, object] = {k: None for k in specs}
-    for pid in range(n):
+    for pid in sorted(totals):  # partitions without rows have none to carry into
         carries[pid] = dict(running)
-        if pid in totals:
-            for out, (op, _) in specs.items():
-                v, prev = totals[pid][out], running[out]
-                if v is None:
-                    continue
-                if prev is None:
-                    running[out] = v
-                elif op == "sum":
-                    running[out] = prev + v
-                elif op == "prod":
-                    running[out] = prev * v
-                elif op == "max":
-                    running[out] = max(prev, v)
-                else:
-                    running[out] = min(prev, v)
+        for out, (op, _) in specs.items():
+            v, prev = totals[pid][out], running[out]
+            if v is None:
+                continue
+            if prev is None:
+                running[out] = v
+            elif op == "sum":
+                running[out] = prev + v
+            elif op == "prod":
+                running[out] = prev * v
+            elif op == "max":
+                running[out] = max(prev, v)
+            else:
+                running[out] = min(prev, v)
 
     in_fields = {f.name: f.dataType for f in df.schema.fields}
     out_fields = list(df.schema.fields)

@@ -184,20 +184,15 @@ def quantile_buckets(df: DataFrame, by: str, x: str, q: int = 10, out: str = "bu
 
 
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
-                  tiebreak: Sequence[str], salt_buckets: int = 16) -> DataFrame:
+                  tiebreak: Sequence[str]) -> DataFrame:
     """First ``n`` rows per key in ``order`` (ties broken by ``tiebreak``).
 
-    Two phases: top-n within (key, salt) where salt = hash(tiebreak) mod
-    ``salt_buckets``, then top-n over at most ``salt_buckets * n`` survivors
-    per key. A key holding a third of all rows is ranked by many tasks.
+    A rank below a constant is taken before the shuffle too (Spark's window
+    group limit): each task sends ``n`` rows a key at most, so a key holding a
+    third of all rows is cut down by the tasks that read it.
     """
-    salt = F.pmod(F.xxhash64(*tiebreak), F.lit(salt_buckets))
-    d = df.withColumn("_salt", salt)
-    ordering = list(order) + [F.col(t) for t in tiebreak]
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*ordering)
-    d = d.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= n)
-    w2 = Window.partitionBy(*keys).orderBy(*ordering)
-    return d.withColumn("_rank", F.row_number().over(w2)).filter(F.col("_rank") <= n).drop("_salt", "_r1")
+    w = Window.partitionBy(*keys).orderBy(*order, *[F.col(t) for t in tiebreak])
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n)
 
 
 def last_row_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -265,33 +260,22 @@ def blocked(df: DataFrame, key, order, back: int, forward: int = 0, block_rows:
 
 
 def keyed_frame(df: DataFrame, key, order, back: int, forward: int = 0, block_rows: int = 100_000):
-    """Choose the plan for row-frame windows from the data.
-
-    Returns ``(frame, keys, order, own)``. One small aggregate finds the
-    longest key. If every key fits in one block, plain per-key windows are
-    already bounded and are used as is; otherwise the blocked view (halo
-    rows, positions from the grouped prefix scan) spreads long keys over
-    tasks. Compute the windows over ``keys`` / ``order`` on ``frame``, then
-    keep rows where ``own`` is true.
+    """The frame for row-frame windows: ``(frame, keys, order, own)``.
+
+    Always the blocked view (halo rows, positions from the grouped prefix
+    scan), so a key of any length is spread over tasks and small data takes
+    the same plan as large. Compute the windows over ``keys`` / ``order`` on
+    ``frame``, then keep rows where ``own`` is true.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if longest <= block_rows:
-        orders = [order] if isinstance(order, (str, Column)) else list(order)
-        return df, keys, orders, F.lit(True)
     b = blocked(df, keys, order, back, forward, block_rows)
     return b, keys + ["_blk"], ["_idx"], F.col("_own")
 
 
-def row_index(df: DataFrame, key, order, block_rows: int = 100_000) -> tuple[DataFrame, str | None]:
-    """Adaptive row numbering for the exponential windows: ``None`` (use the
-    per-key row_number) when every key fits in a block, otherwise a 0-based
-    ``_ix`` column from the grouped prefix scan so no window is keyed on the
-    key alone."""
+def row_index(df: DataFrame, key, order) -> tuple[DataFrame, str]:
+    """Row numbering for the exponential windows: a 0-based ``_ix`` column
+    from the grouped prefix scan, so no window is keyed on the key alone."""
     keys = [key] if isinstance(key, str) else list(key)
-    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if longest <= block_rows:
-        return df, None
     from quarry.operators.ordered import grouped_running
     orders = [order] if isinstance(order, (str, Column)) else list(order)
     d = grouped_running(df.withColumn("_one", F.lit(1).cast("long")), keys, orders, {"_ix": "_one"})

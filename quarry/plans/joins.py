@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import round_to
 from quarry.operators import joins as J
 from quarry.operators import windows as W
-from quarry.operators.joins import bounded_broadcast
 from quarry.plans import views as V
 from quarry.plans.catalog import query
 from quarry.sources.tables import read_table
@@ -65,7 +64,7 @@ FROM prices p JOIN tickers t ON p.ticker = t.ticker WHERE t.is_etf = 0""")
 def dimension_join(spark, sf):
     t = V.tickers(spark, sf).filter(F.col("is_etf") == 0)
     # the ticker list is one row per brand: bounded, broadcast
-    j = V.prices(spark, sf).join(bounded_broadcast(t), "ticker")
+    j = V.prices(spark, sf).join(t, "ticker")
     return j.select("ticker", "date", "sector", r6(F.col("close")).alias("close"))
 
 
@@ -103,7 +102,7 @@ FROM prices p JOIN tickers t ON p.ticker = t.ticker LEFT JOIN sr ON sr.sector =
 def sector_context_join(spark, sf):
     sr = V.sector_prices(spark, sf)
     sr = sr.select(F.col("ticker").alias("sector"), "date", W.log_return("close", "ticker", "date", 5).alias("_r5"))
-    p = V.prices(spark, sf).select("ticker", "date").join(bounded_broadcast(V.tickers(spark, sf).select("ticker", "sector")),
+    p = V.prices(spark, sf).select("ticker", "date").join(V.tickers(spark, sf).select("ticker", "sector"),
                                                            "ticker")
     # long sector-return table joined on (sector, date), never wide columns
     j = p.join(sr, ["sector", "date"], "left")

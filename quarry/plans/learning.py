@@ -7,13 +7,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import round_to, safe_divide
+from quarry.operators import joins as J
 from quarry.operators import aggregates as A
 from quarry.operators import backtest as B
 from quarry.operators import metrics as M
 from quarry.operators import windows as W
 from quarry.operators.forecast import trend_forecast
 from quarry.operators.ordered import global_row_number
-from quarry.operators.joins import bounded_broadcast
 from quarry.plans import views as V
 from quarry.plans.catalog import query
 
@@ -251,7 +251,7 @@ SELECT t.sector, strftime(r.date, '%Y-%m') AS month, round(avg(r.ret), 6) AS avg
 FROM r JOIN tickers t ON r.ticker = t.ticker GROUP BY 1, 2""")
 def sector_returns(spark, sf):
     p = V.prices(spark, sf).withColumn("ret", W.pct_change("close", "ticker", "date"))
-    j = p.join(bounded_broadcast(V.tickers(spark, sf).select("ticker", "sector")), "ticker")
+    j = p.join(V.tickers(spark, sf).select("ticker", "sector"), "ticker")
     return j.groupBy("sector", F.date_format("date", "yyyy-MM").alias("month")).agg(
         r6(F.avg("ret")).alias("avg_daily_ret"), F.count("ret").alias("n"))
 
@@ -369,7 +369,7 @@ SELECT l.ticker, t.sector, round(l.prob, 6) AS prob, row_number() OVER (ORDER BY
 FROM l JOIN tickers t ON l.ticker = t.ticker""")
 def screener_output(spark, sf):
     p = preds(spark, sf).select("ticker", "date", "prob")
-    last = W.last_row_per_key(p, ["ticker"], ["date"]).join(bounded_broadcast(V.tickers(spark, sf).select("ticker", "sector")),
+    last = W.last_row_per_key(p, ["ticker"], ["date"]).join(V.tickers(spark, sf).select("ticker", "sector"),
                                                             "ticker")
     ranked = global_row_number(last, [("prob", False), "ticker"], "rank")
     tier = (F.when(F.col("prob") >= 0.65, "strong buy").when(F.col("prob") >= 0.60, "buy")
@@ -392,9 +392,10 @@ def matchup_feature_vector(spark, sf):
     a = W.last_row_per_key(g.filter(F.col("is_home") == 0).select("team_abbr", "game_date", "pts", "fga"),
                            ["team_abbr"], ["game_date"])
     hh = h.select(F.col("team_abbr").alias("home"), F.col("pts").alias("home_pts"), F.col("fga").alias("_hf"))
-    aa = bounded_broadcast(a.select(F.col("team_abbr").alias("away"), F.col("pts").alias("away_pts"), F.col("fga").alias("_af")))
-    # team list is fixed-size: all ordered pairs of it
-    j = hh.join(aa, F.col("home") != F.col("away"))
+    aa = a.select(F.col("team_abbr").alias("away"), F.col("pts").alias("away_pts"), F.col("fga").alias("_af"))
+    # the requested matchups: here every ordered pair of the team list
+    asked = J.ordered_pairs(h.select("team_abbr").unionByName(a.select("team_abbr")).distinct(), "team_abbr")
+    j = asked.join(hh, "home").join(aa, "away")
     return j.select("home", "away", "home_pts", "away_pts", (F.col("home_pts") - F.col("away_pts")).alias("diff_pts"),
                     (F.col("_hf") - F.col("_af")).alias("diff_fga"),
                     F.lit(0.0).alias("elo_diff"))   # reference value at inference (see SURVEY V11)
@@ -595,7 +596,9 @@ def walk_forward_folds(spark, sf):
                  F.date_sub("test_start", WF_EMBARGO).alias("train_end"),
                  F.date_sub("test_start", WF_EMBARGO + WF_TRAIN_DAYS).alias("train_start"))
     daily = p.groupBy("date").agg(F.count(F.lit(1)).alias("n"))   # one row per date
-    j = daily.join(bounded_broadcast(f), (F.col("date") >= F.col("train_start")) & (F.col("date") < F.col("test_end")))
+    # each fold's days, so that the join is an equality (folds x days of a fold)
+    days = f.withColumn("date", F.explode(F.sequence("train_start", F.date_sub("test_end", 1))))
+    j = daily.join(days, "date")
     cnt = j.groupBy("k").agg(
         F.sum(F.when((F.col("date") >= F.col("train_start")) & (F.col("date") < F.col("train_end")), F.col("n"))
               .otherwise(0)).alias("n_train"),
@@ -624,7 +627,9 @@ def expanding_folds(spark, sf):
     r = global_row_number(p, ["date", "ticker"], "rn")
     folds = r.sparkSession.range(1, 6).select(F.col("id").cast("int").alias("fold"))
     folds = folds.select("fold", (n - (5 - F.col("fold") + 1) * ts).alias("tsr"), ts.alias("ts"))
-    j = r.join(bounded_broadcast(folds), (F.col("rn") == F.col("tsr")) | (F.col("rn") == F.col("tsr") + 1))
+    # the two rows at each fold's edge: an equality for either
+    edges = folds.withColumn("rn", F.explode(F.array(F.col("tsr"), F.col("tsr") + 1)))
+    j = r.join(edges, "rn")
     return j.groupBy("fold", "tsr", "ts").agg(
         F.max(F.when(F.col("rn") == F.col("tsr"), F.col("date"))).alias("train_end_date"),
         F.max(F.when(F.col("rn") == F.col("tsr") + 1, F.col("date"))).alias("test_start_date")) \

@@ -197,13 +197,13 @@ def vig_removal_edge(spark, sf):
 
 
 @query("payout_breakeven", views=["odds"], sql="""
-SELECT DISTINCT round(CASE WHEN home_ml > 0 THEN home_ml ELSE 10000.0 / abs(home_ml) END, 6) AS profit_per_100,
+SELECT poll_id, round(CASE WHEN home_ml > 0 THEN home_ml ELSE 10000.0 / abs(home_ml) END, 6) AS profit_per_100,
        round(100.0 / (CASE WHEN home_ml > 0 THEN home_ml ELSE 10000.0 / abs(home_ml) END + 100.0), 6) AS breakeven
-FROM odds WHERE home_ml BETWEEN -120 AND -100""")
+FROM odds""")
 def payout_breakeven(spark, sf):
-    o = V.odds(spark, sf).filter(F.col("home_ml").between(-120, -100))
-    return o.select(r6(S.profit_per_unit("home_ml")).alias("profit_per_100"),
-                    r6(S.breakeven_probability("home_ml")).alias("breakeven")).distinct()
+    o = V.odds(spark, sf)
+    return o.select("poll_id", r6(S.profit_per_unit("home_ml")).alias("profit_per_100"),
+                    r6(S.breakeven_probability("home_ml")).alias("breakeven"))
 
 
 _BET_SQL = """

@@ -22,10 +22,12 @@ def _run_dirs(spark, sf, name):
     return os.path.join(base, "landing"), os.path.join(base, "out"), os.path.join(base, "checkpoint")
 
 
-def _land(df, path, chunks):
-    """Write each chunk as its own file, in order (later files land later)."""
+def _run_chunks(df, landing, chunks, job):
+    """Land each chunk as it is partitioned and run the job on what is new,
+    chunk by chunk: later files land later."""
     for c in chunks:
-        df.filter(c).coalesce(1).write.mode("append").parquet(path)
+        df.filter(c).write.mode("append").parquet(landing)
+        job()
 
 
 @query("stream_dedupe_ingest", views=["games"], sql="""
@@ -34,13 +36,12 @@ def stream_dedupe_ingest(spark, sf):
     landing, out, ck = _run_dirs(spark, sf, "dedupe")
     g = V.games(spark, sf).select("game_id", "team_id", "pts", F.col("game_date").cast("timestamp").alias("event_ts"))
     y = F.year("event_ts")
-    first = g.filter(y <= 1997)
-    _land(g, landing, [y <= 1997, (y >= 1997) & (y <= 1999), y >= 1999])   # overlapping polls
-    # a repeated poll of already-seen keys with other values: must change nothing
-    first.withColumn("pts", F.col("pts") + 1000).coalesce(1).write.mode("append").parquet(landing)
     schema = g.schema
-    res = J.dedupe_ingest(spark, landing, schema, out, ck)
-    return res.select("game_id", "team_id", "pts")
+    job = lambda: J.dedupe_ingest(spark, landing, schema, out, ck, delay="3650 days")  # noqa: E731  the log spans seven years
+    _run_chunks(g, landing, [y <= 1997, (y >= 1997) & (y <= 1999), y >= 1999], job)   # overlapping polls
+    # a repeated poll of already-seen keys with other values: must change nothing
+    _run_chunks(g.withColumn("pts", F.col("pts") + 1000), landing, [y <= 1997], job)
+    return spark.read.schema(schema).parquet(out).select("game_id", "team_id", "pts")
 
 
 @query("stream_latest_snapshot", views=["odds"], sql="""
@@ -52,8 +53,9 @@ def stream_latest_snapshot(spark, sf):
     o = V.odds(spark, sf).select("poll_id", "game_key", "fetched_at", "fetch_date", "home_team", "away_team",
                                  "home_ml", "away_ml")
     d = F.dayofmonth("fetch_date")
-    _land(o, landing, [d <= 10, (d > 10) & (d <= 20), d > 20])
-    return J.latest_snapshot(spark, landing, o.schema, out, ck)
+    _run_chunks(o, landing, [d <= 10, (d > 10) & (d <= 20), d > 20],
+                lambda: J.latest_snapshot(spark, landing, o.schema, out, ck))
+    return J.read_snapshot(spark, out)
 
 
 @query("stream_elo", views=["games"], recursive=True,
@@ -65,7 +67,7 @@ def stream_elo(spark, sf):
     home = g.select("league", "game_id", "game_date", F.col("team_abbr").alias("home"),
                     F.col("opponent_abbr").alias("away"), "win")
     years = [r[0] for r in home.select(F.year("game_date")).distinct().orderBy(F.year("game_date")).collect()]
-    _land(home, landing, [F.year("game_date") == y for y in years])   # one file per season, in order
-    res = J.elo_stream(spark, landing, home.schema, out, ck)
-    return res.select("game_id", "game_date", "home", "away", round_to("home_pre_elo", 1).alias("home_pre_elo"),
+    _run_chunks(home, landing, [F.year("game_date") == y for y in years],   # season by season
+                lambda: J.elo_stream(spark, landing, home.schema, out, ck))
+    return spark.read.parquet(out).select("game_id", "game_date", "home", "away", round_to("home_pre_elo", 1).alias("home_pre_elo"),
                       round_to("away_pre_elo", 1).alias("away_pre_elo"))

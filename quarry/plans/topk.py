@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import round_to
-from quarry.operators.joins import bounded_broadcast
 from quarry.plans import views as V
 from quarry.plans.catalog import query
 
@@ -39,7 +38,7 @@ def top_bottom_movers(spark, sf):
     start = F.date_sub(p.agg(F.max("date")).scalar(), 7)
     m = (p.filter(F.col("date") >= start).groupBy("ticker")
           .agg((F.max_by("close", "date") / F.min_by("close", "date") - 1).alias("move")))
-    j = m.join(bounded_broadcast(V.tickers(spark, sf).select("ticker", "sector", "name")), "ticker")
+    j = m.join(V.tickers(spark, sf).select("ticker", "sector", "name"), "ticker")
     top = j.orderBy(F.desc("move"), "ticker").limit(10).withColumn("side", F.lit("top"))
     bot = j.orderBy(F.asc("move"), "ticker").limit(10).withColumn("side", F.lit("bottom"))
     return top.unionByName(bot).select("side", "ticker", "sector", "name", r6(F.col("move")).alias("move"))

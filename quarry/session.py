@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,11 +44,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a folder of our own is only chosen
-    when the session has none (local tests).
+    The cluster's setting always wins. A temporary folder of our own is only
+    chosen when the session has none and runs in one process (``local[*]``);
+    on a cluster a machine-local folder would lose rows, so that raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -66,6 +71,7 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
+    """A new path for an intermediate table under the shared checkpoint
+    folder; no two calls or runs share one."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")

@@ -63,8 +63,12 @@ def test_stream_elo_equals_batch(spark, registry):
     assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    assert "broadcast" in J.bounded_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
-    big = spark.range(1000)
-    assert "broadcast" not in J.bounded_broadcast(big, 100)._jdf.queryExecution().logical().toString().lower()
+def test_lookup_lists_have_a_limit(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(J, "LOOKUP_LIMIT", 5)
+    dim = spark.range(9).selectExpr("cast(id as string) c", "cast(id as string) d", "id o")
+    with pytest.raises(ValueError):
+        J.fuzzy_contains_join(dim.selectExpr("c as name"), "name", dim, "c", "d", "o")
+    with pytest.raises(ValueError):
+        J.ordered_pairs(dim, "c")
+    assert J.ordered_pairs(dim.limit(3), "c").count() == 6

@@ -81,7 +81,7 @@ def test_rsi_matches_pandas(spark, series):
 def test_top_n_per_hot_key(spark):
     pdf = pd.DataFrame({"k": ["hot"] * 5000 + ["cold"] * 10, "v": np.arange(5010) % 977, "id": np.arange(5010)})
     df = spark.createDataFrame(pdf)
-    got = W.top_n_per_key(df, ["k"], [F.col("v").desc()], 5, ["id"], salt_buckets=8).toPandas()
+    got = W.top_n_per_key(df, ["k"], [F.col("v").desc()], 5, ["id"]).toPandas()
     for k, grp in pdf.groupby("k"):
         exp = grp.sort_values(["v", "id"], ascending=[False, True]).head(5).id.tolist()
         assert got[got.k == k].sort_values("_rank").id.tolist() == exp
@@ -148,7 +148,7 @@ def test_ema_ewm_with_scan_index_on_hot_key(spark):
     assert np.allclose(got.w.values, w.to_numpy(dtype=float), rtol=1e-9, equal_nan=True)
 
 
-def test_keyed_frame_switches_to_blocks_for_long_keys(spark):
+def test_keyed_frame_is_blocked_at_every_size(spark):
     pdf = pd.DataFrame({"k": ["hot"] * 700 + ["cold"] * 30, "t": np.r_[np.arange(700), np.arange(30)],
                         "x": np.random.default_rng(1).normal(size=730)})
     df = spark.createDataFrame(pdf, "k string, t long, x double")
@@ -158,4 +158,4 @@ def test_keyed_frame_switches_to_blocks_for_long_keys(spark):
     exp = pdf.sort_values(["k", "t"]).groupby("k").x.transform(lambda s: s.rolling(10, min_periods=5).mean())
     assert np.allclose(got.r.values, exp.to_numpy(dtype=float), equal_nan=True)
     f2, kk2, _, _ = W.keyed_frame(df, "k", "t", back=9, block_rows=1000)
-    assert kk2 == ["k"]
+    assert kk2 == ["k", "_blk"]
