@@ -17,6 +17,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,9 @@ def assemble(features: Sequence[str], out: str = "features") -> VectorAssembler:
 
 def gbt_pipeline(features: Sequence[str], label: str, categorical: Sequence[str] = (), max_iter: int = 20,
                  max_depth: int = 5, step: float = 0.1, min_instances: int = 1, weight: str | None = None,
-                 max_bins: int = 64, seed: int = 42) -> Pipeline:
-    """Gradient-boosted trees; string categoricals are indexed first."""
+                 max_bins: int = 64, seed: int = 42, validation: str | None = None) -> Pipeline:
+    """Gradient-boosted trees; string categoricals are indexed first. Rows
+    with a true ``validation`` column decide when to stop before ``max_iter``."""
     stages, cols = [], []
     for c in categorical:
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"))
@@ -41,6 +43,8 @@ def gbt_pipeline(features: Sequence[str], label: str, categorical: Sequence[str]
                         stepSize=step, minInstancesPerNode=min_instances, maxBins=max_bins, seed=seed)
     if weight:
         gbt.setWeightCol(weight)
+    if validation:
+        gbt.setValidationIndicatorCol(validation)
     stages.append(gbt)
     return Pipeline(stages=stages)
 
@@ -77,21 +81,73 @@ def kmeans(df: DataFrame, features: Sequence[str], k: int = 4, seeds: Sequence[i
     return best[1].transform(a).drop("features")
 
 
-def isotonic_calibrated(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-                        folds: int = 3, max_iter: int = 10, seed: int = 42) -> DataFrame:
-    """Calibrated ensemble: per fold a GBT fit on the other folds and an
-    isotonic map fit on the held-out fold; test probabilities averaged."""
-    f = train.withColumn("_fold", F.pmod(F.xxhash64(*features, F.lit(seed)), F.lit(folds)))
-    probs = None
+def isotonic_calibrated(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: str,
+                        folds: int = 5, max_iter: int = 10, seed: int = 42) -> DataFrame:
+    """Calibrated ensemble: per fold (by a hash of ``key``) a GBT fit on the
+    other folds and an isotonic map fit on the held-out fold. The test rows
+    get each model's calibrated probability as one more column, and their
+    mean; nothing is joined, so null features and equal rows are safe."""
+    f = train.withColumn("_fold", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(folds)))
+    out = test
     for k in range(folds):
         fit_part, cal_part = f.filter(F.col("_fold") != k), f.filter(F.col("_fold") == k)
         m = gbt_pipeline(features, label, max_iter=max_iter, max_depth=3).fit(fit_part)
         cal = score(m, cal_part, "_raw")
-        iso = IsotonicRegression(featuresCol="_raw", labelCol=label, predictionCol="_cal").fit(cal)
-        t = iso.transform(score(m, test, "_raw")).select(F.col("_cal").alias(f"p{k}"), *test.columns)
-        probs = t if probs is None else probs.join(t.select(*test.columns, f"p{k}"), list(test.columns))
-    return probs.withColumn("prob", sum(F.col(f"p{k}") for k in range(folds)) / folds) \
-        .drop(*[f"p{k}" for k in range(folds)])
+        iso = IsotonicRegression(featuresCol="_raw", labelCol=label, predictionCol=f"_p{k}").fit(cal)
+        out = iso.transform(score(m, out, "_raw")).drop("_raw")
+    return out.withColumn("prob", sum(F.col(f"_p{k}") for k in range(folds)) / folds).drop(*[f"_p{k}" for k in range(folds)])
+
+
+def gain_importance(spark, model: PipelineModel) -> DataFrame:
+    """(feature, gain, share, scaled) of a tree pipeline: a row a feature."""
+    imp = model.stages[-1].featureImportances.toArray().tolist()
+    total, top = sum(imp) or 1.0, max(imp) or 1.0
+    rows = [(n, float(v), float(v) / total, 100.0 * float(v) / top) for n, v in zip(model.stages[-2].getInputCols(), imp)]
+    return spark.createDataFrame(rows, "feature string, gain double, share double, scaled double")
+
+
+#: Least probability, tier and advice, from the top.
+TIERS = ((0.5, "High", "Allow extra time and have another flight in mind."),
+         (0.3, "Medium", "Watch the status and keep a buffer for connections."),
+         (0.0, "Low", "No special care needed."))
+
+
+def advise(scored: DataFrame, prob: str, factors: dict[str, str]) -> DataFrame:
+    """``scored`` with ``tier`` and ``advice`` by probability, and ``factors``:
+    for each name the share (percent) of its column in the sum of their
+    sizes; equal shares where all are 0."""
+    tier, text = F.lit(TIERS[-1][1]), F.lit(TIERS[-1][2])
+    for least, name, advice in reversed(TIERS[:-1]):
+        tier = F.when(F.col(prob) >= least, name).otherwise(tier)
+        text = F.when(F.col(prob) >= least, advice).otherwise(text)
+    sizes = {k: F.abs(F.coalesce(F.col(c).cast("double"), F.lit(0.0))) for k, c in factors.items()}
+    total = sum(sizes.values())
+    share = [x for k, v in sizes.items() for x in (F.lit(k), F.when(total > 0, 100 * v / total).otherwise(100.0 / len(sizes)))]
+    return scored.withColumns({"tier": tier, "advice": text, "factors": F.create_map(*share)})
+
+
+def random_search(df: DataFrame, features: Sequence[str], label: str, block: str, trials: int, folds: int,
+                  max_iter: int = 5, seed: int = 42) -> tuple[list[dict], int]:
+    """Trials with a random depth (2 to 5) and step (log-uniform 0.02 to 0.3),
+    each fitted and scored on expanding folds: blocks before ``fold`` against
+    block ``fold``. Returns a row a fit and the trial with the best mean AUC."""
+    import random
+
+    draw = random.Random(seed)
+    rows = []
+    for t in range(1, trials + 1):
+        depth, step = draw.randint(2, 5), 0.02 * 15 ** draw.random()
+        for k in range(1, folds + 1):
+            train, test = df.filter(F.col(block) < k), df.filter(F.col(block) == k)
+            n_train, n_test, kinds = train.count(), test.count(), train.select(label).distinct().count()
+            auc = None
+            if kinds > 1 and n_test:
+                m = gbt_pipeline(features, label, max_iter=max_iter, max_depth=depth, step=step).fit(train)
+                auc = auc_exact(score(m, test), "prob", label).select("auc").first()
+                auc = auc["auc"] if auc else None
+            rows.append({"trial": t, "max_depth": depth, "step": step, "fold": k, "n_train": n_train, "n_test": n_test, "auc": auc})
+    mean = {t: [r["auc"] for r in rows if r["trial"] == t and r["auc"] is not None] for t in range(1, trials + 1)}
+    return rows, max(mean, key=lambda t: sum(mean[t]) / len(mean[t]) if mean[t] else -1.0)
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str,
@@ -131,3 +187,17 @@ def save_bundle(model: PipelineModel, spark, path: str, features: Sequence[str],
 def load_bundle(spark, path: str) -> tuple[PipelineModel, dict]:
     meta = json.loads(spark.read.text(os.path.join(path, "metadata")).first()["value"])
     return PipelineModel.load(os.path.join(path, "model")), meta
+
+
+def train_if_absent(spark, path: str, train, features: Sequence[str], version: str) -> tuple[PipelineModel, dict]:
+    """The bundle under ``path``; if there is none of this version, what
+    ``train()`` returns is saved first."""
+    try:
+        model, meta = load_bundle(spark, path)
+        if meta["version"] == version:
+            return model, meta
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    save_bundle(train(), spark, path, features, version)
+    return load_bundle(spark, path)
