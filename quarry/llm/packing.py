@@ -53,6 +53,10 @@ class Sizes:
                 yield a, total - a
 
 
+#: Fill levels below a full bin, and first items a level, that are tried before the best fit item by item.
+LEVELS, FIRSTS = 32, 8
+
+
 def fillings(free: Sizes, room: int, spare: int, width: int):
     """Undominated fillings of ``room``, the fullest first, each leaving
     ``spare`` at most; up to ``width`` of them.
@@ -68,7 +72,7 @@ def fillings(free: Sizes, room: int, spare: int, width: int):
     if not top:
         yield ()
         return
-    for fill in range(room, max(room - spare, 1) - 1, -1):
+    for fill in range(room, max(room - min(spare, LEVELS), 1) - 1, -1):
         if fill <= free.capacity and free.count.get(fill):
             yield (fill,)
             given += 1
@@ -82,7 +86,7 @@ def fillings(free: Sizes, room: int, spare: int, width: int):
             if not found:
                 first = free.largest(fill - 2)
                 tries = 0
-                while first and tries < 16 and not found:
+                while first and tries < FIRSTS and not found:
                     free.take(first)
                     for a, b in free.pairs(fill - first):
                         if a <= first:
@@ -229,7 +233,8 @@ def pack_pieces(pieces: DataFrame, capacity: int, length_col: str = "length", ke
                         F.col(length_col).cast("long").alias("_len"),
                         F.xxhash64(*[F.col(f"`{c}`") for c in (key or pieces.columns)]).alias("_h"))
     groups = max(1, -(-pieces.count() // group_rows))
-    src = src.withColumn("_g", F.pmod("_h", F.lit(groups)))
+    # a number of partitions that AQE leaves as it is: the rows are few, the work on them is not
+    src = src.withColumn("_g", F.pmod("_h", F.lit(groups))).repartition(2 * groups, "_g")
 
     def solve(table):
         import pyarrow as pa
