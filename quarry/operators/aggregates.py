@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import safe_divide
+from quarry.session import cut_lineage
 from quarry.operators.ordered import exact_percentiles, ordered_scan
 
 
@@ -103,10 +104,10 @@ def top_share(df: DataFrame, value: str, fractions: Mapping[str, float]) -> Data
     contributes only the rows needed to reach k.
     """
     v = df.select(F.col(value).alias("_x")).filter(F.col("_x").isNotNull())
-    cnt = v.groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
+    cnt = cut_lineage(v.groupBy("_x").agg(F.count(F.lit(1)).alias("_c")))  # the scan and both totals read it
     sc = ordered_scan(cnt, [("_x", False)], {"_cum": ("sum", "_c")})
-    n = v.agg(F.count(F.lit(1))).scalar()
-    total = v.agg(F.sum("_x")).scalar()
+    n = cnt.agg(F.sum("_c")).scalar()
+    total = cnt.agg(F.sum(F.col("_x") * F.col("_c"))).scalar()
     aggs = []
     for name, f in fractions.items():
         k = F.greatest(F.floor(n / F.lit(int(round(1 / f)))), F.lit(1))

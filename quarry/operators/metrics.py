@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import safe_divide
+from quarry.session import cut_lineage
 from quarry.operators.ordered import global_row_number, group_offsets, ordered_scan
 
 
@@ -32,7 +33,7 @@ def auc_exact(df: DataFrame, score: str, label: str, groups: Sequence[str] = ())
     """
     g = list(groups) or ["_g"]
     base = df if groups else df.withColumn("_g", F.lit(0))
-    cnt = _score_counts(base, score, label, g)
+    cnt = cut_lineage(_score_counts(base, score, label, g))  # read twice
     sc = ordered_scan(cnt, g + [score], {"_cn": ("sum", "_neg")})
     sc = sc.withColumn("_before", F.col("_cn") - F.col("_neg"))
     start = group_offsets(cnt, g, {"_b0": "_neg"}).select(*g, "_b0")

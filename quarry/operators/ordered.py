@@ -153,8 +153,9 @@ def global_row_number(df: DataFrame, order_by: Sequence, out: str = "rank",
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      qs: Mapping[str, float], num_partitions: int | None = None) -> DataFrame:
-    """Exact linearly interpolated quantiles per group (numpy 'linear').
+                      qs: Mapping[str, float], num_partitions: int | None = None, weight: str | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles per group (numpy 'linear'). With
+    ``weight`` a row stands for that many equal values.
 
     Values are first counted per (group, value), then a global prefix scan
     over (group, value) gives each distinct value its rank interval. No
@@ -164,8 +165,9 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     solo = not g
     if solo:  # one global group: a constant key keeps the same plan shape
         df, g = df.withColumn("_g", F.lit(0)), ["_g"]
-    counts = (df.filter(F.col(value_col).isNotNull())
-                .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c")))
+    # written once: the scan and the group offsets both read it
+    counts = cut_lineage(df.filter(F.col(value_col).isNotNull())
+                           .groupBy(*g, value_col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_c")))
     sc = ordered_scan(counts, g + [value_col], {"_cum": ("sum", "_c")}, num_partitions)
     sc = sc.withColumn("_end", F.col("_cum") - 1).withColumn("_start", F.col("_cum") - F.col("_c"))
     stats = group_offsets(counts, g, {"_base": "_c"}).withColumnRenamed("_base_total", "_n")
@@ -205,7 +207,8 @@ def grouped_running(df: DataFrame, group: Sequence[str], order: Sequence, sums:
     sc = ordered_scan(df, g + list(order), specs, num_partitions)
     incl = {o: F.col(f"_c_{o}") for o in sums}
     excl = {o: F.col(f"_c_{o}") - F.coalesce(F.col(i), F.lit(0)) for o, i in sums.items()}
-    base = group_offsets(df, g, {f"_b_{o}": i for o, i in sums.items()}).select(*g, *[f"_b_{o}" for o in sums])
+    # offsets come from the written scan, so the input is evaluated once
+    base = group_offsets(sc, g, {f"_b_{o}": i for o, i in sums.items()}).select(*g, *[f"_b_{o}" for o in sums])
     j = sc.join(base, g)
     vals = excl if exclusive else incl
     return j.withColumns({o: vals[o] - F.col(f"_b_{o}") for o in sums}) \

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import flag, hhmm_hour, map_with_default, month_label, round_to, safe_divide
 from quarry.operators import aggregates as A
 from quarry.plans import views as V
+from quarry.session import cut_lineage
+from quarry.operators.ordered import exact_percentiles
 from quarry.plans.catalog import query
 
 
@@ -132,12 +134,16 @@ SELECT code, MIN(description) AS description, round(avg(payment), 2) AS avg_paym
                  WHEN 'LARGE' THEN 'surgical' WHEN 'PROMO' THEN 'cosmetic' ELSE 'other' END AS category
 FROM payer GROUP BY code""")
 def payment_benchmarks(spark, sf):
-    p = V.payer(spark, sf)
-    g = p.groupBy("code").agg(
-        F.min("description").alias("description"), r2(F.avg("payment")).alias("avg_payment"),
-        r2(F.avg("allowed")).alias("avg_allowed"), r2(F.avg("submitted")).alias("avg_charge"),
-        r2(F.sum("services")).alias("total_services"))
-    q = A.percentiles(p, ["code"], "payment", {"p25_payment": 0.25, "p75_payment": 0.75})
+    # one pass to (code, payment) with sums beside the counts; averages and percentiles both come from it
+    c = cut_lineage(V.payer(spark, sf).groupBy("code", "payment").agg(
+        F.min("description").alias("description"), F.count("payment").alias("n"), F.sum("allowed").alias("allowed"),
+        F.count("allowed").alias("n_allowed"), F.sum("submitted").alias("submitted"),
+        F.count("submitted").alias("n_submitted"), F.sum("services").alias("services")))
+    g = c.groupBy("code").agg(
+        F.min("description").alias("description"), r2(F.sum(F.col("payment") * F.col("n")) / F.sum("n")).alias("avg_payment"),
+        r2(F.sum("allowed") / F.sum("n_allowed")).alias("avg_allowed"),
+        r2(F.sum("submitted") / F.sum("n_submitted")).alias("avg_charge"), r2(F.sum("services")).alias("total_services"))
+    q = exact_percentiles(c, ["code"], "payment", {"p25_payment": 0.25, "p75_payment": 0.75}, weight="n")
     return (g.join(q, "code")
              .withColumn("p25_payment", r2(F.col("p25_payment")))
              .withColumn("p75_payment", r2(F.col("p75_payment")))
@@ -172,12 +178,14 @@ SELECT s.state, s.n_providers, round(s.avg_payment, 2) AS avg_payment, round(s.t
 FROM s, nat, foc""")
 def geo_variation(spark, sf):
     p = V.payer(spark, sf)
-    s = p.groupBy("state").agg(F.count_distinct("provider_id").alias("n_providers"),
-                               F.avg("payment").alias("_avg"), F.sum("services").alias("_svc"))
-    national = p.agg(F.avg("payment")).scalar()
-    focus = p.filter(F.col("state") == FOCUS_STATE)
-    focus_avg = focus.agg(F.avg("payment")).scalar()
-    focus_n = focus.agg(F.count_distinct("provider_id")).scalar()
+    # one pass by state; the country and the focus state are read off its few rows
+    s = cut_lineage(p.groupBy("state").agg(F.count_distinct("provider_id").alias("n_providers"), F.sum("payment").alias("_sum"),
+                                           F.count("payment").alias("_n"), F.sum("services").alias("_svc"))
+                     .withColumn("_avg", F.col("_sum") / F.col("_n")))
+    national = s.agg(F.sum("_sum") / F.sum("_n")).scalar()
+    focus = s.filter(F.col("state") == FOCUS_STATE)
+    focus_avg = focus.agg(F.max("_avg")).scalar()
+    focus_n = focus.agg(F.coalesce(F.max("n_providers"), F.lit(0))).scalar()
     return s.select("state", "n_providers", r2(F.col("_avg")).alias("avg_payment"),
                     r2(F.col("_svc")).alias("total_services"),
                     r2(national).alias("national_avg_payment"),

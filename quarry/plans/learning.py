@@ -31,11 +31,11 @@ def r2(c):
 def preds(spark, sf):
     """Per (ticker, date): 5-day momentum score as probability, forward
     5-day log return, target and prediction; rows with both known."""
-    p = V.prices(spark, sf)
-    r5 = W.log_return("close", "ticker", "date", 5)
-    fwd = F.ln(safe_divide(F.lead("close", 5).over(W._w("ticker", "date")), F.col("close")))
+    p, keys, order, own = W.keyed_frame(V.prices(spark, sf).select("ticker", "date", "close"), "ticker", "date", back=5, forward=5)
+    r5 = W.log_return("close", keys, order, 5)
+    fwd = F.ln(safe_divide(F.lead("close", 5).over(W._w(keys, order)), F.col("close")))
     prob = F.least(F.greatest(F.lit(0.5) + 4 * r5, F.lit(0.0)), F.lit(1.0))
-    d = p.select("ticker", "date", fwd.alias("fwd"), prob.alias("prob"))
+    d = p.select("ticker", "date", fwd.alias("fwd"), prob.alias("prob"), own.alias("_own")).filter("_own").drop("_own")
     d = d.filter(F.col("fwd").isNotNull() & F.col("prob").isNotNull())
     return d.withColumn("pred", (F.col("prob") >= 0.5).cast("int")).withColumn("target", (F.col("fwd") > 0).cast("int"))
 
