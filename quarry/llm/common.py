@@ -129,6 +129,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")) \
              .where("u is not null and v is not null and u <> v").distinct()
     e = written(e, "edges")
+    if e.isEmpty():
+        return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     state = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -30,6 +30,9 @@ BAND = 3
 #: Of a band's parts, the share that is used: enough for the guarantee at its lower and upper end.
 USED = 0.85
 
+#: 64-bit words of a set's parity sketch.
+PARITY_WORDS = 16
+
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _powers: list[np.ndarray] = []
@@ -110,8 +113,17 @@ def signatures(features: np.ndarray) -> np.ndarray:
     return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
+def parities(features: np.ndarray) -> list[int]:
+    """``PARITY_WORDS`` times 64 bits; each feature flips one. The bits in which
+    two sets differ are features in which they differ, at least as many."""
+    bit = mix64(features ^ np.uint64(0x3C6EF372FE94F82B)) % np.uint64(64 * PARITY_WORDS)
+    odd = np.bincount(bit.astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def _with_sets(docs: DataFrame, words: int, zip_: bool = False) -> DataFrame:
-    """(id, n, h, g, sigs) of (id, text) or, with ``zip_``, (id, text, text_n): size and 128-bit hash of the set, signatures."""
+    """(id, n, h, g, sigs) of (id, text) or, with ``zip_``, (id, text, text_n): size and 128-bit hash
+    of the set, signatures; with ``zip_`` also its parity sketch ``p``."""
     def run(batches):
         import pyarrow as pa
 
@@ -126,9 +138,11 @@ def _with_sets(docs: DataFrame, words: int, zip_: bool = False) -> DataFrame:
                 got = [signatures(s) for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
                 cols.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got), pa.int64())))
-                yield pa.RecordBatch.from_arrays(cols, ["id", "n", "h", "g", "sigs"])
+                if zip_:
+                    cols.append(pa.array([parities(s) for s in sets], pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(cols, ["id", "n", "h", "g", "sigs", "p"][: len(cols)])
 
-    return docs.mapInArrow(run, "id bigint, n bigint, h bigint, g bigint, sigs array<bigint>")
+    return docs.mapInArrow(run, "id bigint, n bigint, h bigint, g bigint, sigs array<bigint>" + ", p array<bigint>" * zip_)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -178,8 +192,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, id_col: str = "doc_id",
        fewest signatures of its own, so a bucket of any size costs one
        comparison a row; links give components.
     4. Where a bucket still holds several components, sets of different
-       components are compared, all that can be near by the triangle
-       inequality of the Jaccard distance to that one set.
+       components are compared, all that can be near by their sizes, by the
+       triangle inequality of the Jaccard distance to that one set, and by
+       parity sketches, which bound from below how much two sets differ.
 
     Comparisons use whole sets. Only counts, signatures and the texts of the
     few candidate documents are shuffled.
@@ -213,38 +228,55 @@ def jaccard_components(docs: DataFrame, words: int = 5, id_col: str = "doc_id",
     counts = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
     rows = rows.join(counts, "sig", "left").withColumn("c", F.coalesce("c", F.lit(1)))
     its = W.partitionBy("ref")  # a document's signatures
-    kept = rows.withColumn("r", F.row_number().over(its.orderBy("c", "sig"))).withColumn("own", F.count(F.when(F.col("c") == 1, 1)).over(its)) \
+    ranked = rows.withColumn("r", F.row_number().over(its.orderBy("c", "sig"))).withColumn("own", F.count(F.when(F.col("c") == 1, 1)).over(its)) \
         .withColumn("id", F.shiftright("ref", 1)).where("c > 1").join(leads, "id")
     budget = F.floor(F.col("m") * (100 - LIKENESS) / LIKENESS).cast("long")
-    kept = written(kept.where(F.col("r") <= budget + 1).select("sig", "id", "m", "l", F.least(F.col("own") / F.col("m"), F.lit(1.0)).alias("own")), "kept")
+    ranked = written(ranked.select("sig", "id", "m", "l", (F.col("own") / F.col("m")).alias("own"), (F.col("r") <= budget + 1).alias("rare")), "ranked")
+    kept = ranked.where("rare").drop("rare")
     # 3. a star a bucket
-    pivot = kept.groupBy("sig").agg(F.min(F.struct("own", "id", "m", "l")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    # the pivot is sought among all sets with the signature, so that the buckets of a group mostly have the same
+    pivot = ranked.groupBy("sig").agg(F.min(F.struct("own", "id", "m", "l")).alias("p"), F.count_if("rare").alias("c")).where("c > 0")
     pivot = written(pivot.select("sig", F.col("p.id").alias("b"), F.col("p.m").alias("mb"), F.col("p.l").alias("lb")), "pivots")
     member = kept.join(pivot, "sig")
     fits = (F.col("m") * 100 >= F.col("lb") * LIKENESS) & (F.col("mb") * 100 >= F.col("l") * LIKENESS)
     pairs = member.where((F.col("id") != F.col("b")) & fits).select(F.col("id").alias("a"), "b").distinct()
     stars = written(_verified(pairs, texts, words), "stars")
     near = F.col("near") >= LIKENESS
-    links = stars.where(near).select("a", "b")
-    found = written(connected_components(links), "star-components")
+    # an id with several texts joins what each of them stands for
+    first = copies.groupBy("id").agg(F.min("lead").alias("first"))
+    several = copies.join(first, "id").where(F.col("lead") != F.col("first")).select(F.col("lead").alias("a"), F.col("first").alias("b"))
+    found = written(connected_components(stars.where(near).select("a", "b").unionByName(several)), "star-components")
     # 4. buckets that hold several components yet
     part = F.coalesce("component", "id")
     placed = member.select("sig", "id", "b", "m", "l").join(found, "id", "left").withColumn("part", part).drop("component")
     placed = written(placed, "placed")
     open_ = written(placed.groupBy("sig").agg((F.min("part") != F.max("part")).alias("o")).where("o").select("sig"), "open-buckets")
-    left = placed.join(open_, "sig", "left_semi").join(stars.select(F.col("a").alias("id"), "b", "near"), ["id", "b"], "left") \
+    # once for each pivot and set; those outside the pivot's component are compared with all others of the pivot
+    left = placed.join(open_, "sig", "left_semi").select("id", "b", "m", "l", "part").distinct() \
+        .join(stars.select(F.col("a").alias("id"), "b", "near"), ["id", "b"], "left") \
         .withColumn("far", F.when(F.col("id") == F.col("b"), F.lit(0.0)).otherwise(1 - F.col("near") / 100))
-    left = written(left.select("sig", "id", "m", "l", "part", "far"), "open")
-    x, y = left.alias("x"), left.alias("y")
+    left = left.join(found.select(F.col("id").alias("b"), F.col("component").alias("pb")), "b", "left").withColumn("pb", F.coalesce("pb", "b"))
+    sketches = few.select("id", "n", "p")
+    left = written(left.join(sketches, "id").select("id", "b", "n", "part", "far", "p", (F.col("part") != F.col("pb")).alias("out")), "open")
+    x, y = left.where("out").alias("x"), left.alias("y")
     close = F.lit(1 - LIKENESS / 100 + 1e-9)
-    # a null distance: not compared with the bucket's pivot because of their sizes
-    more = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.part") < F.col("y.part"))
-                  & (F.col("x.m") * 100 >= F.col("y.l") * LIKENESS) & (F.col("y.m") * 100 >= F.col("x.l") * LIKENESS)
-                  & (F.col("x.far").isNull() | F.col("y.far").isNull() | (F.abs(F.col("x.far") - F.col("y.far")) <= close))) \
+    apart = sum((F.bit_count(F.col("x.p")[k].bitwiseXOR(F.col("y.p")[k])) for k in range(PARITY_WORDS)), F.lit(0))
+    # a null distance: not compared with the pivot because of their sizes. Two sets of likeness t differ in
+    # (1 - t) / (1 + t) of their sizes' sum at most, and in no fewer features than their sketches do.
+    more = x.join(y, (F.col("x.b") == F.col("y.b")) & (F.col("x.part") != F.col("y.part"))
+                  & (~F.col("y.out") | (F.col("x.id") < F.col("y.id")))
+                  & (F.col("x.n") * 100 >= F.col("y.n") * LIKENESS) & (F.col("y.n") * 100 >= F.col("x.n") * LIKENESS)
+                  & (F.col("x.far").isNull() | F.col("y.far").isNull() | (F.abs(F.col("x.far") - F.col("y.far")) <= close))
+                  & (apart * (100 + LIKENESS) <= (F.col("x.n") + F.col("y.n")) * (100 - LIKENESS))) \
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     tried = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = _verified(more.join(tried, ["a", "b"], "left_anti"), texts, words)
-    links = written(links.unionByName(rest.where(near).select("a", "b")), "links")
-    parts = connected_components(links.unionByName(copies.select(F.col("id").alias("a"), F.col("lead").alias("b"))))
-    out = sets.groupBy("id").agg(F.max("n").alias("n_shingles")).join(parts, "id", "left")
+    # what these add is between components, and little
+    places = leads.select("id").join(found, "id", "left").select("id", part.alias("part"))
+    added = rest.where(near).join(places.select(F.col("id").alias("a"), F.col("part").alias("pa")), "a") \
+        .join(places.select(F.col("id").alias("b"), F.col("part").alias("pb")), "b")
+    last = connected_components(added, "pa", "pb").withColumnRenamed("component", "last")
+    places = places.join(last.withColumnRenamed("id", "part"), "part", "left").select(
+        F.col("id").alias("first"), F.coalesce("last", "part").alias("component"))
+    out = sets.groupBy("id").agg(F.max("n").alias("n_shingles")).join(first, "id", "left").join(places, "first", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
