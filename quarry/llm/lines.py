@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WHITE, ascii_lower
+from quarry.llm.common import WHITE, ascii_lower, written
 
 
 def _keys(text: Column) -> Column:
@@ -46,7 +46,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     long_enough = F.char_length("_key") >= min_chars
 
     once = base.select(F.explode(F.array_distinct(_keys(F.col("_text")))).alias("_key")).where(long_enough)
+    # written, so that the join below is between plain shuffles and AQE can split a hot line
     frequent = _hashed(once).groupBy("_h", "_g").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= min_docs)
+    frequent = written(frequent.select("_h", "_g"), "frequent-lines")
     lines = base.select("_id", "_t", F.posexplode(_keys(F.col("_text"))).alias("_pos", "_key")).where(long_enough)
     dropped = _hashed(lines, "_id", "_t", "_pos").join(frequent, ["_h", "_g"], "left_semi") \
         .groupBy(F.col("_id").alias("_i"), F.col("_t").alias("_u")) \
