@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import json
 import os
-
-import numpy as np
+import sys
+from array import array
 
 from quarry.llm.common import worker_cache
 
@@ -15,7 +15,16 @@ _OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u20
 _OTHER_SET = frozenset(_OTHER)
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 #: Words kept with their ids by each Python worker.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 1_500_000
+
+_POINTS = ".,;:!?%&$*#"
+
+
+def _bytes(ids: list[int]) -> bytes:
+    a = array("I", ids)
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
 
 
 class Encoder:
@@ -43,15 +52,29 @@ class Encoder:
                                 for t in spec.get("added_tokens", [])))
         self.tok = tok
         self.ids: dict[str, bytes] = {}  # of " word" under "word", of "\nword" under itself
+        self.tails: dict[str, bytes] = {}  # of runs of points
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return [_bytes(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, known: dict[str, bytes], words: set[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
+        known = self.ids
         if len(known) + len(words) > CACHED_WORDS:
             known.clear()
-        new = list(words.difference(known))
+        new = words.difference(known)
+        # points after a letter are tokens of their own: the word without them is looked up in turn
+        pointed = [(w, w.rstrip(_POINTS)) for w in new if w[-1] in _POINTS]
+        pointed = [(w, s, w[len(s):]) for w, s in pointed if s and s[-1].isalpha() and s[-1] < "\u0250"]
+        new.difference_update([w for w, _, _ in pointed])
+        new.update({s for _, s, _ in pointed}.difference(known))
+        new = list(new)
         known.update(zip(new, self.whole([w if w[0] == "\n" else " " + w for w in new])))
+        tails = list({t for _, _, t in pointed}.difference(self.tails))
+        if len(self.tails) > CACHED_WORDS:
+            self.tails.clear()
+            tails = list({t for _, _, t in pointed})
+        self.tails.update(zip(tails, self.whole(tails)))
+        known.update([(w, known[s] + self.tails[t]) for w, s, t in pointed])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -70,7 +93,7 @@ class Encoder:
         words = set().union(*[w[1:] for _, w in split])
         words.discard("")  # a space at the end of the text
         known = self.ids
-        self._learn(known, words)
+        self._learn(words)
         known[""] = self.whole([" "])[0]
         heads = self.whole([w[0] for _, w in split]) if split else ()
         for (k, w), head in zip(split, heads):

@@ -214,7 +214,10 @@ def read_token_files(spark: SparkSession, index: DataFrame, folder: str, keep_id
                     raise ValueError(f"{row['name']} does not hold what the index says")
                 for lo in range(0, len(f.doc_ids), 1000):
                     ks = range(lo, min(lo + 1000, len(f.doc_ids)))
-                    ids = [f.doc(k).astype("<u4").tobytes() for k in ks]
+                    at = f.starts[lo: ks.stop + 1]
+                    run = f.codes.read(int(at[0]), int(at[-1])).astype("<u4").tobytes()
+                    cuts = (4 * (at - at[0])).tolist()
+                    ids = [run[x:y] for x, y in zip(cuts, cuts[1:])]
                     cols = [pa.array(f.doc_ids[lo: lo + 1000], pa.int64()), pa.array(f.starts[ks.start: ks.stop] + row["base"], pa.int64()),
                             pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())]
                     cols += [pa.array(ids, pa.binary())] * keep_ids
