@@ -29,6 +29,9 @@ SPARSE = 2
 #: Fewer lexicon terms than this, and all terms of a text are used.
 FEW_TERMS = 8
 _PART = 5  # characters: number of terms (hex digit), 16 bits of hash
+_DIGIT = np.zeros(256, np.int64)
+_DIGIT[np.frombuffer(b"0123456789abcdef", np.uint8)] = np.arange(16)
+_PLACE = 16 ** np.arange(_PART - 1, -1, -1)
 
 
 def term_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -83,22 +86,20 @@ class Fingerprinter:
         """The fingerprint: for each draw and level the number of terms and 16
         bits of the hash of the sorted terms."""
         distinct = set(words_of(text))
-        known = sorted(map(self.place.__getitem__, distinct.intersection(self.place))) if len(distinct) < len(self.place) else \
-            sorted(self.place[t] for t in distinct if t in self.place)
+        known = sorted([self.place[t] for t in distinct if t in self.place])
         if len(known) >= FEW_TERMS:
             depth, hashes = self.depth[known], self.hash[known]
         else:
             depth, hashes = self._draw(sorted(distinct))
-        n = np.zeros((len(LEVELS), DRAWS), np.int64)
-        h = np.zeros((len(LEVELS), DRAWS), np.uint32)
         at, draw = np.nonzero(depth >= LEVELS[0])
-        deep, code = depth[at, draw], hashes[at]
-        for k, level in enumerate(LEVELS):
-            on = deep >= level
-            n[k] = np.bincount(draw[on], minlength=DRAWS)
-            # terms are sorted and distinct, so a sum of their hashes stands for the list
-            np.add.at(h[k], draw[on], code[on])
-        packed = (np.minimum(n, 15).astype(np.uint32) << 16) | (mix64(h.astype(np.uint64)).astype(np.uint32) & np.uint32(0xFFFF)) * (n > 0)
+        # by the smallest subset a term is in; what is in a smaller one is in all larger ones of the draw
+        cell = (np.minimum(depth[at, draw], LEVELS[-1]).astype(np.int64) - LEVELS[0]) * DRAWS + draw
+        shape = (len(LEVELS), DRAWS)
+        n = np.bincount(cell, minlength=len(LEVELS) * DRAWS).reshape(shape)
+        # terms are sorted and distinct, so a sum of their hashes stands for the list; doubles hold it exactly
+        h = np.bincount(cell, weights=hashes[at], minlength=len(LEVELS) * DRAWS).reshape(shape).astype(np.uint64)
+        n, h = np.cumsum(n[::-1], axis=0)[::-1], np.cumsum(h[::-1], axis=0)[::-1] & np.uint64(0xFFFFFFFF)
+        packed = (np.minimum(n, 15).astype(np.uint32) << 16) | (mix64(h).astype(np.uint32) & np.uint32(0xFFFF)) * (n > 0)
         return "".join([f"{x:05x}" for x in packed.ravel().tolist()])
 
 
@@ -107,13 +108,16 @@ def likeness(a: str, b: str) -> float:
     ``SPARSE``, the share that agree; 1 for equal fingerprints."""
     if a == b:
         return 1.0
-    used = same = 0
-    for k in range(0, len(a), _PART):
-        x, y = int(a[k], 16), int(b[k], 16)
-        if 0 < (x if x > y else y) <= SPARSE:
-            used += 1
-            same += a[k: k + _PART] == b[k: k + _PART]
-    return same / used if used else 0.0
+    x, y = _parts(a), _parts(b)
+    most = np.maximum(x >> 16, y >> 16)
+    used = (most > 0) & (most <= SPARSE)
+    return float((x[used] == y[used]).mean()) if used.any() else 0.0
+
+
+def _parts(fingerprint: str) -> np.ndarray:
+    """The parts of a fingerprint as numbers, ``_PART`` hex digits each."""
+    digit = _DIGIT[np.frombuffer(fingerprint.encode(), np.uint8)].reshape(-1, _PART)
+    return digit @ _PLACE
 
 
 def fingerprint(docs: DataFrame, terms: list[bytes], seed: int = 1, text_col: str = "text") -> DataFrame:
