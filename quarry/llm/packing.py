@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -41,9 +43,9 @@ class Sizes:
         """The largest free size up to ``most``; 0 if none."""
         return (self.there & ((1 << (most + 1)) - 1)).bit_length() - 1 if most > 0 and self.there & ((1 << (most + 1)) - 1) else 0
 
-    def pairs(self, total: int):
-        """(a, b), a >= b, free sizes that sum to ``total``; larger a first."""
-        both = self.there & (self.mirror >> (self.capacity - total)) & ((1 << total) - 1)
+    def pairs(self, total: int, most: int | None = None):
+        """(a, b), a >= b, free sizes that sum to ``total``, a up to ``most``; larger a first."""
+        both = self.there & (self.mirror >> (self.capacity - total)) & ((1 << (total if most is None else min(total, most + 1))) - 1)
         both >>= (total + 1) // 2  # a is the larger half
         low = (total + 1) // 2
         while both:
@@ -53,77 +55,98 @@ class Sizes:
                 yield a, total - a
 
 
-#: Fill levels below a full bin, and first items a level, that are tried before the best fit item by item.
-LEVELS, FIRSTS = 32, 8
-
-
-def fillings(free: Sizes, room: int, spare: int, width: int):
-    """Undominated fillings of ``room``, the fullest first, each leaving
-    ``spare`` at most; up to ``width`` of them.
-
-    A filling is dominated if one of its items, or two together, could be
-    exchanged for a larger free item or one of their sum without running over:
-    the exchange leaves small items, which fit wherever the large one would.
-    So for each fill level a single item comes before pairs, these before
-    threes and fours, and each level stops at its first kind that has any.
-    """
-    given = 0
-    top = free.largest(room)
-    if not top:
-        yield ()
-        return
-    for fill in range(room, max(room - min(spare, LEVELS), 1) - 1, -1):
-        if fill <= free.capacity and free.count.get(fill):
-            yield (fill,)
-            given += 1
-        else:
-            found = False
-            for a, b in free.pairs(fill):
-                yield (a, b)
-                given, found = given + 1, True
-                if given >= width:
-                    return
-            if not found:
-                first = free.largest(fill - 2)
-                tries = 0
-                while first and tries < FIRSTS and not found:
-                    free.take(first)
-                    for a, b in free.pairs(fill - first):
-                        if a <= first:
-                            found = True
-                            break
-                    else:
-                        second = free.largest(min(first, fill - first - 2))
-                        if second:
-                            free.take(second)
-                            for a, b in free.pairs(fill - first - second):
-                                if a <= second:
-                                    found = True
-                                    break
-                            free.put(second)
-                            if found:
-                                free.put(first)
-                                yield (first, second, a, b)
-                                given += 1
-                                break
-                    free.put(first)
-                    if found:
-                        yield (first, a, b)
-                        given += 1
-                        break
-                    first, tries = free.largest(first - 1), tries + 1
-        if given >= width:
-            return
-    # nothing that full: the best fit, item by item
-    if not given:
-        out, left = [], room
-        while s := free.largest(left):
-            free.take(s)
+class Fillings:
+    """Fillings of one bin by free items, whatever their number."""
+
+    def __init__(self, free: Sizes, room: int):
+        self.free, self.room, self.sizes = free, room, None
+
+    def undominated(self, spare: int):
+        """All undominated fillings that leave ``spare`` at most, the fullest
+        first, of equal ones single items, pairs, threes, then the rest by
+        their largest items; None for each step between them. ``free`` must be
+        the same at each step, and is left as it is.
+
+        A filling is dominated if a free item could be added, or if one of its
+        items, or two together, could be exchanged for a larger free item or
+        one of their sum without running over: the exchange leaves small
+        items, which fit wherever the large one would.
+        """
+        for fill in range(self.room, max(self.room - spare, 0) - 1, -1):
+            for filling in self._exactly(fill):
+                yield filling if filling is not None and not self._dominated(filling, self.room - fill) else None
+
+    def greedy(self) -> tuple[int, ...]:
+        """The best fit item by item."""
+        out, left = [], self.room
+        while s := self.free.largest(left):
+            self.free.take(s)
             out.append(s)
             left -= s
         for s in out:
-            free.put(s)
-        yield tuple(out)
+            self.free.put(s)
+        return tuple(out)
+
+    def _dominated(self, filling: tuple[int, ...], waste: int) -> bool:
+        there, mine = self.free.there, Counter(filling)
+        for s, n in mine.items():
+            if self.free.count[s] == n:
+                there ^= 1 << s
+        if there & ((1 << (waste + 1)) - 1):
+            return True
+        if waste and any((there >> (s + 1)) & ((1 << waste) - 1) for s in mine):
+            return True
+        up_to = (1 << (waste + 1)) - 1
+        return any((there >> (a + b)) & up_to for a, b in {(filling[i], filling[j]) for j in range(len(filling)) for i in range(j)})
+
+    def _exactly(self, fill: int):
+        """Fillings that sum to ``fill``; None for each step between them."""
+        free = self.free
+        if not fill:
+            yield ()
+            return
+        if free.count.get(fill):
+            yield (fill,)
+        yield from free.pairs(fill)
+        first = free.largest(fill - 2)
+        while 3 * first >= fill:
+            yield None
+            for a, b in free.pairs(fill - first, first):
+                n = (a == first) + (b == first)
+                if free.count[first] > n:
+                    yield first, a, b
+            first = free.largest(first - 1)
+        if self.sizes is None:
+            # reach[i]: the sums that the i smallest sizes have
+            sizes, reach, fits = [], [1], (2 << self.room) - 1
+            rest = free.there & fits
+            while rest:
+                yield None
+                s = (rest & -rest).bit_length() - 1
+                rest &= rest - 1
+                sums, left, k = reach[-1], min(free.count[s], self.room // s), 1
+                while left:
+                    sums |= (sums << (s * min(k, left))) & fits
+                    left, k = left - min(k, left), 2 * k
+                sizes.append(s)
+                reach.append(sums)
+            self.sizes, self.reach = sizes, reach
+        for filling in self._below(fill, bisect_right(self.sizes, fill)):
+            yield filling if filling and len(filling) > 3 else None
+
+    def _below(self, fill: int, i: int):
+        """Fillings that sum to ``fill`` by the ``i`` smallest sizes, by the
+        largest items; a step that cannot end in one is not taken."""
+        while i and self.reach[i] >> fill & 1:
+            i -= 1
+            s = self.sizes[i]
+            yield None
+            for m in range(min(self.free.count[s], fill // s), 0, -1):
+                if m * s == fill:
+                    yield (s,) * m
+                elif self.reach[i] >> (fill - m * s) & 1:
+                    for rest in self._below(fill - m * s, i):
+                        yield (s,) * m + rest if rest else None
 
 
 def best_fit(sizes: dict[int, int], capacity: int) -> list[list[int]]:
@@ -149,15 +172,18 @@ def best_fit(sizes: dict[int, int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def pack_sizes(sizes: dict[int, int], capacity: int, effort: int = 200, width: int = 4) -> list[list[int]]:
+def pack_sizes(sizes: dict[int, int], capacity: int, effort: int = 2000) -> list[list[int]]:
     """Bins of items with the given sizes (size -> how many; 1 to capacity).
 
     Bin completion branch-and-bound: the largest free item opens a bin, its
     undominated fillings are the branches, fullest first, and a branch ends
     when the waste so far leaves no chance of fewer bins than the incumbent.
     The incumbent starts as best-fit decreasing. The search ends when the
-    incumbent meets the lower bound or after ``effort`` bins beyond the first
-    descent; then the incumbent stands, so every item is always packed.
+    incumbent meets the lower bound, when there is no branch left, or after
+    ``2 * effort`` steps for each bin of best-fit decreasing; then the
+    incumbent stands, so every item is always packed. A step looks at one
+    filling, or one size of a filling to be. Where the first filling is not
+    found in ``effort`` steps, the best fit item by item is tried before it.
     """
     total = sum(s * n for s, n in sizes.items())
     best = best_fit(sizes, capacity)
@@ -167,18 +193,23 @@ def pack_sizes(sizes: dict[int, int], capacity: int, effort: int = 200, width: i
         return best
     free = Sizes(sizes, capacity)
     stack: list[tuple[list[int], object]] = []  # (bin, its other fillings)
-    items, waste, steps = sum(sizes.values()), 0, 0
-    limit = effort + items
-
-    def undo(bin_: list[int]) -> None:
-        for s in bin_:
-            free.put(s)
+    waste, steps, limit = 0, 0, 2 * effort * len(best)
 
-    def place(big: int, filling) -> list[int]:
-        bin_ = [big, *filling]
-        for s in filling:
-            free.take(s)
-        return bin_
+    def branches(room: int, spare: int):
+        nonlocal steps
+        found = Fillings(free, room)
+        began, given = steps, None
+        for filling in found.undominated(spare):
+            steps += 1
+            if steps >= limit:
+                return
+            if filling is not None:
+                if filling != given:
+                    yield filling
+                began = limit
+            elif steps - began >= effort:
+                given, began = found.greedy(), limit
+                yield given
 
     while True:
         spare = (len(best) - 1) * capacity - total  # all the waste a better solution may have
@@ -188,33 +219,30 @@ def pack_sizes(sizes: dict[int, int], capacity: int, effort: int = 200, width: i
                 if len(best) <= bound:
                     return best
             spare = -1
-        moved = False
+        big = None
         if spare >= waste and steps < limit:
             big = free.largest(capacity)
             free.take(big)
-            choices = fillings(free, capacity - big, spare - waste, width) if big < capacity else iter([()])
+            choices = branches(capacity - big, min(spare - waste, capacity - big))
+        while True:
+            if big is None:
+                if not stack or steps >= limit:
+                    return best
+                (big, *filling), choices = stack.pop()
+                for s in filling:
+                    free.put(s)
+                waste -= capacity - big - sum(filling)
+            steps += 1
             choice = next(choices, None)
-            if choice is not None and waste + capacity - big - sum(choice) <= spare:
-                stack.append((place(big, choice), choices))
-                waste += capacity - sum(stack[-1][0])
-                steps, moved = steps + 1, True
-            else:
-                free.put(big)
-        while not moved:
-            if not stack or steps >= limit:
-                return best
-            bin_, choices = stack.pop()
-            waste -= capacity - sum(bin_)
-            undo(bin_[1:])
             spare = (len(best) - 1) * capacity - total
-            choice = next(choices, None)
-            steps += 1
-            if choice is not None and waste + capacity - bin_[0] - sum(choice) <= spare:
-                stack.append((place(bin_[0], choice), choices))
-                waste += capacity - sum(stack[-1][0])
-                moved = True
-            else:
-                free.put(bin_[0])
+            if choice is not None and waste + capacity - big - sum(choice) <= spare:
+                for s in choice:
+                    free.take(s)
+                stack.append(([big, *choice], choices))
+                waste += capacity - big - sum(choice)
+                break
+            free.put(big)
+            big = None
 
 
 def pack_pieces(pieces: DataFrame, capacity: int, length_col: str = "length", key: list[str] | None = None,

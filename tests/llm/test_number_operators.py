@@ -1,5 +1,6 @@
 """Packing, mixing, token files, top-k search and the pipeline against brute force and on awkward rows."""
 
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -10,7 +11,7 @@ import pytest
 from quarry.llm import token_files as tf
 from quarry.llm.encoding import Encoder, public_path
 from quarry.llm.mixing import mix_sources
-from quarry.llm.packing import best_fit, cut_pieces, pack_documents, pack_pieces, pack_sizes, sequences
+from quarry.llm.packing import Fillings, Sizes, best_fit, cut_pieces, pack_documents, pack_pieces, pack_sizes, sequences
 from quarry.llm.topk import exact_top_k
 from tests.llm.brute import ODD, words
 
@@ -121,6 +122,34 @@ def test_pack_sizes_finds_the_optimum():
     assert len(best_fit(Counter([6, 5, 5, 4, 3, 3, 2, 2]), 10)) >= 3 and len(pack_sizes(Counter([6, 5, 5, 4, 3, 3, 2, 2]), 10)) == 3
 
 
+def test_pack_sizes_fills_bins_with_many_short_items():
+    """Six and more items a bin: no filling of up to four items comes near a full bin."""
+    rnd = random.Random(8)
+    for low, high, n in ((50, 150, 1500), (140, 150, 700)):
+        sizes = Counter(2 * rnd.randint(low, high) for _ in range(n))
+        bins, bound = pack_sizes(sizes, 2048), -(-sum(s * k for s, k in sizes.items()) // 2048)
+        assert len(bins) == bound < len(best_fit(sizes, 2048))
+        assert Counter(s for b in bins for s in b) == sizes and all(sum(b) <= 2048 for b in bins)
+
+
+def test_fillings_are_all_the_undominated():
+    rnd = random.Random(9)
+    for _ in range(60):
+        counts, room = Counter(rnd.randint(1, 12) for _ in range(9)), rnd.randint(1, 24)
+        free, spare = Sizes(counts, 24), rnd.randint(0, room)
+        want = set()
+        for pick in itertools.product(*[range(n + 1) for n in counts.values()]):
+            left = Counter({s: n - m for (s, n), m in zip(counts.items(), pick) if n > m})
+            items = [s for s, m in zip(counts, pick) for _ in range(m)]
+            waste = room - sum(items)
+            gives = [0, *items, *[a + b for a, b in itertools.combinations(items, 2)]]
+            if 0 <= waste <= spare and not any(x + (k < 1 + len(items)) <= s <= x + waste for k, x in enumerate(gives) for s in left):
+                want.add(tuple(sorted(items, reverse=True)))
+        got = [tuple(sorted(f, reverse=True)) for f in Fillings(free, room).undominated(spare) if f is not None]
+        assert len(got) == len(set(got)) and set(got) == want
+        assert [sum(f) for f in got] == sorted(map(sum, got), reverse=True)
+
+
 def test_pack_documents(spark, tokenizer):
     rnd = random.Random(5)
     docs = [(k, " ".join(rnd.choices(["alpha", "beta", "of", "x1"], k=rnd.randint(0, 500)))) for k in range(150)]
