@@ -66,8 +66,11 @@ def gram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         import pyarrow as pa
 
         def out(parts):
-            g, n = np.unique(np.concatenate(parts), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(g), pa.array(n.astype(np.int64))], ["gram", "n"])
+            g = np.concatenate(parts)
+            parts.clear()
+            g.sort()  # in place: np.unique holds several copies
+            first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(g[first]), pa.array(np.diff(np.append(first, len(g))).astype(np.int64))], ["gram", "n"])
 
         held, size = [], 0
         for b in batches:
@@ -96,6 +99,8 @@ class Trie:
                 e, c = at, pairs[at]
                 if k == 0:
                     e, c = self._summed(at & 0xFF, c)
+            elif k == ORDER:  # sorted and distinct as they are
+                e, c = gram, n
             else:
                 e, c = self._summed(gram & ((1 << (8 * (k + 1))) - 1), n)
             node, first = np.unique(e >> 8, return_index=True)
@@ -103,7 +108,7 @@ class Trie:
             self.edge_n.append(c)
             self.node.append(node)
             self.total.append(np.add.reduceat(c, first) if len(c) else c)
-            self.kinds.append(np.diff(np.append(first, len(e))))
+            self.kinds.append(np.diff(np.append(first, len(e))).astype(np.int16))  # 256 at most
             # counts that the followers of each context have after its suffix: excluded there
             if k:
                 at = np.searchsorted(self.edge[k - 1], e & ((1 << (8 * k)) - 1))
@@ -166,21 +171,31 @@ def shards_of(counts: DataFrame, most: int = SHARD_GRAMS) -> tuple[DataFrame, in
     return counts.withColumn("shard", which), shard + 1, of
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_rid, _id, _text), written: every row, repeated ones and null ids too, has a key of its own."""
+    return written(docs.select(F.monotonically_increasing_id().alias("_rid"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "rows")
+
+
 def ppm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score): log10 probability of each text under the trie of all
     texts of ``train``. The text modelled is its words, A-Z lower-cased, with
     one space between, and an end; a null or empty text is the end alone.
     Repeated rows are scored one by one. Without any training text every byte
     has probability 1/256."""
-    spark = docs.sparkSession
+    rows = keyed(docs, id_col, text_col)
+    return ppm_of(rows, train, text_col).join(rows.select("_rid", "_id"), "_rid").select(F.col("_id").alias(id_col), "score")
+
+
+def ppm_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
+    """(_rid, score) of ``ppm_scores`` for ``keyed`` rows."""
+    spark = rows.sparkSession
     counts = written(gram_counts(train, text_col), "grams")
     pairs = np.zeros(1 << 16, np.int64)
     last = F.col("gram").bitwiseAND(0xFFFF).cast("int")
     for r in counts.groupBy(last.alias("p")).agg(F.sum("n").alias("n")).collect():  # 65,536 at most
         pairs[r["p"]] = r["n"]
     dealt, n_shards, of = shards_of(counts)
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    kind = src.schema["_id"].dataType.simpleString()
+    src = rows.select("_rid", "_text")
     scored = None
     for shard in range(n_shards):
         part = dealt.where(F.col("shard") == shard).select("gram", "n").orderBy("gram").toArrow()  # SHARD_GRAMS rows
@@ -200,13 +215,13 @@ def ppm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_c
                     value = np.zeros(len(g) + 1)
                     value[mine] = trie.log10(kinds)[inverse]
                     total += np.add.reduceat(value, np.cumsum(size) - size).tolist()
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.float64())], ["_id", "score"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.float64())], ["_rid", "score"])
 
-        got = src.mapInArrow(run, f"_id {kind}, score double")
+        got = src.mapInArrow(run, "_rid bigint, score double")
         scored = got if scored is None else scored.unionByName(got)
     if n_shards > 1:
-        scored = scored.groupBy("_id").agg(F.sum("score").alias("score"))
-    return scored.withColumnRenamed("_id", id_col)
+        scored = scored.groupBy("_rid").agg(F.sum("score").alias("score"))
+    return scored
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -236,13 +251,23 @@ def base_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
     words and one end a text. ``base_score`` is the sum over a text's tokens of
     log10((c + 0.5) / (N + 0.5 (V + 1))): c how often the token is in
     training, N all training tokens, V how many are different; ``n_known``
-    counts tokens with c above 0. Ids must be unique; a null id is an id.
+    counts tokens with c above 0. Repeated rows are scored one by one, and so
+    are rows with a null id.
+    """
+    rows = keyed(docs, id_col, text_col)
+    return base_of(rows, train, text_col).join(rows.select("_rid", "_id"), "_rid") \
+        .select(F.col("_id").alias(id_col), "n_tokens", "n_known", "train_tokens", "base_score")
+
+
+def base_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
+    """(_rid, n_tokens, n_known, train_tokens, base_score) of ``base_scores``
+    for ``keyed`` rows.
 
     Every task holds the counts of the most frequent words, ``COMMON_WORDS``
     at most; they are also the hot keys. Other words meet their counts in a
-    join on (word, id) rows.
+    join on (word, row) rows.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     counts = written(word_counts(train, text_col), "words")
     ends = train.count()
     words, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -251,8 +276,7 @@ def base_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
     end_score, end_known = math.log10((ends + 0.5) / norm), int(ends > 0)
     common = counts.orderBy(F.col("n").desc(), "word").limit(COMMON_WORDS).toArrow()
     table = spark.sparkContext.broadcast((common["word"].to_pylist(), np.log10((common["n"].to_numpy() + 0.5) / norm)))
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    kind = src.schema["_id"].dataType.simpleString()
+    src = rows.select("_rid", "_text")
 
     def run(batches):
         import pyarrow as pa
@@ -261,36 +285,37 @@ def base_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
         for b in batches:
             if known is None:
                 known = dict(zip(table.value[0], table.value[1].tolist()))
-            rows: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for i, t in zip(b.column(0).to_pylist(), binary_texts(b.column(1))):
                 w = words_of(t)
                 seen = list(map(known.get, w))
                 rare = Counter([x for x, s in zip(w, seen) if s is None])
                 got = [s for s in seen if s is not None]
                 # the first row of a text has the sum of its common words and its end
-                for c, v in zip(rows, (i, None, len(w) + 1, len(got) + end_known, math.fsum(got) + end_score)):
+                for c, v in zip(out, (i, None, len(w) + 1, len(got) + end_known, math.fsum(got) + end_score)):
                     c.append(v)
                 for x, m in rare.items():
-                    for c, v in zip(rows, (i, x, m, None, None)):
+                    for c, v in zip(out, (i, x, m, None, None)):
                         c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, (
-                b.column(0).type, pa.binary(), pa.int64(), pa.int64(), pa.float64()))], ["_id", "word", "m", "k", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (
+                b.column(0).type, pa.binary(), pa.int64(), pa.int64(), pa.float64()))], ["_rid", "word", "m", "k", "s"])
 
-    rows = written(src.mapInArrow(run, f"_id {kind}, word binary, m bigint, k bigint, s double"), "tokens")
-    whole = rows.where("word is null").select("_id", F.col("m").alias("n_tokens"), F.col("k").alias("n"), F.col("s").alias("score"))
-    rare = rows.where("word is not null").select("_id", "word", "m").join(counts, "word", "left") \
-        .select("_id", F.lit(None).cast("long").alias("n_tokens"), F.when(F.col("n").isNotNull(), F.col("m")).otherwise(0).alias("n"),
+    tokens = written(src.mapInArrow(run, "_rid bigint, word binary, m bigint, k bigint, s double"), "tokens")
+    whole = tokens.where("word is null").select("_rid", F.col("m").alias("n_tokens"), F.col("k").alias("n"), F.col("s").alias("score"))
+    rare = tokens.where("word is not null").select("_rid", "word", "m").join(counts, "word", "left") \
+        .select("_rid", F.lit(None).cast("long").alias("n_tokens"), F.when(F.col("n").isNotNull(), F.col("m")).otherwise(0).alias("n"),
                 (F.col("m") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(norm))).alias("score"))
-    out = whole.unionByName(rare).groupBy("_id").agg(F.max("n_tokens").alias("n_tokens"), F.sum("n").alias("n_known"), F.sum("score").alias("base_score"))
-    return out.select(F.col("_id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score")
+    out = whole.unionByName(rare).groupBy("_rid").agg(F.max("n_tokens").alias("n_tokens"), F.sum("n").alias("n_known"), F.sum("score").alias("base_score"))
+    return out.select("_rid", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score")
 
 
 def score_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of
     every document; both models learn from the documents of ``in_training``
-    (a null id is held out). Ids must be unique."""
-    train = docs.where(in_training(F.col(id_col)))
-    base, model = base_scores(docs, train, id_col, text_col), ppm_scores(docs, train, id_col, text_col).withColumnRenamed(id_col, "_id")
-    out = base.join(model, F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id")
-    return out.withColumn("held_out", ~F.coalesce(in_training(F.col(id_col)), F.lit(False))) \
-        .select(id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    (a null id is held out). Repeated rows are documents of their own, and so
+    are rows with a null id."""
+    rows = keyed(docs, id_col, text_col)
+    train = rows.where(in_training(F.col("_id")))
+    out = rows.select("_rid", "_id").join(base_of(rows, train, "_text"), "_rid").join(ppm_of(rows, train, "_text"), "_rid")
+    return out.withColumn("held_out", ~F.coalesce(in_training(F.col("_id")), F.lit(False))) \
+        .select(F.col("_id").alias(id_col), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -68,6 +68,31 @@ def test_scores_match_brute_force(spark, corpus, monkeypatch, most):
         assert r["score"] == pytest.approx(brute(learn, (t or "").encode()), abs=1e-9)
 
 
+@pytest.mark.parametrize("most", [ppm.SHARD_GRAMS, 50])
+def test_repeated_rows_and_null_ids(spark, corpus, monkeypatch, most):
+    monkeypatch.setattr(ppm, "COMMON_WORDS", 3)
+    monkeypatch.setattr(ppm.shards_of, "__defaults__", (most,))
+    docs = corpus + [corpus[0], corpus[0], (3, "zq on the"), (None, "the zq one"), (None, "the zq one"), (None, None), (None, "seen before")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    learn = [(t or "").encode() for i, t in docs if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    c = Counter(w for t in learn for w in ppm.words_of(t))
+    n, v = sum(c.values()) + len(learn), len(c) + 1
+
+    def row(i, t):
+        w = ppm.words_of((t or "").encode())
+        base = sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w) + math.log10((len(learn) + 0.5) / (n + 0.5 * (v + 1)))
+        return (-1 if i is None else i, len(w) + 1, sum(x in c for x in w) + 1, round(base, 6), round(brute(learn, (t or "").encode()), 6))
+
+    def rows(df, *cols):
+        return sorted((-1 if r["doc_id"] is None else r["doc_id"], *[round(r[k], 6) for k in cols]) for r in df.collect())
+
+    want = sorted(row(i, t) for i, t in docs)
+    assert rows(ppm.score_language(df), "n_tokens", "n_known", "base_score", "score") == want
+    train = df.where(ppm.in_training(df.doc_id))
+    assert rows(ppm.ppm_scores(df, train), "score") == sorted((r[0], r[4]) for r in want)
+    assert rows(ppm.base_scores(df, train), "n_tokens", "n_known", "base_score") == sorted(r[:4] for r in want)
+
+
 def test_probabilities_sum_to_one(corpus):
     texts = [ppm.modelled((t or "").encode()) for _, t in corpus]
     g, n = np.unique(ppm.grams(texts)[0], return_counts=True)
