@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from quarry.llm.common import binary_texts, by_bytes, mix64, shuffle_partitions, unzipped, words_of, zipped
 
-#: Subset l of a draw keeps each lexicon term with probability 2**-l.
-LEVELS = tuple(range(1, 11))
+#: Subset l of a draw keeps each lexicon term with probability 2**-l, from l = 1
+#: to the first that keeps none of the text's terms, and to LEAST_LEVELS at least.
+LEAST_LEVELS = 10
 DRAWS = 12
 #: Terms of a part that still count when likeness is estimated.
 SPARSE = 2
@@ -83,21 +84,24 @@ class Fingerprinter:
         return np.log2(np.maximum(low, np.uint64(1)).astype(float)).astype(np.int8), mix64(base + np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32)
 
     def of(self, text: bytes) -> str:
-        """The fingerprint: for each draw and level the number of terms and 16
-        bits of the hash of the sorted terms."""
+        """The fingerprint: for each level and draw the number of terms and 16
+        bits of the hash of the sorted terms. It has as many levels as any of
+        the terms reaches, so that a text of any length has parts with few
+        terms; levels that it lacks are empty."""
         distinct = set(words_of(text))
         known = sorted([self.place[t] for t in distinct if t in self.place])
         if len(known) >= FEW_TERMS:
             depth, hashes = self.depth[known], self.hash[known]
         else:
             depth, hashes = self._draw(sorted(distinct))
-        at, draw = np.nonzero(depth >= LEVELS[0])
+        levels = max(LEAST_LEVELS, int(depth.max(initial=0)))
+        at, draw = np.nonzero(depth >= 1)
         # by the smallest subset a term is in; what is in a smaller one is in all larger ones of the draw
-        cell = (np.minimum(depth[at, draw], LEVELS[-1]).astype(np.int64) - LEVELS[0]) * DRAWS + draw
-        shape = (len(LEVELS), DRAWS)
-        n = np.bincount(cell, minlength=len(LEVELS) * DRAWS).reshape(shape)
+        cell = (depth[at, draw].astype(np.int64) - 1) * DRAWS + draw
+        shape = (levels, DRAWS)
+        n = np.bincount(cell, minlength=levels * DRAWS).reshape(shape)
         # terms are sorted and distinct, so a sum of their hashes stands for the list; doubles hold it exactly
-        h = np.bincount(cell, weights=hashes[at], minlength=len(LEVELS) * DRAWS).reshape(shape).astype(np.uint64)
+        h = np.bincount(cell, weights=hashes[at], minlength=levels * DRAWS).reshape(shape).astype(np.uint64)
         n, h = np.cumsum(n[::-1], axis=0)[::-1], np.cumsum(h[::-1], axis=0)[::-1] & np.uint64(0xFFFFFFFF)
         packed = (np.minimum(n, 15).astype(np.uint32) << 16) | (mix64(h).astype(np.uint32) & np.uint32(0xFFFF)) * (n > 0)
         return "".join([f"{x:05x}" for x in packed.ravel().tolist()])
@@ -108,7 +112,8 @@ def likeness(a: str, b: str) -> float:
     ``SPARSE``, the share that agree; 1 for equal fingerprints."""
     if a == b:
         return 1.0
-    x, y = _parts(a), _parts(b)
+    size = max(len(a), len(b))
+    x, y = _parts(a.ljust(size, "0")), _parts(b.ljust(size, "0"))  # levels that one lacks are empty there
     most = np.maximum(x >> 16, y >> 16)
     used = (most > 0) & (most <= SPARSE)
     return float((x[used] == y[used]).mean()) if used.any() else 0.0

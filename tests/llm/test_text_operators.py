@@ -147,6 +147,27 @@ def test_fingerprints_tell_edits_from_others(spark):
     assert own == {i: r["fingerprint"] for i, r in got.items()}
 
 
+@pytest.mark.parametrize("known", [True, False])
+@pytest.mark.parametrize("size", [3, 50, 5_000, 20_000, 100_000])
+def test_likeness_of_texts_of_any_length(size, known):
+    """Edited copies are told from other texts, by lexicon terms or, where a text has too few, by all its terms."""
+    import numpy as np
+
+    off = []
+    for seed in range(1, 6):
+        terms = [f"t{k}".encode() for k in range(2 * size)]
+        printer = fp.Fingerprinter(terms if known else [b"other"], seed)
+        text, edited, other = terms[:size], terms[size // 10: size + size // 10], terms[size:]
+        a, b, c = (printer.of(b" ".join(t)) for t in (text, edited, other))
+        assert fp.likeness(a, a) == 1.0
+        if size > 10:
+            off += [fp.likeness(a, b) - 0.8]
+            assert fp.likeness(a, b) == fp.likeness(b, a) > 0.35 and fp.likeness(a, c) < 0.2
+            parts = fp._parts(a) >> 16
+            assert ((parts > 0) & (parts <= fp.SPARSE)).sum() >= fp.DRAWS / 2
+    assert not off or abs(np.mean(off)) < 0.15
+
+
 def test_fingerprints_of_few_rows(spark):
     assert fp.compare_with_next(table(spark, []), fp.lexicon(table(spark, []))).collect() == []
     one = table(spark, [(None, "abc def ghi")])
