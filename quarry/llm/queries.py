@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import read_table
+from quarry.llm.conversations import conversation_hashes, damaged, repair_conversations
 from quarry.llm.encoding import public_path
 from quarry.llm.fingerprints import compare_with_next, lexicon
 from quarry.llm.jaccard import jaccard_components
@@ -185,3 +186,78 @@ FROM scored QUALIFY rank <= 20
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest by inner product of every 20th vector."""
     return exact_top_k(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 20 == 0, k=20)
+
+
+@query(r"""
+WITH RECURSIVE src AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+hit AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+                              lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                                            lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS k FROM src),
+kept AS (
+    SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+           CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM hit WHERE k <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS p,
+           CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '?' END AS initial FROM kept),
+faults AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY p) || initial AS neighbours FROM placed),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+           count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+           count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+           count(*) FILTER (WHERE neighbours IS NOT NULL AND neighbours NOT IN ('su', 'ua', 'au')) AS illegal, max(p) AS last
+    FROM faults GROUP BY conv_id),
+inserts(s, t, c, e, o) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+    (0, 2, 5, 'I', chr(10) || 'user:'), (1, 2, 5, 'I', chr(10) || 'user:'), (3, 2, 5, 'I', chr(10) || 'user:'),
+    (2, 3, 5, 'I', chr(10) || 'assistant:'), (0, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+    (1, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+follows(s, i, t, r) AS (VALUES (0, 's', 1, NULL), (0, 'u', 2, 'user'), (1, 'u', 2, 'user'), (2, 'a', 3, 'assistant'), (3, 'u', 2, 'user')),
+ways AS (
+    SELECT conv_id, 0::BIGINT AS p, 0 AS state, {'c': 0, 'e': '', 'o': ''} AS way FROM counts
+    UNION ALL
+    SELECT conv_id, p, state, min(way) FROM (
+        SELECT w.conv_id, f.p, i.t AS state, {'c': w.way.c + i.c + 2, 'e': w.way.e || i.e || 'D', 'o': w.way.o || i.o} AS way
+        FROM ways w JOIN faults f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.p = w.p + 1 JOIN inserts i ON i.s = w.state
+        UNION ALL
+        SELECT w.conv_id, f.p, n.t, {'c': w.way.c + i.c + CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END,
+               'e': w.way.e || i.e || 'K', 'o': w.way.o || i.o || chr(10) || f.role || ':' || f.text}
+        FROM ways w JOIN faults f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.p = w.p + 1 JOIN inserts i ON i.s = w.state
+        JOIN follows n ON n.s = i.t AND n.i = f.initial WHERE f.fault IN ('none', 'truncated')
+        UNION ALL
+        SELECT w.conv_id, f.p, n.t, {'c': w.way.c + i.c + 1 + CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END,
+               'e': w.way.e || i.e || 'R', 'o': w.way.o || i.o || chr(10) || n.r || ':' || f.text}
+        FROM ways w JOIN faults f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.p = w.p + 1 JOIN inserts i ON i.s = w.state
+        JOIN follows n ON n.s = i.t AND n.r IS NOT NULL WHERE f.fault IN ('none', 'truncated'))
+    GROUP BY conv_id, p, state),
+ended AS (
+    SELECT w.conv_id, min({'c': w.way.c + i.c, 'e': w.way.e || i.e, 'o': w.way.o || i.o}) AS way
+    FROM ways w JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.p = c.last JOIN inserts i ON i.s = w.state
+    WHERE i.t IN (0, 3) GROUP BY w.conv_id)
+SELECT a.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(e.way.c, 0)::BIGINT AS cost,
+       coalesce(e.way.e, '') AS audit, sha256(coalesce(substr(e.way.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON a.conv_id IS NOT DISTINCT FROM e.conv_id
+""")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a rule and repaired by the cheapest edits."""
+    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, rows = repair_conversations(damaged(conv))
+    empty = F.sha2(F.lit(""), 256)
+
+    def side(df):
+        return df.withColumnRenamed("conv_id", "_c")
+
+    out = conv.select("conv_id").distinct() \
+        .join(side(report), F.col("conv_id").eqNullSafe(F.col("_c")), "left").drop("_c") \
+        .join(side(conversation_hashes(rows)), F.col("conv_id").eqNullSafe(F.col("_c")), "left").drop("_c")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                                   for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
