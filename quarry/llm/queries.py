@@ -20,6 +20,7 @@ from quarry.llm.licenses import notices, scan_licenses
 from quarry.llm.lines import dedup_lines
 from quarry.llm.mixing import mix_sources
 from quarry.llm.packing import pack_documents
+from quarry.llm.phrases import collocations, top_phrases
 from quarry.llm.ppm import score_language
 from quarry.llm.quality import score_quality
 from quarry.llm.token_files import read_token_files, token_folder, write_token_files
@@ -261,3 +262,36 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
                                    for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
                       F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+@query(r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) t(k)) GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 10),
+cut AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+scored AS (
+    SELECT c.lang, c.phrase, c.size, c.a, c.w, c.k, x.f AS l, y.f AS r, (c.a::HUGEINT * c.a * 1000000) // (x.f::HUGEINT * y.f) AS score
+    FROM cut c JOIN grams x ON x.lang = c.lang AND x.k = c.k AND x.phrase = array_to_string(c.w[:c.k], ' ')
+    JOIN grams y ON y.lang = c.lang AND y.k = c.size - c.k AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, phrase, max(a) AS longer FROM (
+        SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM candidates WHERE size = 3)
+    GROUP BY ALL),
+kept AS (
+    SELECT b.* FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.phrase = i.phrase
+    WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY k.score DESC, k.a DESC, encode(k.phrase))::BIGINT AS rank,
+       k.phrase, k.a, k.l, k.r, t.n, k.score::BIGINT AS score
+FROM kept k JOIN totals t ON k.lang = t.lang QUALIFY rank <= 2000
+""")
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 first phrases of two or three words."""
+    found = top_phrases(collocations(documents(spark, sf_dir, "text", "lang"), max_words=3, min_count=10, inside_share=0.5), 2000)
+    return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
