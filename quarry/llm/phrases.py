@@ -27,8 +27,8 @@ from quarry.llm.common import LOWER_BYTES, binary_texts, by_bytes, mix64, shuffl
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Words in a shard, and different ones in it, at most (packed n-grams need 21 bits a word).
 SHARD_WORDS, SHARD_KINDS = 3_000_000, 1_000_000
-#: Arcs that a union gathers before it merges them.
-UNION_ARCS = 6_000_000
+#: Arcs that a union gathers before it merges them, at least; later as many again as it has.
+UNION_ARCS = 1_000_000
 #: Sampled n-grams a prefix range; the sample only places the cuts.
 SAMPLES = 20
 
@@ -61,28 +61,25 @@ class Transducer:
         """From distinct sorted n-grams, one a column of ``w`` (1 + place of
         each word, 0 where it has fewer), and their counts. States with equal
         futures are one state."""
-        depth = (w > 0).sum(0)
-        key = [w[0].astype(np.int64)]
+        size = w.shape[1]
+        new = [np.ones(size, bool)]  # where the prefix of k + 1 words is another than that before
+        if size:
+            new[0][1:] = w[0, 1:] != w[0, :-1]
         for k in (1, 2):
-            changed = np.concatenate([[True], (w[:k, 1:] != w[:k, :-1]).any(0)]) if w.shape[1] else np.zeros(0, bool)
-            key.append(np.cumsum(changed) - 1)  # number of the prefix of k words
+            new.append(new[-1].copy())
+            new[-1][1:] |= w[k, 1:] != w[k, :-1]
         levels = []
         for k in (2, 1, 0):  # deepest first
-            mine = np.flatnonzero(depth > k)
-            # arcs: distinct prefixes of k + 1 words
-            new = np.ones(len(mine), bool)
-            if len(mine) > 1:
-                new[1:] = (w[:k + 1, mine[1:]] != w[:k + 1, mine[:-1]]).any(0)
-            at = mine[new]
-            count = np.where(depth[at] == k + 1, n[at], 0)
-            parent = key[k][at] if k else np.zeros(len(at), np.int64)
-            levels.append((w[k][at].astype(np.int64) - 1, count, parent, key[k + 1][at] if k < 2 else None))
+            at = np.flatnonzero(new[k] & (w[k] > 0))  # the first n-gram with each prefix of k + 1 words
+            ends = w[k + 1, at] == 0 if k < 2 else np.ones(len(at), bool)
+            parent = np.cumsum(new[k - 1])[at] if k else np.zeros(len(at), np.int64)
+            levels.append(((w[k, at] - 1).astype(np.int32), np.where(ends, n[at], 0), parent, np.cumsum(new[k])[at]))
         arcs, runs, state_of = [], [], None  # state_of: (prefix numbers, states) of the level below
-        for label, count, parent, own in levels:
-            to = np.full(len(label), -1, np.int64)
+        for label, count, parent, own in levels:  # parent, own: numbers of the prefixes without and with the arc
+            to = np.full(len(label), -1, np.int32)
             if state_of is not None and len(state_of[0]):
                 i = np.minimum(np.searchsorted(state_of[0], own), len(state_of[0]) - 1)
-                to = np.where(state_of[0][i] == own, state_of[1][i], -1)
+                to = np.where(state_of[0][i] == own, state_of[1][i], -1).astype(np.int32)
             start = np.flatnonzero(np.concatenate([[True], parent[1:] != parent[:-1]])) if len(parent) else np.zeros(0, np.int64)
             (label, count, to), run, state = shared_states(start, label, count, to)
             arcs.append((label, count, to))
@@ -90,14 +87,15 @@ class Transducer:
             state_of = (parent[start], state)
         return Transducer(words, arcs[::-1], runs[::-1])
 
-    def ngrams(self) -> tuple[np.ndarray, np.ndarray]:
+    def ngrams(self, in_order: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(w, n) as ``build`` takes them."""
         rows, counts = [], []
         label, count, to = self.arcs[0]
         path = [label + 1]
         for k in range(3):
-            rows.append(np.stack([*path, *[np.zeros(len(count), np.int64)] * (2 - k)]) if len(count) else np.zeros((3, 0), np.int64))
-            counts.append(count)
+            ends = np.flatnonzero(count)
+            rows.append(np.stack([*[p[ends] for p in path], *[np.zeros(len(ends), np.int32)] * (2 - k)]))
+            counts.append(count[ends])
             if k == 2:
                 break
             src = np.flatnonzero(to >= 0)
@@ -107,9 +105,7 @@ class Transducer:
             label, count, to = (x[at] for x in self.arcs[k + 1])
             path.append(label + 1)
         w, n = np.concatenate(rows, axis=1), np.concatenate(counts)
-        w, n = w[:, n > 0], n[n > 0]
-        order = np.lexsort(w[::-1])
-        return w[:, order], n[order]
+        return merged(w, n) if in_order else (w, n)
 
     def compose(self, counts: "Transducer") -> tuple[np.ndarray, np.ndarray]:
         """(w, n): this automaton's n-grams that ``counts`` has too, with the
@@ -137,7 +133,7 @@ class Transducer:
             ends = (count[hit] > 0) & (count2[i[hit]] > 0)
             rows.append(np.stack([p[ends] for p in path] + [np.zeros(int(ends.sum()), np.int64)] * (2 - k)))
             found.append(count2[i[hit]][ends])
-            mine, theirs = to[hit], to2[i[hit]]
+            mine, theirs = to[hit], to2[i[hit]].astype(np.int64)
             on = (mine >= 0) & (theirs >= 0)
             mine, theirs, path = mine[on], theirs[on], [p[on] for p in path]
             if not len(mine):
@@ -149,9 +145,9 @@ class Transducer:
     def dumps(self) -> bytes:
         import pyarrow as pa
 
-        flat = [np.concatenate(x) for x in self.arcs]
-        head = np.array([len(self.words), *[len(a[0]) for a in self.arcs], *[len(r) for r in self.runs]], np.int64)
-        body = b"".join([x.astype("<i8").tobytes() for x in (head, *flat, *self.runs)]) + b"\n".join(self.words)
+        head = np.array([len(self.words), *[len(a[0]) for a in self.arcs], *[len(r) for r in self.runs]], "<i8")
+        flat = [x.astype(kind) for a in self.arcs for x, kind in zip(a, ("<i4", "<i8", "<i4"))]
+        body = b"".join([x.tobytes() for x in (head, *flat, *[r.astype("<i8") for r in self.runs])]) + b"\n".join(self.words)
         return np.int64(len(body)).tobytes() + pa.compress(body, codec="zstd", asbytes=True)
 
     @staticmethod
@@ -162,13 +158,13 @@ class Transducer:
         head = np.frombuffer(body, "<i8", 7)
         at = 56
 
-        def take(size):
+        def take(size, kind="<i8"):
             nonlocal at
-            x = np.frombuffer(body, "<i8", int(size), at)
-            at += 8 * int(size)
+            x = np.frombuffer(body, kind, int(size), at)
+            at += x.nbytes
             return x
 
-        arcs = [tuple(take(n) for _ in range(3)) for n in head[1:4]]
+        arcs = [tuple(take(n, kind) for kind in ("<i4", "<i8", "<i4")) for n in head[1:4]]
         runs = [take(n) for n in head[4:7]]
         return Transducer(body[at:].split(b"\n") if head[0] else [], arcs, runs)
 
@@ -197,16 +193,30 @@ def shared_states(start, label, count, to):
     return (label[kept], count[kept], to[kept]), runs, np.searchsorted(keep, chief)
 
 
+def packed(w: np.ndarray, bits: int) -> np.ndarray:
+    key = w[0].astype(np.int64)
+    for k in (1, 2):
+        key <<= bits
+        key |= w[k]
+    return key
+
+
+def unpacked(key: np.ndarray, bits: int) -> np.ndarray:
+    mask = (1 << bits) - 1
+    return np.stack([(key >> (2 * bits)).astype(np.int32), ((key >> bits) & mask).astype(np.int32), (key & mask).astype(np.int32)])
+
+
 def merged(w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Equal columns made one, counts summed, sorted."""
     if not w.shape[1]:
         return w, n
     bits = int(w.max()).bit_length()
     if bits <= 21:
-        key = (w[0] << (2 * bits)) | (w[1] << bits) | w[2]
-        order = np.argsort(key, kind="stable")
+        key = packed(w, bits)
+        order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        return unpacked(key[first], bits), np.add.reduceat(n[order], first)
     else:
         order = np.lexsort(w[::-1])
         s = w[:, order]
@@ -215,18 +225,21 @@ def merged(w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def union(parts: list[Transducer]) -> Transducer:
-    """One transducer of all paths, weights summed."""
+    """One transducer of all paths, weights summed; ``parts`` is emptied."""
     if len(parts) == 1:
-        return parts[0]
+        return parts.pop()
     words = sorted(set().union(*[p.words for p in parts]))
     place = {x: k + 1 for k, x in enumerate(words)}
     ws, ns = [], []
     for p in parts:
-        own = np.array([0, *[place[x] for x in p.words]], np.int64)
-        w, n = p.ngrams()
+        own = np.array([0, *[place[x] for x in p.words]], np.int32)
+        w, n = p.ngrams(in_order=False)
         ws.append(own[w])
         ns.append(n)
-    w, n = merged(np.concatenate(ws, axis=1), np.concatenate(ns))
+    parts.clear()
+    w, n = np.concatenate(ws, axis=1), np.concatenate(ns)
+    del ws, ns
+    w, n = merged(w, n)
     return Transducer.build(words, w, n)
 
 
@@ -235,7 +248,7 @@ def pruned(t: Transducer, least: int) -> Transducer:
     w, n = t.ngrams()
     w, n = w[:, n >= least], n[n >= least]
     used = np.unique(w[w > 0])
-    own = np.zeros(len(t.words) + 1, np.int64)
+    own = np.zeros(len(t.words) + 1, np.int32)
     own[used] = np.arange(1, len(used) + 1)
     return Transducer.build([t.words[k - 1] for k in used], own[w], n)
 
@@ -290,9 +303,8 @@ class Shard:
         key.sort()
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         n = np.diff(np.append(first, len(key)))
-        key, mask = key[first], (1 << bits) - 1
         self.kinds, self.parts, self.size = {}, [], 0
-        return words, np.stack([key >> (2 * bits), (key >> bits) & mask, key & mask]), n
+        return words, unpacked(key[first], bits), n
 
 
 def _lang(lang) -> str:
@@ -342,7 +354,7 @@ def shard_transducers(docs: DataFrame, cuts: list[tuple], max_words: int) -> Dat
         def out(lang):
             words, w, n = shards[lang].out()
             bits = len(words).bit_length()
-            key = (w[0] << (2 * bits)) | (w[1] << bits) | w[2]
+            key = packed(w, bits)
             lo, hi = bisect.bisect_left(cuts, (lang,)), bisect.bisect_left(cuts, (lang + "\0",))
             ends = [0]
             for _, *cut in cuts[lo:hi]:
@@ -360,7 +372,7 @@ def shard_transducers(docs: DataFrame, cuts: list[tuple], max_words: int) -> Dat
                     continue
                 part = w[:, i:j]
                 used = np.unique(part[part > 0])
-                own = np.zeros(len(words) + 1, np.int64)
+                own = np.zeros(len(words) + 1, np.int32)
                 own[used] = np.arange(1, len(used) + 1)
                 rows.append((lo + k, lang, Transducer.build([words[u - 1] for u in used], own[part], n[i:j]).dumps()))
             return rows
@@ -391,16 +403,16 @@ def range_transducers(shards: DataFrame, least: int) -> DataFrame:
     """(range, lang, n, automaton): the unions, with ``n`` the words that they
     count; n-grams under ``least`` are left out. Prefixes of an n-gram occur
     as often as it does or more, so they stay."""
-    src = shards.repartitionByRange(shuffle_partitions(shards.sparkSession), "range").sortWithinPartitions("range", "lang")
+    src = shards.repartitionById(shuffle_partitions(shards.sparkSession), F.col("range")).sortWithinPartitions("range", "lang")
 
     def run(batches):
         import pyarrow as pa
 
-        at, held, size = None, [], 0
+        at, held, size, most = None, [], 0, UNION_ARCS
 
         def out():
             t = union(held)
-            w, n = t.ngrams()
+            w, n = t.ngrams(in_order=False)
             return pa.RecordBatch.from_arrays(
                 [pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.string()), pa.array([int(n[w[1] == 0].sum())], pa.int64()),
                  pa.array([pruned(t, least).dumps()], pa.binary())], ["range", "lang", "n", "automaton"])
@@ -410,15 +422,14 @@ def range_transducers(shards: DataFrame, least: int) -> DataFrame:
                 key = (b.column(0)[k].as_py(), b.column(1)[k].as_py())
                 if held and key != at:
                     yield out()
-                    held, size = [], 0
+                    held, size, most = [], 0, UNION_ARCS
                 at = key
                 held.append(Transducer.loads(b.column(2)[k].as_py()))
                 size += len(held[-1])
-                if size > UNION_ARCS and len(held) > 1:
+                if size > most:
                     held = [union(held)]
                     size = len(held[0])
-                    if size > UNION_ARCS // 2:  # merge again only once it has grown by half
-                        size = UNION_ARCS // 2
+                    most = max(UNION_ARCS, 2 * size)
         if held:
             yield out()
 
