@@ -29,6 +29,8 @@ ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 SHARD_WORDS, SHARD_KINDS = 3_000_000, 1_000_000
 #: Arcs that a union gathers before it merges them, at least; later as many again as it has.
 UNION_ARCS = 1_000_000
+#: Prefix ranges in a shuffle partition; a task unions one after the other.
+RANGES = 4
 #: Sampled n-grams a prefix range; the sample only places the cuts.
 SAMPLES = 20
 
@@ -313,7 +315,8 @@ def _lang(lang) -> str:
 
 def range_cuts(docs: DataFrame, ranges: int) -> list[tuple]:
     """(lang, w1, w2, w3) where prefix ranges begin, from ``SAMPLES`` n-grams
-    a range: the driver holds as many as the shuffle has partitions."""
+    a range; the driver holds ``RANGES`` for each shuffle partition. Equal
+    n-grams count once, as they do in a transducer."""
     total = docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     every = max(1, total // 6 // (SAMPLES * ranges))  # one word in so many
     rate = min(1.0, 64 / every)
@@ -336,7 +339,7 @@ def range_cuts(docs: DataFrame, ranges: int) -> list[tuple]:
                                                  ["lang", "w1", "w2", "w3"])
 
     got = docs.where(F.rand(7) < rate).select("_lang", "_text").mapInArrow(run, "lang string, w1 binary, w2 binary, w3 binary") \
-        .orderBy("lang", "w1", "w2", "w3").toArrow()
+        .distinct().orderBy("lang", "w1", "w2", "w3").toArrow()
     keys = list(zip(*[c.to_pylist() for c in got.columns])) if got.num_rows else []
     return sorted({keys[k * len(keys) // ranges] for k in range(1, ranges)}) if keys else []
 
@@ -403,7 +406,7 @@ def range_transducers(shards: DataFrame, least: int) -> DataFrame:
     """(range, lang, n, automaton): the unions, with ``n`` the words that they
     count; n-grams under ``least`` are left out. Prefixes of an n-gram occur
     as often as it does or more, so they stay."""
-    src = shards.repartitionById(shuffle_partitions(shards.sparkSession), F.col("range")).sortWithinPartitions("range", "lang")
+    src = shards.repartitionById(shuffle_partitions(shards.sparkSession), F.expr(f"cast(range div {RANGES} as int)")).sortWithinPartitions("range", "lang")
 
     def run(batches):
         import pyarrow as pa
@@ -529,7 +532,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         raise ValueError("max_words must be 2 or 3")
     spark = docs.sparkSession
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("_lang"), F.col(text_col).alias("_text"))
-    cuts = range_cuts(src, shuffle_partitions(spark))
+    cuts = range_cuts(src, RANGES * shuffle_partitions(spark))
     unions = written(range_transducers(shard_transducers(src, cuts, max_words), min_count), "transducers")
     phrases = written(phrase_cuts(unions, cuts), "phrases")
     asked = phrases.select("lang", F.explode(F.array(F.struct(F.col("first").alias("part"), F.col("first_range").alias("range")),
