@@ -26,7 +26,7 @@ from quarry.llm.common import LOWER_BYTES, binary_texts, by_bytes, mix64, shuffl
 #: What ends a piece of text, and what parts words.
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Words in a shard, and different ones in it, at most (packed n-grams need 21 bits a word).
-SHARD_WORDS, SHARD_KINDS = 3_000_000, 1_000_000
+SHARD_WORDS, SHARD_KINDS = 1_500_000, 700_000
 #: Arcs that a union gathers before it merges them, at least; later as many again as it has.
 UNION_ARCS = 1_000_000
 #: Prefix ranges in a shuffle partition; a task unions one after the other.
@@ -258,7 +258,7 @@ def pruned(t: Transducer, least: int) -> Transducer:
 _END = re.compile(b"[" + ENDS + b"]")
 
 
-def sliced(texts: list[bytes], size: int = 1 << 21) -> Iterator[bytes]:
+def sliced(texts: list[bytes], size: int = 1 << 20) -> Iterator[bytes]:
     """The texts, long ones cut behind an end of a piece, where no phrase goes on."""
     for text in texts:
         at = 0
@@ -279,7 +279,7 @@ class Shard:
 
         col = pa.array(tokens(texts), pa.binary()).dictionary_encode()
         own = np.array([0 if x == b"\n" else -1 if not x else self.kinds.setdefault(x, len(self.kinds) + 1)
-                        for x in col.dictionary.to_pylist()], np.int64)
+                        for x in col.dictionary.to_pylist()], np.int32)
         codes = own[col.indices.to_numpy(zero_copy_only=False)]
         self.parts.append(codes[codes >= 0])
         self.size += len(self.parts[-1])
@@ -290,18 +290,26 @@ class Shard:
     def out(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """(words, w, n) of all n-grams, as ``Transducer.build`` takes them."""
         words = sorted(self.kinds)
-        rank = np.zeros(len(words) + 1, np.int64)
+        rank = np.zeros(len(words) + 1, np.int32)
         rank[[self.kinds[x] for x in words]] = np.arange(1, len(words) + 1)
-        codes = rank[np.concatenate(self.parts)] if self.parts else np.zeros(0, np.int64)
-        bits, size = len(words).bit_length(), len(codes)
-        padded = np.concatenate([codes, np.zeros(2, np.int64)])
-        a, b, c = padded[:size], padded[1:size + 1], padded[2:size + 2]
-        whole = a > 0
-        keys = [a[whole] << (2 * bits)]
-        for k in range(2, self.m + 1):
-            whole = whole & ((b if k == 2 else c) > 0)
-            keys.append((a[whole] << (2 * bits)) | (b[whole] << bits) | (c[whole] if k == 3 else 0))
-        key = np.concatenate(keys)
+        codes = rank[np.concatenate([*self.parts, np.zeros(2, np.int32)])]
+        bits, size = len(words).bit_length(), self.size
+        self.parts = []
+        # all n-grams packed, those of one word first: filled in place, as copies would hold the memory of several shards
+        whole = [codes[:size] > 0]
+        for k in range(1, self.m):
+            whole.append(whole[-1] & (codes[k:size + k] > 0))
+        key, at = np.empty(sum(int(x.sum()) for x in whole), np.int64), 0
+        for k, own in enumerate(whole):
+            own = np.flatnonzero(own)
+            part = key[at:at + len(own)]
+            part[:] = codes[own]
+            for j in (1, 2):
+                part <<= bits
+                if j <= k:
+                    part |= codes[own + j]
+            at += len(own)
+        del codes, whole
         key.sort()
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         n = np.diff(np.append(first, len(key)))
@@ -390,7 +398,7 @@ def shard_transducers(docs: DataFrame, cuts: list[tuple], max_words: int) -> Dat
                 by_lang.setdefault(lang, []).append(text)
             for lang, texts in by_lang.items():
                 shard = shards.setdefault(lang, Shard(max_words))
-                for part in by_bytes(sliced(texts), len, 1 << 21):
+                for part in by_bytes(sliced(texts), len, 1 << 20):
                     shard.add(part)
                     if shard.full():
                         if rows := out(lang):
