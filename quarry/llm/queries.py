@@ -22,6 +22,7 @@ from quarry.llm.mixing import mix_sources
 from quarry.llm.packing import pack_documents
 from quarry.llm.phrases import collocations, top_phrases
 from quarry.llm.ppm import score_language
+from quarry.llm.private_data import KINDS, private_spans, span_list
 from quarry.llm.quality import score_quality
 from quarry.llm.token_files import read_token_files, token_folder, write_token_files
 from quarry.llm.topk import exact_top_k
@@ -295,3 +296,13 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2000 first phrases of two or three words."""
     found = top_phrases(collocations(documents(spark, sf_dir, "text", "lang"), max_words=3, min_count=10, inside_share=0.5), 2000)
     return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
+
+
+@query()
+def op12_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: counts and hash of the base spans, and all spans."""
+    found = private_spans(documents(spark, sf_dir, "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
