@@ -105,10 +105,22 @@ def proposed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(rows.select("_rid", "_id", F.concat(*[F.coalesce(x, none) for x in every]).alias("found")), "matches")
 
 
+def possible(kind: Column, match: Column, left: Column, right: Column) -> Column:
+    """Whether a proposed span can be personal data at all: a card number
+    passes Luhn's check, an address has no part over 255, a telephone number
+    has 7 to 15 digits, and none is cut out of a longer word or number."""
+    digits = digits_of(match)
+    n = F.char_length(digits)
+    alone = ~left.rlike("[A-Za-z0-9]$") & ~right.rlike("^[A-Za-z0-9]")
+    return alone & F.when(kind == "email", True).when(kind == "ip", F.contains(match, F.lit(":")) | valid(kind, match)) \
+        .when(kind == "card", n.between(13, 19) & luhn(digits)).otherwise(n.between(7, 15))
+
+
 def placed(found: DataFrame) -> DataFrame:
     """A row a proposed span: where it begins and ends (code points), whether
-    it is ``base`` (a valid match of a strict pattern). Spans that overlap a
-    base span and are none are dropped."""
+    it is ``base`` (a valid match of a strict pattern) and whether it is
+    ``possible``. Spans that overlap a base span and are none are dropped, and
+    numbers of under 13 digits, which no labeler takes for a card."""
     each = found.where(F.size("found") > 0).select("_rid", F.explode("found").alias("s")).select("_rid", "s.*").repartition("_rid")
     own = F.char_length("match")
     upto = F.sum(F.col("gap") + own).over(Window.partitionBy("_rid", "pattern").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
@@ -118,7 +130,9 @@ def placed(found: DataFrame) -> DataFrame:
     after = F.min(F.when(F.col("valid"), F.col("start"))).over(by.rangeBetween(0, Window.unboundedFollowing))
     return each.withColumn("_before", before).withColumn("_after", after) \
         .where(F.col("valid") | ((F.coalesce("_before", F.lit(-1)) <= F.col("start")) & (F.col("_after").isNull() | (F.col("_after") >= F.col("end"))))) \
-        .select("_rid", "kind", "strict", F.col("valid").alias("base"), "start", "end", "match", "left", "right")
+        .where((F.col("kind") != "card") | (F.char_length(digits_of(F.col("match"))) >= 13)) \
+        .withColumn("possible", F.col("valid") | possible(F.col("kind"), F.col("match"), F.col("left"), F.col("right"))) \
+        .select("_rid", "kind", "possible", F.col("valid").alias("base"), "start", "end", "match", "left", "right")
 
 
 def vote(yes: Column, no: Column) -> Column:
@@ -134,7 +148,7 @@ def votes() -> dict[str, Column]:
     code = F.when(F.startswith(match, F.lit("+")), digits)
     by_kind = lambda **c: F.coalesce(*[F.when(kind == k, v) for k, v in c.items()])
     said = F.lower(F.concat_ws(" ", "left", "right"))
-    form = F.when(F.col("strict"), vote(F.col("base"), ~F.col("base"))).otherwise(0)
+    form = vote(F.col("base"), ~F.col("possible"))
     shape = by_kind(
         email=vote(top.rlike("^[a-z]{2,}$"), ~top.rlike("^[a-z]{2,}$")),
         ip=vote(match.rlike(r"^(?:[1-9][0-9]{0,2}|0)(?:\.(?:[1-9][0-9]{0,2}|0)){3}$|^[0-9A-Fa-f:]+$"), match.rlike(r"[0-9]{4}\.|\.[0-9]{4}")),
@@ -155,7 +169,7 @@ def features() -> Column:
     """What the final model sees of a span: its kind with each vote, its
     shape (runs of digits and letters), and what stands next to it."""
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("match", "[A-Za-z]+", "a"), "[0-9]{7,}", "9+"), "[0-9]", "9")
-    said = [F.concat_ws(":", "kind", F.lit(k), F.col(f"v.{k}").cast("string")) for k in LABELERS]
+    said = [F.concat_ws(":", "kind", F.lit(k), F.col(f"v.{k}").cast("string")) for k in LABELERS[1:]]
     near = lambda c, p: F.concat_ws(":", "kind", F.lit(c), F.regexp_replace(F.regexp_extract(c, p, 0), "[A-Za-z]", "a"))
     return F.array(*said, F.concat_ws(":", "kind", F.left(shape, F.lit(24))), near("left", ".$"), near("right", "^."))
 
@@ -164,9 +178,14 @@ def reliabilities(patterns: list[tuple[dict, float]], steps: int = 50) -> tuple[
     """(share of personal data, P(vote | label) of each labeler, posterior of
     each pattern of votes) by expectation-maximisation over (votes, count).
     It starts from the sum of votes; a prior of ten spans, that a labeler who
-    speaks is right three times of four, keeps the two labels from swapping."""
+    speaks is right three times of four, keeps the two labels from swapping.
+    What ``form`` says is certain: it speaks only of valid matches of the
+    strict patterns and of what can't be personal data."""
+    def sure(v, p):
+        return {1: 1.0, -1: 0.0}.get(v["form"], p)
+
     prior = {1: {1: 5.0, 0: 3.3, -1: 1.7}, 0: {1: 1.7, 0: 3.3, -1: 5.0}}
-    post = [1 / (1 + math.exp(-sum(v.values()))) for v, _ in patterns]
+    post = [sure(v, 1 / (1 + math.exp(-sum(v.values())))) for v, _ in patterns]
     share, said = 0.5, {}
     for _ in range(steps):
         total = sum(n for _, n in patterns)
@@ -181,8 +200,8 @@ def reliabilities(patterns: list[tuple[dict, float]], steps: int = 50) -> tuple[
                 said[k, y] = {x: m / whole for x, m in c.items()}
         new = []
         for v, _ in patterns:
-            odds = math.log(share / (1 - share)) + sum(math.log(said[k, 1][v[k]] / said[k, 0][v[k]]) for k in LABELERS)
-            new.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
+            odds = math.log(share / (1 - share)) + sum(math.log(said[k, 1][v[k]] / said[k, 0][v[k]]) for k in LABELERS[1:])
+            new.append(sure(v, 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))))
         moved = max((abs(a - b) for a, b in zip(new, post)), default=0)
         post = new
         if moved < 1e-9:
@@ -200,10 +219,10 @@ def posteriors(spans: DataFrame) -> dict[str, Column]:
     for kind, patterns in by.items():
         share, said, _ = reliabilities(patterns)
         odds = F.lit(math.log(share / (1 - share)))
-        for k in LABELERS if said else ():
+        for k in LABELERS[1:] if said else ():
             w = {x: math.log(said[k, 1][x] / said[k, 0][x]) for x in (-1, 0, 1)}
             odds = odds + F.when(F.col(f"v.{k}") == 1, w[1]).when(F.col(f"v.{k}") == -1, w[-1]).otherwise(w[0])
-        out[kind] = 1 / (1 + F.exp(-odds))
+        out[kind] = F.when(F.col("v.form") == 1, 1.0).when(F.col("v.form") == -1, 0.0).otherwise(1 / (1 + F.exp(-odds)))
     return out
 
 
@@ -213,9 +232,9 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ends are code points, ends exclusive.
 
     ``base`` spans are the valid matches of the strict patterns (leftmost, not
-    overlapping within a kind) and always stay. Others are added where the
-    model gives them ``least`` or more; one that begins within another added
-    span that begins before it is not. Null and empty texts have no spans;
+    overlapping within a kind) and always stay. Others are added where they
+    are ``possible`` and the model gives them ``least`` or more; one that
+    begins within another added span that begins before it is not. Null and empty texts have no spans;
     repeated rows and null ids are rows of their own; other columns are
     ignored; without any proposed span nothing is fitted.
     """
@@ -235,7 +254,7 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         fit = written(rows, "fit")
         if fit.select("label").distinct().count() == 2:
             model = LogisticRegression(featuresCol="x", weightCol="weight", maxIter=25, regParam=1e-4, standardization=False).fit(hashing.transform(fit))
-            others = model.transform(hashing.transform(spans.where("not base"))) \
+            others = model.transform(hashing.transform(spans.where("possible and not base"))) \
                 .withColumn("score", vector_to_array("probability")[1]).where(F.col("score") >= least)
             earlier = F.max("end").over(Window.partitionBy("_rid").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1))
             kept = base.unionByName(others.withColumn("_e", earlier).where("_e is null or _e <= start").select(*base.columns))
