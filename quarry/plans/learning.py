@@ -11,11 +11,14 @@ from quarry.operators import joins as J
 from quarry.operators import aggregates as A
 from quarry.operators import backtest as B
 from quarry.operators import metrics as M
+from quarry.operators import models as ML
+from quarry.operators import tuning as TU
 from quarry.operators import windows as W
 from quarry.operators.forecast import trend_forecast
 from quarry.operators.ordered import global_row_number
 from quarry.plans import views as V
 from quarry.plans.catalog import query
+from quarry.session import cut_lineage
 
 
 def r6(c):
@@ -611,6 +614,38 @@ def walk_forward_folds(spark, sf):
                          "n_train", "n_test")
 
 
+@query("walk_forward_fit", views=["prices"], sql=f"""
+, {PREDS_SQL},
+b AS (SELECT MIN(date) AS d0, MAX(date) AS d1 FROM preds),
+c AS (SELECT date, COUNT(*) AS n FROM preds GROUP BY date),
+f AS (SELECT k, CAST(d0 + INTERVAL ({WF_TRAIN_DAYS} + {WF_EMBARGO} + k * {WF_STEP}) DAY AS DATE) AS test_start
+      FROM b, (SELECT unnest(range(0, greatest(date_diff('day', d0, d1) - ({WF_TRAIN_DAYS} + {WF_EMBARGO}), 0) // {WF_STEP} + 1)) AS k FROM b) ks),
+f2 AS (SELECT k, test_start, CAST(test_start + INTERVAL {WF_TEST_DAYS} DAY AS DATE) AS test_end, CAST(test_start - INTERVAL {WF_EMBARGO} DAY AS DATE) AS train_end,
+              CAST(test_start - INTERVAL ({WF_EMBARGO} + {WF_TRAIN_DAYS}) DAY AS DATE) AS train_start FROM f, b WHERE test_start <= d1),
+cnt AS (SELECT k, train_start, train_end, test_start, test_end, COALESCE(SUM(n) FILTER (WHERE date < train_end), 0) AS n_train,
+               COALESCE(SUM(n) FILTER (WHERE date >= test_start), 0) AS n_test
+        FROM f2 LEFT JOIN c ON c.date >= train_start AND c.date < test_end GROUP BY 1, 2, 3, 4, 5),
+kept AS (SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS fold, * FROM cnt WHERE n_train >= {WF_MIN_TRAIN} AND n_test >= {WF_MIN_TEST}),
+-- a model of one feature ranks by it, upwards if it goes with the target in training
+up AS (SELECT fold, covar_pop(prob, target) >= 0 AS up FROM kept JOIN preds ON date >= train_start AND date < train_end GROUP BY fold),
+r AS (SELECT fold, target, rank() OVER (PARTITION BY fold ORDER BY prob) AS rmin, COUNT(*) OVER (PARTITION BY fold, prob) AS c
+      FROM kept JOIN preds ON date >= test_start AND date < test_end),
+t AS (SELECT fold, SUM(target) AS npos, COUNT(*) - SUM(target) AS nneg, COUNT(*) AS n, SUM(rmin + (c - 1) / 2.0) FILTER (WHERE target = 1) AS rs FROM r GROUP BY fold),
+a AS (SELECT fold, n, npos, (rs - npos * (npos + 1) / 2.0) / (npos * nneg) AS auc FROM t)
+SELECT a.fold, CAST(n AS BIGINT) AS n_scored, CAST(npos AS BIGINT) AS n_positive, TRUE AS scored,
+       round(CASE WHEN up THEN auc ELSE 1 - auc END, 6) AS fold_auc FROM a JOIN up ON a.fold = up.fold""")
+def walk_forward_fit(spark, sf):
+    """One logistic model a walk-forward fold, fitted on its training span
+    behind the embargo and scored on its test span. The feature is the five
+    days' momentum alone, so that an oracle knows each model's ranking."""
+    p = cut_lineage(preds(spark, sf).select("ticker", "date", F.col("prob").alias("momentum"), "target"))
+    folds = [r.asDict() for r in walk_forward_folds(spark, sf).collect()]  # as many as the calendar has steps
+    s = TU.walk_forward_fit(p, folds, "date", "target", ML.logistic_pipeline(["momentum"], "target", c_inverse_reg=1e9).fit)
+    return s.groupBy("fold").agg(F.count(F.lit(1)).alias("n_scored"), F.sum("target").cast("long").alias("n_positive"),
+                                 F.min(F.coalesce(F.col("prob").between(0.0, 1.0), F.lit(False))).alias("scored"),
+                                 r6(F.max("fold_auc")).alias("fold_auc"))
+
+
 @query("expanding_folds", views=["prices"], sql=f"""
 , {PREDS_SQL},
 r AS (SELECT date, ticker, row_number() OVER (ORDER BY date, ticker) AS rn, COUNT(*) OVER () AS n FROM preds),
