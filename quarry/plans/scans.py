@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from quarry.functions.scalar import round_to
 from quarry.plans import views as V
 from quarry.plans.catalog import query
-from quarry.session import scratch_path
+from quarry.session import cut_lineage, scratch_path
 from quarry.sources import files as IO
+from quarry.sources import contracts as CT
 from quarry.sources import ingest as ING
 from quarry.sources.tables import read_table
 
@@ -278,12 +279,16 @@ def insert_or_ignore(spark, sf):
 SELECT ticker, date, round(CASE WHEN date >= (SELECT MAX(date) FROM prices) - 30 THEN close * 1.01 ELSE close END, 6) AS close
 FROM prices""")
 def insert_or_replace(spark, sf):
-    p = V.prices(spark, sf).select("ticker", "date", "close")
+    """Upsert into a table stored by month: the last 30 days come again with
+    other prices, and only their months are read and written anew."""
+    path = _scratch(spark, sf, "prices_by_month")
+    p = cut_lineage(V.prices(spark, sf).select("ticker", "date", "close", F.date_format("date", "yyyy-MM").alias("month")))
     start = F.date_sub(p.agg(F.max("date")).scalar(), 30)
     target = p.withColumn("_seq", F.lit(1))
     batch = p.filter(F.col("date") >= start).withColumn("close", F.col("close") * 1.01).withColumn("_seq", F.lit(2))
-    out = ING.insert_or_replace(target, batch, ["ticker", "date"], "_seq")
-    return out.select("ticker", "date", r6(F.col("close")).alias("close"))
+    IO.write_parquet(target.repartition("month"), path, ["month"])
+    ING.upsert_partitions(batch, path, ["ticker", "date"], "_seq", "month")
+    return spark.read.schema(target.schema).parquet(path).select("ticker", "date", r6(F.col("close")).alias("close"))
 
 
 @query("append_snapshot", views=["odds"], sql="""
@@ -328,6 +333,55 @@ def table_schemas(spark, sf):
         check(V.prices(spark, sf), "prices", ["ticker", "date"]))
 
 
+_F = CT.Field
+# Declared schemas of five tables; a dividend column is declared that prices do not have.
+CONTRACTS = {
+    "games": CT.Contract("games", {"game_id": _F("string", False), "team_id": _F("long", False), "game_date": _F("date", False), "pts": _F("double")},
+                         ["game_id", "team_id"]),
+    "prices": CT.Contract("prices", {"ticker": _F("string", False), "date": _F("date", False), "close": _F("double"), "volume": _F("double", False),
+                                     "dividend": _F("double")}, ["ticker", "date"]),
+    "odds": CT.Contract("odds", {"poll_id": _F("long", False), "game_key": _F("long", False), "fetch_date": _F("date", False), "home_ml": _F("double", False)},
+                        ["game_key", "fetch_date"]),
+    "payer": CT.Contract("payer", {"provider_id": _F("long", False), "code": _F("string", False), "services": _F("double")}, ["provider_id", "code"]),
+    "appointments": CT.Contract("appointments", {"appt_id": _F("long", False), "patient_id": _F("long", False), "appt_date": _F("date", False),
+                                                 "revenue": _F("double")}, ["appt_id"]),
+}
+# What the raw text of a column holds in its stead where a condition on the row is true (None: a null).
+RAW_FAULTS = {("games", "pts"): ("pts % 41 = 0", "DNP"), ("prices", "close"): ("volume % 50 = 0", "n/a"), ("odds", "home_ml"): ("poll_id % 17 = 0", None),
+              ("appointments", "appt_date"): ("appt_id % 29 = 0", "tomorrow")}
+
+
+def _contract_sql():
+    lines = []
+    for t, c in CONTRACTS.items():
+        for name, f in c.fields.items():
+            missing = name == "dividend"
+            lines.append(f"SELECT '{t}' AS table_name, '{name}' AS column_name, 'missing' AS rule, {int(missing)}::BIGINT AS n")
+            fault, text = RAW_FAULTS.get((t, name), ("FALSE", ""))
+            if not missing:
+                lines.append(f"SELECT '{t}', '{name}', 'type', count(*) FILTER (WHERE {fault if text else 'FALSE'}) FROM {t}")
+                if not f.nullable:
+                    lines.append(f"SELECT '{t}', '{name}', 'null', count(*) FILTER (WHERE {name} IS NULL OR {'FALSE' if text else fault}) FROM {t}")
+        keys = ", ".join(c.keys)
+        lines.append(f"SELECT '{t}', '*', 'key', (count(*) - count(DISTINCT ({keys})))::BIGINT FROM {t} WHERE " + " AND ".join(f"{k} IS NOT NULL" for k in c.keys))
+    return " UNION ALL ".join(lines)
+
+
+@query("table_contracts", views=["games", "prices", "odds", "payer", "appointments"], sql=_contract_sql())
+def table_contracts(spark, sf):
+    """Raw text of five tables, with bad cells put in by a rule, held against
+    their declared types, nullability and keys: a row a column and rule."""
+    out = None
+    for t, c in CONTRACTS.items():
+        d = getattr(V, t)(spark, sf)
+        names = [x for x in c.fields if x in d.columns]
+        raw = [F.when(F.expr(RAW_FAULTS[t, x][0]), F.lit(RAW_FAULTS[t, x][1])).otherwise(F.col(x).cast("string")).alias(x)
+               if (t, x) in RAW_FAULTS else F.col(x).cast("string").alias(x) for x in names]
+        v = CT.violations(cut_lineage(d.select(*raw)), c)
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
 @query("provenance_tag", views=["payer"], sql="""
 SELECT code, COUNT(*) AS n, 'generated' AS source FROM payer GROUP BY code""")
 def provenance_tag(spark, sf):

@@ -11,9 +11,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 
 def insert_or_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` whose key is new; within the batch the first row
@@ -102,3 +105,89 @@ def html_list_items(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     d = d.select(id_col, "pos", F.trim(F.col("_z._h")).alias("href"), F.trim(F.col("_z._t")).alias("text"))
     return d.groupBy(id_col, "text").agg(F.min_by(F.struct("pos", "href"), "pos").alias("_f")) \
         .select(id_col, F.col("_f.pos").alias("pos"), F.col("_f.href").alias("href"), "text")
+
+
+#: The entities that table cells hold.
+ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": "\"", "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+
+
+def _cell_text(c: Column) -> Column:
+    """A cell without tags, entities read, white space made one space."""
+    c = F.regexp_replace(c, "<[^>]*>", " ")
+    for name, text in ENTITIES.items():  # the ampersand last, so that nothing is read twice
+        c = F.replace(c, F.lit(name), F.lit(text))
+    return F.trim(F.regexp_replace(c, r"[\s\u00a0]+", " "))
+
+
+def html_table(pages: DataFrame, id_col: str, html_col: str, columns: Mapping[str, Sequence[str]], unique: Sequence[str] = ()) -> DataFrame:
+    """First ``<table>`` of each page -> (id, row, one text column for each of
+    ``columns``).
+
+    A table is rows (``<tr>``) of cells (``<td>``, ``<th>``), tags in any case
+    and with any attributes, over any number of lines. Its first row is the
+    header; a column is the first header cell that holds one of its
+    substrings, in any case, and null if there is none. Rows without cells and
+    rows like the header are dropped; short rows end in nulls. ``unique``
+    names columns of which the first row with each value stays, within the
+    page. Pages without a table give no rows. A table within a cell is not
+    taken apart. Everything is expressions, on the executors.
+    """
+    def cells(row: Column) -> Column:
+        return F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=</t[dh]\b|<t[dh]\b|$)"), 1), _cell_text)
+
+    table = F.regexp_extract(F.regexp_replace(html_col, "(?s)<!--.*?-->", ""), r"(?is)<table\b[^>]*>(.*?)</table\s*>", 1)
+    rows = pages.select(F.col(id_col), F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|$)"), 1).alias("_rows")) \
+        .where(F.size("_rows") > 0)
+    rows = rows.select(id_col, cells(F.col("_rows")[0]).alias("_head"), F.posexplode(F.slice("_rows", 2, 2 ** 31 - 1)).alias("row", "_row"))
+    rows = rows.select(id_col, "row", "_head", cells(F.col("_row")).alias("_cells")).where((F.size("_cells") > 0) & (F.col("_cells") != F.col("_head")))
+    found = {}
+    for name, parts in columns.items():
+        at = F.array_position(_header_hits(parts), True)  # from 1; 0 if there is none
+        found[name] = F.when(at > 0, F.get("_cells", (at - 1).cast("int")))
+    out = rows.select(id_col, "row", *[c.alias(n) for n, c in found.items()])
+    if not unique:
+        return out
+    others = [c for c in out.columns if c not in (id_col, *unique)]
+    first = out.groupBy(id_col, *unique).agg(F.min_by(F.struct(*others), "row").alias("_f"))
+    return first.select(id_col, *unique, "_f.*").select(*out.columns)
+
+
+def _header_hits(parts: Sequence[str]) -> Column:
+    def hit(h: Column) -> Column:
+        out = F.lit(False)
+        for p in parts:
+            out = out | F.contains(F.lower(h), F.lit(p.lower()))
+        return out
+
+    return F.transform("_head", hit)
+
+
+#: Partitions that one batch may touch; their names pass through the driver.
+MOST_TOUCHED = 10_000
+
+
+def upsert_partitions(batch: DataFrame, path: str, keys: Sequence[str], seq: str, partition: str) -> int:
+    """Upsert ``batch`` into the parquet table at ``path``, which is
+    partitioned by ``partition``; returns the number of partitions rewritten.
+
+    Only partitions that the batch touches are read (their names prune the
+    scan) and overwritten; files of the others stay as they are. The merged
+    rows are written aside first, so a run that dies can be made again: the
+    same batch gives the same table. A key must keep its partition. The row
+    with the largest ``seq`` of a key wins.
+    """
+    spark = batch.sparkSession
+    touched = [r[0] for r in batch.select(partition).distinct().limit(MOST_TOUCHED + 1).collect()]
+    if len(touched) > MOST_TOUCHED:
+        raise ValueError(f"one batch touches more than {MOST_TOUCHED} partitions of {path}")
+    try:
+        spark.read.schema(batch.schema).parquet(path).limit(0).collect()
+        stored = spark.read.schema(batch.schema).parquet(path).where(F.col(partition).isin(*[t for t in touched if t is not None])
+                                                                     | (F.col(partition).isNull() if None in touched else F.lit(False)))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = batch.limit(0)
+    merged = cut_lineage(insert_or_replace(stored, batch, keys, seq).select(*batch.columns))
+    merged.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    return len(touched)
