@@ -8,30 +8,36 @@ of the longer one are excluded. As all counts come from one corpus, followers
 of a context also follow its suffix, so what an escape excludes depends on the
 context alone and is summed beforehand.
 
-Only counts of grams (context and follower of the longest order) leave the
-corpus; the shorter contexts are their sums. The table of grams grows with the
-corpus and is cut into shards of bounded size by the last two bytes of the
-context; a text is scored against one shard after the other.
+The grams (context and follower of the longest order) are dealt into shards by
+the last three bytes of the context, as many as the shuffle has partitions.
+Training texts send their counts there, every text its different grams with
+the rows that have them, and a shard makes its trie once and sends back sums
+by row. No table of grams passes through the driver or is held by every task;
+only the counts of the shortest contexts are, at most 2^24 of them whatever
+the corpus.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.llm.common import binary_texts, by_bytes, words_of, written
+from quarry.llm.common import binary_texts, by_bytes, mix64, shuffle_partitions, words_of, written
 
 #: Longest context in bytes; a gram (context and follower) must fit 63 bits.
 ORDER = 5
 #: What stands before a text's first byte, and after its last.
 START, END = 10, 10
-#: Grams in a shard, at most (more only if two context bytes alone have more).
-SHARD_GRAMS = 4_000_000
+#: Bytes of text that are handled at once, and rows of one batch, at most (a row's number stands beside its gram in 63 bits).
+PART_BYTES, BATCH_ROWS = 1 << 21, 1 << 15
+#: Grams that a task counts before it sends them, and bytes that it asks about at once.
+COUNTED, ASKED_BYTES = 12_000_000, 1 << 22
 #: The most frequent words, whose counts every task holds; other counts are joined.
 COMMON_WORDS = 200_000
 
@@ -43,25 +49,90 @@ def in_training(doc_id: Column) -> Column:
 
 def modelled(text: bytes) -> bytes:
     """The bytes that are modelled: the words, one space between, and an end."""
-    return b" ".join(words_of(text)) + bytes([END])
-
-
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(gram of each byte of each modelled text, number of bytes of each)."""
-    pad = bytes([START]) * ORDER
-    a = np.frombuffer(b"".join([pad + t for t in texts]), np.uint8).astype(np.int64)
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    return b"".join(pieces(text))
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """``modelled``, piece by piece for long texts; a word that a cut parts stays whole."""
+    held, open_word = None, False
+    for at in range(0, max(len(text), 1), PART_BYTES):
+        cut = text[at:at + PART_BYTES]
+        words = words_of(cut)
+        if words:
+            if held is not None:
+                yield held + (b"" if open_word and not cut[:1].isspace() else b" ")
+            held = b" ".join(words)
+        open_word = bool(words) and not cut[-1:].isspace()
+    yield (held or b"") + bytes([END])
+
+
+def runs(texts: Iterable[bytes], most: int) -> Iterator[list[tuple[int, bytes, bytes]]]:
+    """(number of the text, the ``ORDER`` bytes before, piece) of all texts, in lists of about ``most`` bytes."""
+    def each():
+        for k, text in enumerate(texts):
+            before = bytes([START]) * ORDER
+            for piece in pieces(text):
+                yield k, before, piece
+                before = (before + piece)[-ORDER:]
+
+    return by_bytes(each(), lambda x: len(x[2]), most)
+
+
+def grams(parts: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(gram of each byte of each piece, number of bytes of each)."""
+    a = np.frombuffer(b"".join([before + piece for _, before, piece in parts]), np.uint8).astype(np.int64)
+    size = np.fromiter((len(p) for _, _, p in parts), np.int64, len(parts))
     g = np.zeros(max(0, len(a) - ORDER), np.int64)
     for k in range(ORDER + 1):
-        g = (g << 8) | a[k: len(a) - ORDER + k]
-    # the positions whose gram ends in a text's own bytes
+        g <<= 8
+        g |= a[k: len(a) - ORDER + k]
+    # the positions whose gram ends in a piece's own bytes
     first = np.cumsum(size + ORDER) - size - ORDER
     keep = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
     return g[keep], size
 
 
-def gram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(gram, n): counts over all texts. A worker counts some megabytes at a time."""
+def shard_of(gram: np.ndarray, shards: int) -> np.ndarray:
+    return (mix64((gram >> 8) & 0xFFFFFF) % np.uint64(shards)).astype(np.int64)
+
+
+def by_shard(gram: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places in ``gram``, in order) of every shard that has any."""
+    of = shard_of(gram, shards)
+    order = np.argsort(of, kind="stable")
+    cuts = np.flatnonzero(np.concatenate([[True], of[order][1:] != of[order][:-1]])) if len(order) else np.zeros(0, np.int64)
+    for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
+        yield int(of[order[i]]), order[i:j]
+
+
+def zip_arrays(*arrays: np.ndarray) -> bytes:
+    import pyarrow as pa
+
+    body = b"".join([np.array([len(a) for a in arrays], "<i8").tobytes(), *[a.tobytes() for a in arrays]])
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def unzip_arrays(raw: bytes, *kinds: str) -> list[np.ndarray]:
+    import pyarrow as pa
+
+    body = pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+    out, at = [], 8 * len(kinds)
+    for n, kind in zip(np.frombuffer(body, "<i8", len(kinds)).tolist(), kinds):
+        out.append(np.frombuffer(body, kind, n, at))
+        at += out[-1].nbytes
+    return out
+
+
+def summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, sorted, and the sum of ``n`` of each."""
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(key) else n
+
+
+def gram_counts(train: DataFrame, shards: int, text_col: str = "_text") -> DataFrame:
+    """(shard, data): counts of the grams of all texts, by task and shard."""
     def run(batches):
         import pyarrow as pa
 
@@ -70,39 +141,56 @@ def gram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             parts.clear()
             g.sort()  # in place: np.unique holds several copies
             first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(g[first]), pa.array(np.diff(np.append(first, len(g))).astype(np.int64))], ["gram", "n"])
+            n = np.diff(np.append(first, len(g)))
+            g = g[first]
+            rows = [(s, zip_arrays(np.diff(g[at], prepend=0), n[at])) for s, at in by_shard(g, shards)]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "data"])
 
         held, size = [], 0
         for b in batches:
-            for part in by_bytes(binary_texts(b.column(0)), len, 1 << 21):
-                held.append(grams([modelled(t) for t in part])[0])
+            for part in runs(binary_texts(b.column(0)), PART_BYTES):
+                held.append(grams(part)[0])
                 size += len(held[-1])
-                if size > 12_000_000:
+                if size > COUNTED:
                     yield out(held)
                     held, size = [], 0
         if held:
             yield out(held)
 
-    return docs.select(F.col(text_col)).mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    return train.select(F.col(text_col)).mapInArrow(run, "shard int, data binary")
+
+
+def short_counts(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(gram of two context bytes and follower, n), sorted: 2^24 at most, which bytes alone bound."""
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for raw in b.column(0).to_pylist():
+                d, n = unzip_arrays(raw, "<i8", "<i8")
+                key, m = summed(np.cumsum(d) & 0xFFFFFF, n)
+                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(m)], ["key", "n"])
+
+    got = counts.select("data").mapInArrow(run, "key int, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    key, n = got["key"].to_numpy().astype(np.int64), got["n"].to_numpy().astype(np.int64)
+    order = np.argsort(key)
+    return key[order], n[order]
 
 
 class Trie:
-    """Contexts of orders 0 to ``ORDER`` and their followers. ``grams`` are
-    those of one shard, sorted; ``pairs`` are all (last context byte,
-    follower) counts, from which orders 0 and 1 come."""
+    """Contexts of orders 0 to ``ORDER`` and their followers. ``gram``, sorted,
+    and ``n`` are those of one shard; ``short`` are all grams of two context
+    bytes and their counts, from which orders 0 to 2 come."""
 
-    def __init__(self, gram: np.ndarray, n: np.ndarray, pairs: np.ndarray):
+    def __init__(self, gram: np.ndarray, n: np.ndarray, short: tuple[np.ndarray, np.ndarray]):
         self.edge, self.edge_n, self.node, self.total, self.kinds, self.gone = [], [], [], [], [], []
         for k in range(ORDER + 1):
-            if k <= 1:
-                at = np.flatnonzero(pairs)
-                e, c = at, pairs[at]
-                if k == 0:
-                    e, c = self._summed(at & 0xFF, c)
+            if k <= 2:
+                e, c = short if k == 2 else summed(short[0] & ((1 << (8 * (k + 1))) - 1), short[1])
             elif k == ORDER:  # sorted and distinct as they are
                 e, c = gram, n
             else:
-                e, c = self._summed(gram & ((1 << (8 * (k + 1))) - 1), n)
+                e, c = summed(gram & ((1 << (8 * (k + 1))) - 1), n)
             node, first = np.unique(e >> 8, return_index=True)
             self.edge.append(e)
             self.edge_n.append(c)
@@ -116,13 +204,6 @@ class Trie:
             else:
                 self.gone.append(np.zeros(len(node), np.int64))
 
-    @staticmethod
-    def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        return key[first], np.add.reduceat(n, first) if len(key) else n
-
     def log10(self, gram: np.ndarray) -> np.ndarray:
         """Log probability of each gram's last byte after its context."""
         out = np.zeros(len(gram))
@@ -150,30 +231,104 @@ class Trie:
         return out
 
 
-def shards_of(counts: DataFrame, most: int = SHARD_GRAMS) -> tuple[DataFrame, int, np.ndarray]:
-    """(counts with ``shard``, number of shards, shard of each pair of context
-    bytes). Pairs are dealt whole, in order, until a shard is full; the
-    driver sees one count a pair, 65,536 at most."""
-    pair = F.shiftright("gram", 8).bitwiseAND(0xFFFF).cast("int")
-    sizes = np.zeros(1 << 16, np.int64)
-    for r in counts.groupBy(pair.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect():
-        sizes[r["p"]] = r["n"]
-    of, shard, held = np.zeros(1 << 16, np.int32), 0, 0
-    for p, n in enumerate(sizes.tolist()):
-        if held and held + n > most:
-            shard, held = shard + 1, 0
-        of[p] = shard
-        held += n
-    ends = [int(np.flatnonzero(of == s)[-1]) for s in range(shard)]
-    which = F.lit(0)
-    for e in ends:
-        which = which + F.when(pair > e, 1).otherwise(0)
-    return counts.withColumn("shard", which), shard + 1, of
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_rid, _id, _text), written: every row, repeated ones and null ids too,
+    has a key of its own: the number of its batch and, in the last 15 bits,
+    its place there."""
+    id_type = docs.schema[id_col].dataType
+    schema = T.StructType([T.StructField("_rid", T.LongType()), T.StructField("_id", id_type), T.StructField("_text", T.StringType())])
 
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_rid, _id, _text), written: every row, repeated ones and null ids too, has a key of its own."""
-    return written(docs.select(F.monotonically_increasing_id().alias("_rid"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "rows")
+        batch, place, held = TaskContext.get().partitionId() << 24, 0, 0
+        for b in batches:
+            rid = []
+            for size in pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist():
+                if place == BATCH_ROWS or held > ASKED_BYTES:
+                    batch, place, held = batch + 1, 0, 0
+                rid.append((batch << 15) | place)
+                place, held = place + 1, held + size
+            yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), *b.columns], ["_rid", "_id", "_text"])
+
+    return written(docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema), "rows")
+
+
+def asked(rows: DataFrame, shards: int) -> DataFrame:
+    """(shard, batch, data): the different grams of the texts of a batch, with
+    the places in the batch of the texts that have each, and how often."""
+    def run(batches):
+        import pyarrow as pa
+
+        def out(batch, places, texts):
+            for part in runs(texts, ASKED_BYTES):
+                g, size = grams(part)
+                key = (g << 15) | np.repeat(np.array([places[k] for k, _, _ in part], np.int64), size)
+                del g
+                key.sort()
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                times = np.diff(np.append(first, len(key)))  # of each gram in each text
+                key = key[first]
+                row, key = (key & 0x7FFF).astype("<u2"), key >> 15
+                start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                texts_of, gram = np.diff(np.append(start, len(key))), key[start]
+                rows_out = []
+                for s, at in by_shard(gram, shards):
+                    size = texts_of[at]
+                    pair = np.repeat(start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                    rows_out.append((s, batch, zip_arrays(np.diff(gram[at], prepend=0), size.astype("<u2"), row[pair], times[pair].astype("<u4"))))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows_out), (pa.int32(), pa.int64(), pa.binary()))],
+                                                 ["shard", "batch", "data"])
+
+        batch, places, texts = None, [], []
+        for b in batches:
+            for rid, text in zip(b.column(0).to_pylist(), binary_texts(b.column(1))):
+                if texts and rid >> 15 != batch:
+                    yield from out(batch, places, texts)
+                    places, texts = [], []
+                batch = rid >> 15
+                places.append(rid & 0x7FFF)
+                texts.append(text)
+        if texts:
+            yield from out(batch, places, texts)
+
+    return rows.select("_rid", "_text").mapInArrow(run, "shard int, batch bigint, data binary")
+
+
+def answered(counts: DataFrame, asks: DataFrame, short: tuple[np.ndarray, np.ndarray], shards: int) -> DataFrame:
+    """(_rid, score): sums by row of the log probabilities of a shard's grams.
+    Counts and questions of a shard meet in one sorted stream, counts first; a
+    task holds one trie and one question."""
+    shared = counts.sparkSession.sparkContext.broadcast(short)
+    stream = counts.select("shard", F.lit(None).cast("bigint").alias("batch"), "data").unionByName(asks) \
+        .repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.col("batch").asc_nulls_first())
+
+    def run(batches):
+        import pyarrow as pa
+
+        shard, held, trie = None, [], None
+        for b in batches:
+            for k in range(b.num_rows):
+                s, batch = b.column(0)[k].as_py(), b.column(1)[k].as_py()
+                if s != shard:
+                    shard, held, trie = s, [], None
+                raw = b.column(2)[k].as_py()
+                if batch is None:
+                    d, n = unzip_arrays(raw, "<i8", "<i8")
+                    held.append((np.cumsum(d), n))
+                    continue
+                if trie is None:
+                    none = np.zeros(0, np.int64)
+                    trie = Trie(*summed(np.concatenate([none, *[x[0] for x in held]]), np.concatenate([none, *[x[1] for x in held]])), shared.value)
+                    held = []
+                d, size, row, times = unzip_arrays(raw, "<i8", "<u2", "<u2", "<u4")
+                value = np.repeat(trie.log10(np.cumsum(d)), size) * times
+                there = np.flatnonzero(np.bincount(row))
+                yield pa.RecordBatch.from_arrays([pa.array((batch << 15) | there), pa.array(np.bincount(row, value)[there])], ["_rid", "score"])
+
+    return stream.mapInArrow(run, "_rid bigint, score double")
 
 
 def ppm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,41 +342,11 @@ def ppm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_c
 
 
 def ppm_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
-    """(_rid, score) of ``ppm_scores`` for ``keyed`` rows."""
-    spark = rows.sparkSession
-    counts = written(gram_counts(train, text_col), "grams")
-    pairs = np.zeros(1 << 16, np.int64)
-    last = F.col("gram").bitwiseAND(0xFFFF).cast("int")
-    for r in counts.groupBy(last.alias("p")).agg(F.sum("n").alias("n")).collect():  # 65,536 at most
-        pairs[r["p"]] = r["n"]
-    dealt, n_shards, of = shards_of(counts)
-    src = rows.select("_rid", "_text")
-    scored = None
-    for shard in range(n_shards):
-        part = dealt.where(F.col("shard") == shard).select("gram", "n").orderBy("gram").toArrow()  # SHARD_GRAMS rows
-        table = spark.sparkContext.broadcast((part["gram"].to_numpy(), part["n"].to_numpy()))
-
-        def run(batches, shard=shard, table=table):
-            import pyarrow as pa
-
-            trie = None
-            for b in batches:
-                trie = trie or Trie(*table.value, pairs)
-                total: list[float] = []
-                for texts in by_bytes(binary_texts(b.column(1)), len, 1 << 21):
-                    g, size = grams([modelled(t) for t in texts])
-                    mine = np.flatnonzero(of[(g >> 8) & 0xFFFF] == shard) if n_shards > 1 else np.arange(len(g))
-                    kinds, inverse = np.unique(g[mine], return_inverse=True)
-                    value = np.zeros(len(g) + 1)
-                    value[mine] = trie.log10(kinds)[inverse]
-                    total += np.add.reduceat(value, np.cumsum(size) - size).tolist()
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.float64())], ["_rid", "score"])
-
-        got = src.mapInArrow(run, "_rid bigint, score double")
-        scored = got if scored is None else scored.unionByName(got)
-    if n_shards > 1:
-        scored = scored.groupBy("_rid").agg(F.sum("score").alias("score"))
-    return scored
+    """(_rid, score) of ``ppm_scores`` for ``keyed`` rows. Training texts are read once and all texts once."""
+    shards = shuffle_partitions(rows.sparkSession)
+    counts = written(gram_counts(train, shards, text_col), "grams")
+    sums = answered(counts, asked(rows, shards), short_counts(counts), shards)
+    return sums.groupBy("_rid").agg(F.sum("score").alias("score"))
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -48,11 +48,17 @@ def corpus():
         + [(60, None), (61, ""), (62, "never ~ seen 中 before")]
 
 
-@pytest.mark.parametrize("most", [ppm.SHARD_GRAMS, 50])
-def test_scores_match_brute_force(spark, corpus, monkeypatch, most):
+def small_parts(monkeypatch, part, shards):
     monkeypatch.setattr(ppm, "COMMON_WORDS", 3)
-    monkeypatch.setattr(ppm, "SHARD_GRAMS", most)
-    monkeypatch.setattr(ppm.shards_of, "__defaults__", (most,))
+    monkeypatch.setattr(ppm, "shuffle_partitions", lambda spark: shards)
+    if part:
+        for name, size in (("PART_BYTES", part), ("ASKED_BYTES", 3 * part), ("COUNTED", 5 * part), ("BATCH_ROWS", 7)):
+            monkeypatch.setattr(ppm, name, size)
+
+
+@pytest.mark.parametrize("part,shards", [(0, 8), (0, 1), (11, 5)])
+def test_scores_match_brute_force(spark, corpus, monkeypatch, part, shards):
+    small_parts(monkeypatch, part, shards)
     df = spark.createDataFrame([(i, t, "a", 1) for i, t in corpus], "doc_id long, text string, word string, _id int").repartition(3)
     got = {r["doc_id"]: r for r in ppm.score_language(df).collect()}
     assert len(got) == len(corpus)
@@ -68,10 +74,9 @@ def test_scores_match_brute_force(spark, corpus, monkeypatch, most):
         assert r["score"] == pytest.approx(brute(learn, (t or "").encode()), abs=1e-9)
 
 
-@pytest.mark.parametrize("most", [ppm.SHARD_GRAMS, 50])
-def test_repeated_rows_and_null_ids(spark, corpus, monkeypatch, most):
-    monkeypatch.setattr(ppm, "COMMON_WORDS", 3)
-    monkeypatch.setattr(ppm.shards_of, "__defaults__", (most,))
+@pytest.mark.parametrize("part,shards", [(0, 1), (13, 6)])
+def test_repeated_rows_and_null_ids(spark, corpus, monkeypatch, part, shards):
+    small_parts(monkeypatch, part, shards)
     docs = corpus + [corpus[0], corpus[0], (3, "zq on the"), (None, "the zq one"), (None, "the zq one"), (None, None), (None, "seen before")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     learn = [(t or "").encode() for i, t in docs if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
@@ -94,14 +99,37 @@ def test_repeated_rows_and_null_ids(spark, corpus, monkeypatch, most):
 
 
 def test_probabilities_sum_to_one(corpus):
-    texts = [ppm.modelled((t or "").encode()) for _, t in corpus]
-    g, n = np.unique(ppm.grams(texts)[0], return_counts=True)
-    pairs = np.zeros(1 << 16, np.int64)
-    np.add.at(pairs, g & 0xFFFF, n)
-    trie = ppm.Trie(g, n, pairs)
+    texts = [(t or "").encode() for _, t in corpus]
+    g, n = np.unique(np.concatenate([ppm.grams(part)[0] for part in ppm.runs(texts, 100)]), return_counts=True)
+    short = ppm.summed(g & 0xFFFFFF, n)
+    whole = ppm.Trie(g, n, short)
     for context in (g[0] >> 8, g[len(g) // 2] >> 8, 0x4142434445):
-        p = 10 ** trie.log10((int(context) << 8) + np.arange(256))
-        assert p.sum() == pytest.approx(1)
+        asked = (int(context) << 8) + np.arange(256)
+        p = whole.log10(asked)
+        assert (10 ** p).sum() == pytest.approx(1)
+        # a shard knows as much of its contexts as the whole trie
+        for s, at in ppm.by_shard(asked, 7):
+            own = ppm.shard_of(g, 7) == s
+            assert np.allclose(ppm.Trie(g[own], n[own], short).log10(asked[at]), p[at], atol=1e-12)
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 64])
+def test_long_texts_are_cut_without_a_trace(monkeypatch, size):
+    rnd = random.Random(size)
+    texts = ["".join(rnd.choice("ab\t\n  É") for _ in range(rnd.randint(0, 60))).encode() for _ in range(80)]
+    want = [b" ".join(ppm.words_of(t)) + bytes([ppm.END]) for t in texts]
+    monkeypatch.setattr(ppm, "PART_BYTES", size)
+    assert [ppm.modelled(t) for t in texts] == want
+    cut = [ppm.grams(part)[0] for part in ppm.runs(texts, 7)]
+    monkeypatch.setattr(ppm, "PART_BYTES", 1 << 20)
+    assert np.array_equal(np.concatenate(cut), np.concatenate([ppm.grams(part)[0] for part in ppm.runs(texts, 1 << 20)]))
+
+
+def test_one_very_long_text(spark):
+    text = "on the other hand " * 300_000  # 5.4 MB: three pieces
+    df = spark.createDataFrame([(0, text), (2, "on the hand")], "doc_id long, text string")
+    r = {x["doc_id"]: x["score"] for x in ppm.ppm_scores(df, df).collect()}
+    assert r[0] / len(text) > -0.001 and r[2] < -1
 
 
 def test_empty_tables(spark):
