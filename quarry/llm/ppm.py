@@ -20,6 +20,7 @@ the corpus.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -108,7 +109,9 @@ def by_shard(gram: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
 def zip_arrays(*arrays: np.ndarray) -> bytes:
     import pyarrow as pa
 
-    body = b"".join([np.array([len(a) for a in arrays], "<i8").tobytes(), *[a.tobytes() for a in arrays]])
+    # the bytes of like worth together: numbers are mostly small
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays]
+    body = b"".join([np.array([len(a) for a in arrays], "<i8").tobytes(), *planes])
     return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
 
@@ -118,11 +121,19 @@ def unzip_arrays(raw: bytes, *kinds: str) -> list[np.ndarray]:
     body = pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
     out, at = [], 8 * len(kinds)
     for n, kind in zip(np.frombuffer(body, "<i8", len(kinds)).tolist(), kinds):
-        out.append(np.frombuffer(body, kind, n, at))
-        at += out[-1].nbytes
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(body, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel())
+        at += n * size
     return out
 
 
+def places(gap: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Ascending numbers from their gaps, in runs of ``size`` that start anew."""
+    upto = np.cumsum(gap, dtype=np.int64)
+    start = np.cumsum(size, dtype=np.int64) - size
+    return upto - np.repeat(upto[start] - gap[start], size)
+
+
 def summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different keys, sorted, and the sum of ``n`` of each."""
     order = np.argsort(key, kind="stable")
@@ -274,6 +285,9 @@ def asked(rows: DataFrame, shards: int) -> DataFrame:
                 row, key = (key & 0x7FFF).astype("<u2"), key >> 15
                 start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
                 texts_of, gram = np.diff(np.append(start, len(key))), key[start]
+                head = row[start]
+                row[1:] -= row[:-1].copy()  # the gap to the text before with the same gram
+                row[start] = head
                 rows_out = []
                 for s, at in by_shard(gram, shards):
                     size = texts_of[at]
@@ -323,7 +337,8 @@ def answered(counts: DataFrame, asks: DataFrame, short: tuple[np.ndarray, np.nda
                     none = np.zeros(0, np.int64)
                     trie = Trie(*summed(np.concatenate([none, *[x[0] for x in held]]), np.concatenate([none, *[x[1] for x in held]])), shared.value)
                     held = []
-                d, size, row, times = unzip_arrays(raw, "<i8", "<u2", "<u2", "<u4")
+                d, size, gap, times = unzip_arrays(raw, "<i8", "<u2", "<u2", "<u4")
+                row = places(gap, size)
                 value = np.repeat(trie.log10(np.cumsum(d)), size) * times
                 there = np.flatnonzero(np.bincount(row))
                 yield pa.RecordBatch.from_arrays([pa.array((batch << 15) | there), pa.array(np.bincount(row, value)[there])], ["_rid", "score"])
@@ -389,10 +404,11 @@ def base_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
     for ``keyed`` rows.
 
     Every task holds the counts of the most frequent words, ``COMMON_WORDS``
-    at most; they are also the hot keys. Other words meet their counts in a
-    join on (word, row) rows.
+    at most; they are also the hot keys. Other words are asked about by shard
+    as grams are: each batch's different ones with the rows that have them.
     """
     spark = rows.sparkSession
+    shards = shuffle_partitions(spark)
     counts = written(word_counts(train, text_col), "words")
     ends = train.count()
     words, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -401,36 +417,90 @@ def base_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
     end_score, end_known = math.log10((ends + 0.5) / norm), int(ends > 0)
     common = counts.orderBy(F.col("n").desc(), "word").limit(COMMON_WORDS).toArrow()
     table = spark.sparkContext.broadcast((common["word"].to_pylist(), np.log10((common["n"].to_numpy() + 0.5) / norm)))
-    src = rows.select("_rid", "_text")
 
-    def run(batches):
+    def by_word(words: list[bytes]) -> list[tuple[int, np.ndarray]]:
+        of = np.fromiter((zlib.crc32(w) % shards for w in words), np.int64, len(words))
+        order = np.argsort(of, kind="stable")
+        cuts = np.flatnonzero(np.concatenate([[True], of[order][1:] != of[order][:-1]])) if len(order) else np.zeros(0, np.int64)
+        return [(int(of[order[i]]), order[i:j]) for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)])]
+
+    def bundles(batches):
         import pyarrow as pa
 
-        known = None
         for b in batches:
-            if known is None:
-                known = dict(zip(table.value[0], table.value[1].tolist()))
-            out: list[list] = [[], [], [], [], []]
-            for i, t in zip(b.column(0).to_pylist(), binary_texts(b.column(1))):
-                w = words_of(t)
+            words, times = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False).astype("<i8")
+            out = [(s, zip_arrays(np.frombuffer(b"\n".join([words[k] for k in at.tolist()]), np.uint8), times[at])) for s, at in by_word(words)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], ["shard", "data"])
+
+    def ask(batches):
+        import pyarrow as pa
+
+        known = dict(zip(table.value[0], table.value[1].tolist()))
+
+        def out(batch, held):
+            row, tokens, knowns, scores, rare = [], [], [], [], {}
+            for place, text in held:
+                w = words_of(text)
                 seen = list(map(known.get, w))
-                rare = Counter([x for x, s in zip(w, seen) if s is None])
                 got = [s for s in seen if s is not None]
-                # the first row of a text has the sum of its common words and its end
-                for c, v in zip(out, (i, None, len(w) + 1, len(got) + end_known, math.fsum(got) + end_score)):
-                    c.append(v)
-                for x, m in rare.items():
-                    for c, v in zip(out, (i, x, m, None, None)):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (
-                b.column(0).type, pa.binary(), pa.int64(), pa.int64(), pa.float64()))], ["_rid", "word", "m", "k", "s"])
-
-    tokens = written(src.mapInArrow(run, "_rid bigint, word binary, m bigint, k bigint, s double"), "tokens")
-    whole = tokens.where("word is null").select("_rid", F.col("m").alias("n_tokens"), F.col("k").alias("n"), F.col("s").alias("score"))
-    rare = tokens.where("word is not null").select("_rid", "word", "m").join(counts, "word", "left") \
-        .select("_rid", F.lit(None).cast("long").alias("n_tokens"), F.when(F.col("n").isNotNull(), F.col("m")).otherwise(0).alias("n"),
-                (F.col("m") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(norm))).alias("score"))
-    out = whole.unionByName(rare).groupBy("_rid").agg(F.max("n_tokens").alias("n_tokens"), F.sum("n").alias("n_known"), F.sum("score").alias("base_score"))
+                row.append(place)
+                tokens.append(len(w) + 1)
+                knowns.append(len(got) + end_known)
+                scores.append(math.fsum(got) + end_score)
+                for x, m in Counter([x for x, s in zip(w, seen) if s is None]).items():
+                    rare.setdefault(x, []).append((place, m))
+            # a row's common words and its end are answered at once, in no shard
+            rows_out = [(-1, batch, zip_arrays(*[np.array(x, t) for x, t in zip((row, tokens, knowns, scores), ("<u2", "<i8", "<i8", "<f8"))]))]
+            words = list(rare)
+            for s, at in by_word(words):
+                own = [words[k] for k in at.tolist()]
+                pairs = [p for x in own for p in rare[x]]
+                rows_out.append((s, batch, zip_arrays(np.frombuffer(b"\n".join(own), np.uint8), np.array([len(rare[x]) for x in own], "<u2"),
+                                                      np.array([p[0] for p in pairs], "<u2"), np.array([p[1] for p in pairs], "<u4"))))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows_out), (pa.int32(), pa.int64(), pa.binary()))],
+                                              ["shard", "batch", "data"])
+
+        batch, held = None, []
+        for b in batches:
+            for rid, text in zip(b.column(0).to_pylist(), binary_texts(b.column(1))):
+                if held and rid >> 15 != batch:
+                    yield out(batch, held)
+                    held = []
+                batch = rid >> 15
+                held.append((rid & 0x7FFF, text))
+        if held:
+            yield out(batch, held)
+
+    def answer(batches):
+        import pyarrow as pa
+
+        shard, known = None, {}
+        for b in batches:
+            for k in range(b.num_rows):
+                s, batch, raw = b.column(0)[k].as_py(), b.column(1)[k].as_py(), b.column(2)[k].as_py()
+                if s != shard:
+                    shard, known = s, {}
+                if batch is None:
+                    text, times = unzip_arrays(raw, "u1", "<i8")
+                    known.update(zip(text.tobytes().split(b"\n"), times.tolist()))
+                    continue
+                if s == -1:
+                    row, tokens, found, score = unzip_arrays(raw, "<u2", "<i8", "<i8", "<f8")
+                else:
+                    text, size, pair_row, times = unzip_arrays(raw, "u1", "<u2", "<u2", "<u4")
+                    c = np.repeat(np.fromiter((known.get(w, 0) for w in text.tobytes().split(b"\n")), np.int64, len(size)), size)
+                    row = np.flatnonzero(np.bincount(pair_row))
+                    tokens = np.zeros(len(row), np.int64)
+                    found = np.bincount(pair_row, np.where(c > 0, times, 0))[row].astype(np.int64)
+                    score = np.bincount(pair_row, np.log10((c + 0.5) / norm) * times)[row]
+                yield pa.RecordBatch.from_arrays([pa.array((batch << 15) | row.astype(np.int64)), pa.array(tokens), pa.array(found), pa.array(score)],
+                                                 ["_rid", "n_tokens", "n_known", "score"])
+
+    asks = rows.select("_rid", "_text").mapInArrow(ask, "shard int, batch bigint, data binary")
+    stream = counts.mapInArrow(bundles, "shard int, data binary").select("shard", F.lit(None).cast("bigint").alias("batch"), "data").unionByName(asks) \
+        .repartitionById(shards, F.expr(f"if(shard < 0, cast(pmod(batch, {shards}) as int), shard)")).sortWithinPartitions("shard", F.col("batch").asc_nulls_first())
+    out = stream.mapInArrow(answer, "_rid bigint, n_tokens bigint, n_known bigint, score double") \
+        .groupBy("_rid").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("score").alias("base_score"))
     return out.select("_rid", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score")
 
 
