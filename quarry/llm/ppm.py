@@ -312,7 +312,7 @@ def asked(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def answered(counts: DataFrame, asks: DataFrame, short: tuple[np.ndarray, np.ndarray], shards: int) -> DataFrame:
-    """(_rid, score): sums by row of the log probabilities of a shard's grams.
+    """(_rid, score): sums by row of the log probabilities of all shards' grams.
     Counts and questions of a shard meet in one sorted stream, counts first; a
     task holds one trie and one question."""
     shared = counts.sparkSession.sparkContext.broadcast(short)
@@ -341,9 +341,45 @@ def answered(counts: DataFrame, asks: DataFrame, short: tuple[np.ndarray, np.nda
                 row = places(gap, size)
                 value = np.repeat(trie.log10(np.cumsum(d)), size) * times
                 there = np.flatnonzero(np.bincount(row))
-                yield pa.RecordBatch.from_arrays([pa.array((batch << 15) | there), pa.array(np.bincount(row, value)[there])], ["_rid", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([zip_arrays(there.astype("<u2"), np.bincount(row, value)[there])])],
+                                                 ["batch", "data"])
 
-    return stream.mapInArrow(run, "_rid bigint, score double")
+    return row_sums(stream.mapInArrow(run, "batch bigint, data binary"), ["score"])
+
+
+def row_sums(parts: DataFrame, columns: list[str]) -> DataFrame:
+    """(_rid, columns as doubles): sums by row of (batch, data), data being
+    places in the batch and a number a column for each. A shard's part of a
+    batch stays one row up to here, so that the rows in between do not grow as
+    texts times shards; a task adds up one batch at a time."""
+    stream = parts.repartition(shuffle_partitions(parts.sparkSession), "batch").sortWithinPartitions("batch")
+
+    def run(batches):
+        import pyarrow as pa
+
+        names = ["_rid", *columns]
+        at, total, seen = None, np.zeros((len(columns), BATCH_ROWS)), np.zeros(BATCH_ROWS, bool)
+
+        def out():
+            row = np.flatnonzero(seen)
+            got = pa.RecordBatch.from_arrays([pa.array((at << 15) | row.astype(np.int64)), *[pa.array(t[row]) for t in total]], names)
+            total[:, row] = 0
+            seen[row] = False
+            return got
+
+        for b in batches:
+            for batch, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if at is not None and batch != at:
+                    yield out()
+                at = batch
+                row, *values = unzip_arrays(raw, "<u2", *["<f8"] * len(columns))
+                seen[row] = True
+                for t, v in zip(total, values):
+                    t[row] += v  # a place stands once in a part
+        if at is not None:
+            yield out()
+
+    return stream.mapInArrow(run, ", ".join(["_rid bigint", *[f"{c} double" for c in columns]]))
 
 
 def ppm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -360,8 +396,7 @@ def ppm_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
     """(_rid, score) of ``ppm_scores`` for ``keyed`` rows. Training texts are read once and all texts once."""
     shards = shuffle_partitions(rows.sparkSession)
     counts = written(gram_counts(train, shards, text_col), "grams")
-    sums = answered(counts, asked(rows, shards), short_counts(counts), shards)
-    return sums.groupBy("_rid").agg(F.sum("score").alias("score"))
+    return answered(counts, asked(rows, shards), short_counts(counts), shards)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -489,19 +524,19 @@ def base_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
                 else:
                     text, size, pair_row, times = unzip_arrays(raw, "u1", "<u2", "<u2", "<u4")
                     c = np.repeat(np.fromiter((known.get(w, 0) for w in text.tobytes().split(b"\n")), np.int64, len(size)), size)
-                    row = np.flatnonzero(np.bincount(pair_row))
-                    tokens = np.zeros(len(row), np.int64)
-                    found = np.bincount(pair_row, np.where(c > 0, times, 0))[row].astype(np.int64)
+                    row = np.flatnonzero(np.bincount(pair_row)).astype("<u2")
+                    tokens = np.zeros(len(row))
+                    found = np.bincount(pair_row, np.where(c > 0, times, 0))[row]
                     score = np.bincount(pair_row, np.log10((c + 0.5) / norm) * times)[row]
-                yield pa.RecordBatch.from_arrays([pa.array((batch << 15) | row.astype(np.int64)), pa.array(tokens), pa.array(found), pa.array(score)],
-                                                 ["_rid", "n_tokens", "n_known", "score"])
+                data = zip_arrays(row, tokens.astype("<f8"), found.astype("<f8"), score)
+                yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([data], pa.binary())], ["batch", "data"])
 
     asks = rows.select("_rid", "_text").mapInArrow(ask, "shard int, batch bigint, data binary")
     stream = counts.mapInArrow(bundles, "shard int, data binary").select("shard", F.lit(None).cast("bigint").alias("batch"), "data").unionByName(asks) \
         .repartitionById(shards, F.expr(f"if(shard < 0, cast(pmod(batch, {shards}) as int), shard)")).sortWithinPartitions("shard", F.col("batch").asc_nulls_first())
-    out = stream.mapInArrow(answer, "_rid bigint, n_tokens bigint, n_known bigint, score double") \
-        .groupBy("_rid").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("score").alias("base_score"))
-    return out.select("_rid", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score")
+    out = row_sums(stream.mapInArrow(answer, "batch bigint, data binary"), ["n_tokens", "n_known", "base_score"])
+    return out.select("_rid", F.col("n_tokens").cast("long").alias("n_tokens"), F.col("n_known").cast("long").alias("n_known"),
+                      F.lit(n).cast("long").alias("train_tokens"), "base_score")
 
 
 def score_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
