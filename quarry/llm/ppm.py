@@ -38,7 +38,7 @@ START, END = 10, 10
 #: Bytes of text that are handled at once, and rows of one batch, at most (a row's number stands beside its gram in 63 bits).
 PART_BYTES, BATCH_ROWS = 1 << 21, 1 << 15
 #: Grams that a task counts before it sends them, and bytes that it asks about at once.
-COUNTED, ASKED_BYTES = 12_000_000, 1 << 22
+COUNTED, ASKED_BYTES = 10_000_000, 1 << 22
 #: The most frequent words, whose counts every task holds; other counts are joined.
 COMMON_WORDS = 200_000
 
@@ -67,6 +67,12 @@ def pieces(text: bytes) -> Iterator[bytes]:
     yield (held or b"") + bytes([END])
 
 
+def texts_of(col) -> Iterator[bytes]:
+    """``binary_texts`` a few rows at a time: a batch of Arrow holds thousands of texts."""
+    for at in range(0, len(col), 256):
+        yield from binary_texts(col.slice(at, 256))
+
+
 def runs(texts: Iterable[bytes], most: int) -> Iterator[list[tuple[int, bytes, bytes]]]:
     """(number of the text, the ``ORDER`` bytes before, piece) of all texts, in lists of about ``most`` bytes."""
     def each():
@@ -147,26 +153,29 @@ def gram_counts(train: DataFrame, shards: int, text_col: str = "_text") -> DataF
     def run(batches):
         import pyarrow as pa
 
-        def out(parts):
-            g = np.concatenate(parts)
-            parts.clear()
-            g.sort()  # in place: np.unique holds several copies
-            first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
-            n = np.diff(np.append(first, len(g)))
+        held, size = np.empty(COUNTED, np.int64), 0  # filled in place: lists of parts would hold twice as much
+
+        def out():
+            g = held[:size]
+            g.sort()
+            first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if size else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, size))
             g = g[first]
             rows = [(s, zip_arrays(np.diff(g[at], prepend=0), n[at])) for s, at in by_shard(g, shards)]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "data"])
 
-        held, size = [], 0
         for b in batches:
-            for part in runs(binary_texts(b.column(0)), PART_BYTES):
-                held.append(grams(part)[0])
-                size += len(held[-1])
-                if size > COUNTED:
-                    yield out(held)
-                    held, size = [], 0
-        if held:
-            yield out(held)
+            for part in runs(texts_of(b.column(0)), PART_BYTES):
+                g, _ = grams(part)
+                for at in range(0, len(g), COUNTED):
+                    some = g[at:at + COUNTED]
+                    if size + len(some) > COUNTED:
+                        yield out()
+                        size = 0
+                    held[size:size + len(some)] = some
+                    size += len(some)
+        if size:
+            yield out()
 
     return train.select(F.col(text_col)).mapInArrow(run, "shard int, data binary")
 
@@ -298,7 +307,7 @@ def asked(rows: DataFrame, shards: int) -> DataFrame:
 
         batch, places, texts = None, [], []
         for b in batches:
-            for rid, text in zip(b.column(0).to_pylist(), binary_texts(b.column(1))):
+            for rid, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
                 if texts and rid >> 15 != batch:
                     yield from out(batch, places, texts)
                     places, texts = [], []
@@ -400,7 +409,7 @@ def ppm_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n) over all texts; the workers hold some hundred thousand words at a time."""
+    """(word, n) over all texts; a worker holds 250,000 words and a text's at a time."""
     def run(batches):
         import pyarrow as pa
 
@@ -411,9 +420,9 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([held[k] for k in keys], pa.int64())], ["word", "n"])
 
         for b in batches:
-            for t in binary_texts(b.column(0)):
+            for t in texts_of(b.column(0)):
                 held.update(words_of(t))
-                if len(held) > 400_000:
+                if len(held) > 250_000:
                     yield out()
                     held.clear()
         yield out()
@@ -497,7 +506,7 @@ def base_of(rows: DataFrame, train: DataFrame, text_col: str) -> DataFrame:
 
         batch, held = None, []
         for b in batches:
-            for rid, text in zip(b.column(0).to_pylist(), binary_texts(b.column(1))):
+            for rid, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
                 if held and rid >> 15 != batch:
                     yield out(batch, held)
                     held = []
