@@ -25,10 +25,6 @@ def safe_divide(num, den, zero_as=None) -> Column:
     return q if zero_as is None else F.coalesce(q, F.lit(zero_as))
 
 
-def divide_at_least_one(num, den) -> Column:
-    """num / max(den, 1) (used for running win share)."""
-    return _c(num) / F.greatest(_c(den), F.lit(1))
-
 
 def clip(x, lower=None, upper=None) -> Column:
     """Two-sided clip; null stays null (least/greatest would skip it)."""
@@ -158,10 +154,6 @@ def contains_ci(x, needle: str) -> Column:
     return F.coalesce(F.lower(_c(x)).contains(needle.lower()), F.lit(False))
 
 
-def normalise_pattern(text: str) -> str:
-    """User text -> the identifier form used as a regex (arrows/dashes -> _)."""
-    return text.replace("→", "_").replace("-", "_")
-
 
 def parse_matchup(matchup, own) -> tuple[Column, Column]:
     """'AAA vs. BBB' (home) / 'AAA @ BBB' (away) -> (is_home, opponent)."""

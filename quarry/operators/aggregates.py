@@ -171,12 +171,3 @@ def histogram(df: DataFrame, value: str, lo: float, hi: float, bins: int) -> Dat
     b = F.least(F.width_bucket(F.col(value), F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins))
     return (df.filter(F.col(value).between(lo, hi))
               .groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")))
-
-
-def linear_fit(df: DataFrame, keys: Sequence[str], y: str, x: str) -> DataFrame:
-    """Per-group OLS slope / intercept and population sd of residuals."""
-    fit = df.groupBy(*keys).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
-                                F.count(F.lit(1)).alias("n"))
-    res = df.join(fit, list(keys)).withColumn("_r", F.col(y) - (F.col("intercept") + F.col("slope") * F.col(x)))
-    sd = res.groupBy(*keys).agg(F.stddev_pop("_r").alias("resid_sd"))
-    return fit.join(sd, list(keys))

@@ -71,9 +71,6 @@ def rsi(price: str, key, order, period: int) -> Column:
     return F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs)
 
 
-def _row_index(key, order) -> Column:
-    return (F.row_number().over(_w(key, order)) - 1).cast("double")
-
 
 def exp_weighted_running_sum(df: DataFrame, v: Column, key, order, r: float, out: str,
                              index: str | None = None) -> DataFrame:

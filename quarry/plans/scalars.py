@@ -293,11 +293,11 @@ def map_build(spark, sf):
 
 
 @query("json_access_default", sql="""
-SELECT event_id, COALESCE(CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k,
+SELECT event_id, COALESCE(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k,
        COALESCE(json_extract_string(props, '$.missing'), 'none') AS missing FROM events""")
 def json_access_default(spark, sf):
     e = read_table(spark, sf, "events", ["event_id", "props"])
-    return e.select("event_id", F.coalesce(F.get_json_object("props", "$.k").cast("int"), F.lit(-1)).alias("k"),
+    return e.select("event_id", F.coalesce(F.get_json_object("props", "$.k").try_cast("int"), F.lit(-1)).alias("k"),
                     F.coalesce(F.get_json_object("props", "$.missing"), F.lit("none")).alias("missing"))
 
 

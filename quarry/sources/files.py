@@ -58,11 +58,6 @@ def write_report(spark: SparkSession, doc: DataFrame, path: str) -> None:
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Overwrite a catalog table (create or replace) and return a scan of it."""
-    df.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
-
 
 def require_rows(df: DataFrame, minimum: int, what: str) -> DataFrame:
     """Data-quality gate: fail the job when fewer than ``minimum`` rows."""
