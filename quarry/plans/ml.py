@@ -83,14 +83,14 @@ def _encoded(f):
     return f
 
 
-def _delay_model(spark, sf, iters=40):
+def _delay_model(spark, sf, iters=20):
     # the feature table is read by four encoders, the fit and the scorer:
     # materialise it once in the shared checkpoint folder instead of
     # re-running the lineitem joins for each reader
     f = ML.with_category_text(_encoded(cut_lineage(_flight_features(spark, sf))), DELAY_CATEGORIES)
     # rows 72 to 79 of the training part decide when to stop
     m, _ = ML.patient_gbt(f.filter("_train"), DELAY_FEATURES, "delayed", "_valid", DELAY_CATEGORIES, most_rounds=iters,
-                          patience=max(2, iters // 4), stage=min(iters, 10), max_depth=4, step=0.1)
+                          patience=max(2, iters // 4), stage=iters, max_depth=4, step=0.1)
     return m, f
 
 
@@ -103,7 +103,7 @@ SELECT carrier, round(1 - avg(delayed), 6) AS ontime_rate, count(*) AS n_flights
 WHERE {_percent_sql('order_id', 'leg')} >= 80 GROUP BY carrier""")
 def boosted_trees_delay(spark, sf):
     """GBT on 13 flight features, 4 of them split as sets, that stops by
-    itself (at most 40 rounds here); per carrier the hold-out part's on-time rate,
+    itself (at most 20 rounds here); per carrier the hold-out part's on-time rate,
     whether every row has a probability, and whether the model ranks delays
     (AUC of the whole part)."""
     m, f = _delay_model(spark, sf)
