@@ -6,16 +6,20 @@ import json
 import os
 import sys
 from array import array
+from itertools import filterfalse
+
+import numpy as np
 
 from quarry.llm.common import worker_cache
 
-#: Where any of these is, the cut below would not be the tokenizer's: white space other than a space or line feed ...
+#: Where any of these is, the cut below would not be the tokenizer's: white space other than a space or line feed.
 _OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-#: ... and two in a row.
 _OTHER_SET = frozenset(_OTHER)
-_RUNS = ("  ", " \n", "\n ", "\n\n")
+_OTHER_ASCII = [c for c in _OTHER if c.isascii()]
 #: Words kept with their ids by each Python worker.
 CACHED_WORDS = 1_500_000
+#: Words that the library gets as one text.
+JOINED_WORDS = 500
 
 _POINTS = ".,;:!?%&$*#"
 
@@ -49,54 +53,84 @@ class Encoder:
                         and not spec.get("normalizer") and spec["model"].get("type") == "BPE"
                         and not spec.get("truncation")
                         and all(t["special"] and not t.get("lstrip") and not t.get("rstrip") and " " not in t["content"]
-                                for t in spec.get("added_tokens", [])))
-        self.tok = tok
+                                and "\n" not in t["content"] for t in spec.get("added_tokens", [])))
+        feed = tok.encode("\n", add_special_tokens=False).ids
+        self.by_word = self.by_word and len(feed) == 1
+        self.tok, self.feed = tok, feed[0] if feed else -1
         self.ids: dict[str, bytes] = {}  # of " word" under "word", of "\nword" under itself
         self.tails: dict[str, bytes] = {}  # of runs of points
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [_bytes(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
+    def _rows(self, lines: list[str]) -> list[bytes]:
+        """Ids of many short lines that hold no line feed: some hundreds at a
+        time go to the library as one text and are cut at the line feeds' ids."""
+        out: list[bytes] = []
+        for lo in range(0, len(lines), JOINED_WORDS):
+            run = lines[lo: lo + JOINED_WORDS]
+            ids = np.array(self.tok.encode_batch_fast(["\n".join(run)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * np.flatnonzero(ids == self.feed)).tolist()
+            if len(cuts) != len(run) - 1:
+                raise ValueError("the tokenizer does not cut at line feeds")
+            raw = ids.tobytes()
+            out += [raw[x:y] for x, y in zip([0, *[c + 4 for c in cuts]], [*cuts, len(raw)])]
+        return out
+
+    def _learn(self, new: set[str]) -> None:
+        """Adds the ids of words that are not known."""
         known = self.ids
-        if len(known) + len(words) > CACHED_WORDS:
-            known.clear()
-        new = words.difference(known)
         # points after a letter are tokens of their own: the word without them is looked up in turn
         pointed = [(w, w.rstrip(_POINTS)) for w in new if w[-1] in _POINTS]
         pointed = [(w, s, w[len(s):]) for w, s in pointed if s and s[-1].isalpha() and s[-1] < "\u0250"]
         new.difference_update([w for w, _, _ in pointed])
         new.update({s for _, s, _ in pointed}.difference(known))
-        new = list(new)
-        known.update(zip(new, self.whole([w if w[0] == "\n" else " " + w for w in new])))
-        tails = list({t for _, _, t in pointed}.difference(self.tails))
+        spaced = [w for w in new if w[0] != "\n"]
+        known.update(zip(spaced, self._rows([" " + w for w in spaced])))
+        feed = np.array([self.feed], "<u4").tobytes()
+        fed = [w for w in new if w[0] == "\n" and len(w) > 1]
+        known.update(zip(fed, [feed + x for x in self._rows([w[1:] for w in fed])]))
+        known["\n"] = feed
         if len(self.tails) > CACHED_WORDS:
             self.tails.clear()
-            tails = list({t for _, _, t in pointed})
+        tails = list({t for _, _, t in pointed}.difference(self.tails))
         self.tails.update(zip(tails, self.whole(tails)))
         known.update([(w, known[s] + self.tails[t]) for w, s, t in pointed])
 
+    def _plain(self, text: str) -> bool:
+        """Whether the cut at spaces and single line feeds is the tokenizer's."""
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+            return False
+        if text.isascii():
+            return not any([c in text for c in _OTHER_ASCII])
+        return _OTHER_SET.isdisjoint(set(text))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         cut, whole = [], []
         for k, text in enumerate(texts):
-            if not text:
-                continue
-            if self.by_word and not any(r in text for r in _RUNS) and _OTHER_SET.isdisjoint(set(text)):
-                cut.append((k, text))
-            else:
-                whole.append(k)
+            if text:
+                (cut if self.by_word and self._plain(text) else whole).append(k)
         for k, ids in zip(whole, self.whole([texts[k] for k in whole]) if whole else ()):
             out[k] = ids
+        if not cut:
+            return out
         # a line feed becomes a word's mark, so that one split and one look-up do for both kinds of word
-        split = [(k, text.replace("\n", " \n").split(" ")) for k, text in cut]
-        words = set().union(*[w[1:] for _, w in split])
-        words.discard("")  # a space at the end of the text
+        split = [texts[k].replace("\n", " \n").split(" ") for k in cut]
+        heads = self.whole([w[0] for w in split])
         known = self.ids
-        self._learn(words)
+        for w in split:
+            w[0] = ""  # stands for a space at the end of the text too
+        new: set[str] = set()
+        for w in split:
+            new.update(filterfalse(known.__contains__, w))
+        if len(known) + len(new) > CACHED_WORDS:
+            known.clear()
+            new = set().union(*split)
+        new.discard("")
+        self._learn(new)
         known[""] = self.whole([" "])[0]
-        heads = self.whole([w[0] for _, w in split]) if split else ()
-        for (k, w), head in zip(split, heads):
+        for k, w, head in zip(cut, split, heads):
             out[k] = head + b"".join(map(known.__getitem__, w[1:]))
         return out
 

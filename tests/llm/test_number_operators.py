@@ -32,7 +32,11 @@ def crc(ids):
 
 # ---- token ids
 
-def test_encoder_is_the_tokenizers(tokenizer):
+@pytest.mark.parametrize("kept, joined", [(1_500_000, 500), (40, 500), (1_500_000, 3)])
+def test_encoder_is_the_tokenizers(tokenizer, monkeypatch, kept, joined):
+    from quarry.llm import encoding
+    monkeypatch.setattr(encoding, "CACHED_WORDS", kept)
+    monkeypatch.setattr(encoding, "JOINED_WORDS", joined)
     rnd = random.Random(1)
     bits = ["the", " ", "  ", "\n", "\n\n", "\t", "it's", "'LL", "é", "中文", "12,345", "!!", "\xa0", " ", "\x85", "<|endoftext|>", "🙂", "a" * 300, "\r\n", " \n "]
     texts = ["".join(rnd.choices(bits, k=rnd.randint(0, 30))) for _ in range(400)] + [t for t in ODD if t is not None]
