@@ -266,20 +266,18 @@ def test_mixing_small_tables(spark):
 
 def brute_top(rows, k, least=20):
     import math
-    good = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
-            u = [float(math.floor(64 * float(np.float32(x)))) for x in v]
-            good[i] = min(good.get(i, u), u)
-    out = {}
-    for q in good:
+    good = [(n, i, [math.floor(64 * float(np.float32(x))) for x in v]) for n, (i, v) in enumerate(rows)
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for n, q, u in good:
         if q % least == 0:
-            found = sorted((-sum(int(a) * int(b) for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q and len(v) == len(good[q]))
-            out.update({(q, r + 1): (i, -s) for r, (s, i) in enumerate(found[:k])})
-    return out
+            found = sorted((-max(-2 ** 63, min(2 ** 63 - 1, sum(a * b for a, b in zip(u, v)))), i)
+                           for m, i, v in good if m != n and len(v) == len(u))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
+    return sorted(out)
 
 
-@pytest.mark.parametrize("shape", ["spread", "clusters", "copies", "large"])
+@pytest.mark.parametrize("shape", ["spread", "clusters", "copies", "large", "giants"])
 def test_top_k_matches_brute_force(spark, monkeypatch, shape):
     from quarry.llm import topk
     monkeypatch.setattr(topk, "GROUP_QUERIES", 4)
@@ -293,12 +291,28 @@ def test_top_k_matches_brute_force(spark, monkeypatch, shape):
         v[: n // 2] = v[0]
     elif shape == "large":
         v *= 1e7
+    elif shape == "giants":
+        v[::7] *= 1e16
+        v[::35] *= 1e20
     rows = [(int(i), [float(x) for x in r]) for i, r in enumerate(v)]
     rows += [(1000, None), (1020, []), (1040, [1.0, None] * 3), (1060, [float("nan")] * 6), (1080, [float("inf")] * 6), (None, [1.0] * 6),
-             (1100, [1.0] * 3), (1101, [2.0] * 3), (1120, [0.0] * 6), (20, rows[20][1])]
+             (1100, [1.0] * 3), (1101, [2.0] * 3), (1120, [0.0] * 6), (20, rows[20][1]), (40, rows[60][1]), (1140, [1e16] + [0.0] * 5), (1141, [3e38] * 6)]
     df = spark.createDataFrame([(i, x, 1) for i, x in rows], "vec_id long, embedding array<float>, score int").repartition(4)
     got = exact_top_k(df, lambda i: i % 20 == 0, k=5).collect()
-    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got} == brute_top(rows, 5)
+    assert sorted(tuple(r) for r in got) == brute_top(rows, 5)
+
+
+def test_top_k_sends_each_group_what_its_bounds_need(spark, monkeypatch):
+    """Far clusters: a cluster's queries are not compared with the others' data."""
+    from quarry.llm import topk
+    monkeypatch.setattr(topk, "GROUP_QUERIES", 4)
+    rnd = np.random.default_rng(3)
+    v = np.eye(8)[np.arange(4000) % 8] * 100 + rnd.normal(size=(4000, 8))
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+    vectors = topk.written(topk.scaled_vectors(df), "vectors")
+    got = topk._search(vectors, 5, topk.F.col("vec_id") % 20 == 0, 1024).groupBy("query_id").count().collect()
+    # a unit gives a query 5 rows at most: each query is in one unit
+    assert len(got) == 200 and {r["count"] for r in got} == {5}
 
 
 def test_top_k_small_tables(spark):
