@@ -131,8 +131,8 @@ def score_quality(docs: DataFrame, sample_rows: int = 4000, threshold: float = 0
 
     Every document votes: EM runs on the counts of the vote patterns, of which
     there are 3 to the number of labellers at most. The scorer is fitted on a
-    bounded sample, about ``sample_rows`` documents chosen by a hash of id and
-    text; every document is scored on its whole text.
+    bounded sample, about ``sample_rows`` different pairs of id and text chosen
+    by their hash, twice as many at most; every document is scored on its whole text.
 
     A null or empty text shows no sign of anything: all labellers abstain and
     the scorer decides. Repeated rows are
@@ -172,11 +172,13 @@ def score_quality(docs: DataFrame, sample_rows: int = 4000, threshold: float = 0
             yield pa.RecordBatch.from_arrays([pa.array(idx, pa.list_(pa.int32())), pa.array(val, pa.list_(pa.float64())),
                                               pa.array(y, pa.float64()), b.column(1)], ["i", "x", "y", "h"])
 
-    total = counts.sum()
-    share = min(1.0, sample_rows / max(1.0, total))
+    # repeated rows count once, so one row's copies are neither the sample nor all in the driver
+    different = voted.select("h").distinct().count()
+    share = min(1.0, sample_rows / max(1, different))
     chosen = docs.select(text.alias("t"), F.xxhash64(F.col(id_col), text).alias("h")) \
-                 .where(F.pmod(F.col("h"), F.lit(1_000_003)) < int(share * 1_000_003) + (share == 1.0))
-    sample = sorted(chosen.mapInArrow(encode, "i array<int>, x array<double>, y double, h bigint").collect(),
+                 .where(F.pmod(F.col("h"), F.lit(1_000_003)) < int(share * 1_000_003) + (share == 1.0)) \
+                 .groupBy("h").agg(F.min("t").alias("t")).select("t", "h")
+    sample = sorted(chosen.mapInArrow(encode, "i array<int>, x array<double>, y double, h bigint").orderBy("h").limit(2 * sample_rows).collect(),
                     key=lambda r: (r["h"], r["y"]))
     weights, bias = fit_scorer([(r["i"], r["x"], r["y"]) for r in sample])
 

@@ -125,6 +125,16 @@ def test_quality_on_labelled_documents(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.05 * len(bad)
 
 
+def test_quality_sample_is_of_different_rows(spark, monkeypatch):
+    rnd = random.Random(9)
+    docs = [(k, prose(rnd, 60, 900)) for k in range(300)]
+    df = table(spark, docs + [docs[0]] * 3000)
+    sizes, fit = [], quality.fit_scorer
+    monkeypatch.setattr(quality, "fit_scorer", lambda rows: sizes.append(len(rows)) or fit(rows))
+    got = {(r["doc_id"], r["quality"]) for r in quality.score_quality(df, sample_rows=100).collect()}
+    assert len(got) == 300 and 50 < sizes[0] <= 200
+
+
 # ---- fingerprints
 
 def test_fingerprints_tell_edits_from_others(spark):
