@@ -62,13 +62,16 @@ def year_month_rate(spark, sf):
 
 
 @query("mean_of_means", views=["flights"], sql=f"""
-SELECT month, round(avg(rate), 6) AS mean_rate FROM (
-  SELECT year, month, avg(delayed) AS rate FROM {_FLIGHTS_CLEAN} GROUP BY year, month)
-GROUP BY month""")
+, ym AS (SELECT year, month, avg(delayed) AS rate FROM {_FLIGHTS_CLEAN} GROUP BY year, month)
+SELECT 'month' AS period, CAST(month AS INTEGER) AS bucket, round(avg(rate), 6) AS mean_rate FROM ym GROUP BY month
+UNION ALL
+SELECT 'year', CAST(year AS INTEGER), round(avg(rate), 6) FROM ym GROUP BY year""")
 def mean_of_means(spark, sf):
     f = _flights_clean(spark, sf)
-    m = A.mean_of_means(f, ["year", "month"], ["month"], "delayed")
-    return m.select("month", r6("mean_rate").alias("mean_rate"))
+    parts = [A.mean_of_means(f, ["year", "month"], [p], "delayed")
+             .select(F.lit(p).alias("period"), F.col(p).cast("int").alias("bucket"), r6("mean_rate").alias("mean_rate"))
+             for p in ("month", "year")]
+    return parts[0].unionByName(parts[1])
 
 
 @query("dow_hour_grid", views=["flights"], sql=f"""
@@ -634,18 +637,27 @@ SELECT round(SUM(revenue) FILTER (WHERE no_show = 0), 2) AS total_revenue,
              / SUM(revenue) FILTER (WHERE no_show = 0), 4) AS cosmetic_pct,
        COUNT(*) AS n_appointments, COUNT(*) FILTER (WHERE no_show = 0) AS n_attended,
        round(avg(no_show) * 100, 4) AS noshow_pct,
-       round(SUM(revenue) FILTER (WHERE no_show = 1), 2) AS lost_revenue
+       round(SUM(revenue) FILTER (WHERE no_show = 1), 2) AS lost_revenue,
+       round(SUM(revenue) FILTER (WHERE no_show = 0)
+             / COUNT(DISTINCT strftime(appt_date, '%Y-%m')) FILTER (WHERE no_show = 0), 2) AS mean_monthly_revenue,
+       round(COUNT(*) * 1.0 / COUNT(DISTINCT strftime(appt_date, '%Y-%m')), 4) AS mean_monthly_appointments
 FROM appointments""")
 def revenue_summary(spark, sf):
     a = V.appointments(spark, sf)
     att = F.col("no_show") == 0
-    return a.agg(
-        r2(F.sum(F.when(att, F.col("revenue")))).alias("total_revenue"),
-        round_to(F.sum(F.when(att & (F.col("is_cosmetic") == 1), F.col("revenue"))) * 100.0
-                / F.sum(F.when(att, F.col("revenue"))), 4).alias("cosmetic_pct"),
-        F.count(F.lit(1)).alias("n_appointments"), F.count_if(att).alias("n_attended"),
-        round_to(F.avg("no_show") * 100, 4).alias("noshow_pct"),
-        r2(F.sum(F.when(F.col("no_show") == 1, F.col("revenue")))).alias("lost_revenue"))
+    # one row a month first: months are few, and the means over months need no distinct count
+    m = a.groupBy(F.date_format("appt_date", "yyyy-MM").alias("month")).agg(
+        F.sum(F.when(att, F.col("revenue"))).alias("paid"),
+        F.sum(F.when(att & (F.col("is_cosmetic") == 1), F.col("revenue"))).alias("cosmetic"),
+        F.sum(F.when(F.col("no_show") == 1, F.col("revenue"))).alias("lost"),
+        F.count(F.lit(1)).alias("n"), F.count_if(att).alias("attended"), F.sum("no_show").alias("missed"))
+    return m.agg(
+        r2(F.sum("paid")).alias("total_revenue"),
+        round_to(F.sum("cosmetic") * 100.0 / F.sum("paid"), 4).alias("cosmetic_pct"),
+        F.sum("n").alias("n_appointments"), F.sum("attended").alias("n_attended"),
+        round_to(F.sum("missed") / F.sum("n") * 100, 4).alias("noshow_pct"), r2(F.sum("lost")).alias("lost_revenue"),
+        r2(F.sum("paid") / F.count_if(F.col("attended") > 0)).alias("mean_monthly_revenue"),
+        round_to(F.sum("n") / F.count_if(F.col("month").isNotNull()), 4).alias("mean_monthly_appointments"))
 
 
 # ------------------------------------------------ lambdas as expressions

@@ -4,6 +4,7 @@ against DuckDB. Model fits are in :mod:`quarry.plans.ml`."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import round_to, safe_divide
@@ -203,11 +204,16 @@ def running_max_drawdown(spark, sf):
 
 @query("month_end_last", views=["prices"], sql=f"""
 , {PREDS_SQL}, {_STRAT_SQL}
-SELECT strftime(date, '%Y-%m') AS month, round(arg_max(cum, date) * 100, 4) + 0.0 AS value FROM curve GROUP BY 1""")
+, me AS (SELECT strftime(date, '%Y-%m') AS month, arg_max(cum, date) AS cum FROM curve GROUP BY 1)
+SELECT month, round(cum * 100, 4) + 0.0 AS value, round((cum / NULLIF(lag(cum) OVER (ORDER BY month), 0) - 1) * 100, 4) + 0.0 AS month_return,
+       round(cum / NULLIF(first_value(cum) OVER (ORDER BY month), 0) * 100, 4) + 0.0 AS indexed FROM me""")
 def month_end_last(spark, sf):
     c = B.equity_curve(B.daily_returns(_strategy(spark, sf), "date", "ret"), "date")
     m = B.month_end_last(c, "date", "cum")
-    return m.select("month", round_to(F.col("cum") * 100, 4).alias("value"))
+    months = Window.orderBy("month")  # one row a month: the calendar bounds it
+    return m.select("month", round_to(F.col("cum") * 100, 4).alias("value"),
+                    round_to((safe_divide(F.col("cum"), F.lag("cum").over(months)) - 1) * 100, 4).alias("month_return"),
+                    round_to(safe_divide(F.col("cum"), F.first("cum").over(months)) * 100, 4).alias("indexed"))
 
 
 # ------------------------------------------------------------ bets

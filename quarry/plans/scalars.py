@@ -254,10 +254,16 @@ def _bets(spark, sf):
 
 @query("bet_simulation", views=["games"], sql=f"""
 , {_BET_SQL}
-SELECT game_id, side, round(p_side, 6) AS p_side, bet_a, round(pnl, 6) AS pnl FROM placed""")
+SELECT game_id, side, round(p_side, 6) AS p_side, bet_a, CASE WHEN round(edge, 6) >= 0.04 THEN 1 ELSE 0 END AS bet_b,
+       round(edge, 6) + 0.0 AS edge, round(pnl, 6) AS pnl
+FROM (SELECT *, p_side - CASE WHEN side = 'away' THEN 110.0 / 210 WHEN home_ml > 0 THEN 100.0 / (home_ml + 100)
+                              ELSE abs(home_ml) / (abs(home_ml) + 100) END AS edge FROM placed)""")
 def bet_simulation(spark, sf):
-    b = _bets(spark, sf)
-    return b.select("game_id", "side", r6(F.col("p_side")).alias("p_side"), "bet_a", r6(F.col("pnl")).alias("pnl"))
+    """Strategy A bets on a likely side, strategy B on an edge of 0.04 over the price's break-even."""
+    fair = F.when(F.col("side") == "away", 110.0 / 210).otherwise(S.breakeven_probability("home_ml"))
+    b = _bets(spark, sf).withColumn("edge", r6(F.col("p_side") - fair))
+    return b.select("game_id", "side", r6(F.col("p_side")).alias("p_side"), "bet_a", (F.col("edge") >= 0.04).cast("int").alias("bet_b"),
+                    "edge", r6(F.col("pnl")).alias("pnl"))
 
 
 @query("array_build_slice", views=["prices"], sql="""

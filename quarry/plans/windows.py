@@ -30,13 +30,15 @@ def _roll_sql(x, n, m, agg="avg", current=True, part=_PW):
             f"THEN {agg}({x}) OVER ({part} {frame}) END")
 
 
+_LAGS = [1, 5, 10, 20, 60]
+
+
 @query("lag_shift", views=["prices"], sql=f"""
-SELECT ticker, date, round(lag(close, 1) OVER ({_PW}), 6) AS close_lag1,
-       round(lag(close, 5) OVER ({_PW}), 6) AS close_lag5 FROM prices""")
+SELECT ticker, date, {", ".join(f"round(lag(close, {k}) OVER ({_PW}), 6) AS close_lag{k}" for k in _LAGS)} FROM prices""")
 def lag_shift(spark, sf):
-    f, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=5)
-    p = W.lag_cols(f, kk, oo, ["close"], [1, 5], "{c}_lag{k}").filter(own)
-    return p.select(K, O, r6(F.col("close_lag1")).alias("close_lag1"), r6(F.col("close_lag5")).alias("close_lag5"))
+    f, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=max(_LAGS))
+    p = W.lag_cols(f, kk, oo, ["close"], _LAGS, "{c}_lag{k}").filter(own)
+    return p.select(K, O, *[r6(F.col(f"close_lag{k}")).alias(f"close_lag{k}") for k in _LAGS])
 
 
 @query("lead_target", views=["prices"], sql=f"""
@@ -57,18 +59,14 @@ def lead_target(spark, sf):
 
 
 @query("log_returns", views=["prices"], sql=f"""
-SELECT ticker, date, round(ln(close / lag(close, 1) OVER ({_PW})), 6) AS ret_1d,
-       round(ln(close / lag(close, 5) OVER ({_PW})), 6) AS ret_5d,
-       round(ln(close / lag(close, 20) OVER ({_PW})), 6) AS ret_20d,
+SELECT ticker, date, {", ".join(f"round(ln(close / lag(close, {k}) OVER ({_PW})), 6) AS ret_{k}d" for k in _LAGS)},
        round(ln(close / lag(close, 5) OVER ({_PW})) - ln(close / lag(close, 20) OVER ({_PW})), 6) AS mom_accel
 FROM prices""")
 def log_returns(spark, sf):
-    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=20)
-    r1, r5, r20 = (W.log_return("close", kk, oo, k) for k in (1, 5, 20))
-    p = p.withColumns({"_r1": r1, "_r5": r5, "_r20": r20}).filter(own)
-    r1, r5, r20 = F.col("_r1"), F.col("_r5"), F.col("_r20")
-    return p.select(K, O, r6(r1).alias("ret_1d"), r6(r5).alias("ret_5d"), r6(r20).alias("ret_20d"),
-                    r6(r5 - r20).alias("mom_accel"))
+    p, kk, oo, own = W.keyed_frame(V.prices(spark, sf), K, O, back=max(_LAGS))
+    p = p.withColumns({f"_r{k}": W.log_return("close", kk, oo, k) for k in _LAGS}).filter(own)
+    return p.select(K, O, *[r6(F.col(f"_r{k}")).alias(f"ret_{k}d") for k in _LAGS],
+                    r6(F.col("_r5") - F.col("_r20")).alias("mom_accel"))
 
 
 @query("pct_change", views=["prices"], sql=f"""
