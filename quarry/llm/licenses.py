@@ -13,6 +13,9 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.common import written
+from quarry.llm.license_texts import TEXTS
+
 #: Short notices as authors write them in files (fixed values).
 NOTICES = {
     "all-rights-reserved": "All rights reserved.",
@@ -69,54 +72,81 @@ def _banded(df: DataFrame, bands: int) -> DataFrame:
 
 
 def notices(spark: SparkSession) -> DataFrame:
+    """(template, text) of the short notices."""
     return spark.createDataFrame(sorted(NOTICES.items()), "template string, text string")
 
 
+def all_templates(spark: SparkSession) -> DataFrame:
+    """(template, text) of the short notices, and of whole license texts and headers."""
+    return spark.createDataFrame(sorted({**NOTICES, **TEXTS}.items()), "template string, text string")
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def scan_licenses(docs: DataFrame, templates: DataFrame, containment: float = 0.8, miss: float = 0.005,
-                  max_template_words: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  max_template_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, template, n_words, start, containment, n_places) for every template
     found in a document: the place that holds most of the template's distinct
     word shingles (the first of equals; ``start`` counts words from 0), the
     share it holds, at least ``containment``, and the number of windows that
     led to such a place.
 
-    ``templates`` (template, text) is a small, given list; each may have
-    ``max_template_words`` words, which bounds what is looked at around a
-    window, and longer ones raise. Words are lower-cased runs without ASCII
-    white space and punctuation. Texts and templates that are null or without words match nothing.
-    Repeated rows with the same id count as one document. Extra columns are
-    not read.
-
-    Documents are scanned in place: no text is shuffled, and the template
-    windows are the broadcast side (their number is bounded by the list).
+    ``templates`` (template, text) is a given list, small enough to be
+    broadcast. Its texts may have any length; with ``max_template_words``,
+    longer ones raise. Words are lower-cased runs without ASCII white space
+    and punctuation. Texts and templates that are null or without words match
+    nothing. Repeated rows with the same id count as one document, several
+    texts of one id (also of the null id) as one document whose best place
+    counts. Extra columns are not read.
+
+    1. Windows go through the bands without their text: a row is an id, a
+       hash of the text and a position. The windows of the templates are the
+       broadcast side (their number is bounded by the list).
+    2. What a text hits is one row a template, with its positions; these are
+       joined to the texts, so only texts with a hit are looked at again. All
+       places of a text are compared in its own row, so nothing is copied by
+       position and the work grows with the length of a text, not its square.
     """
     bands = bands_for(miss)
     t = templates.select(F.col("template").alias("_template"), _words(F.col("text")).alias("_w")).where(F.size("_w") > 0)
-    longest = t.agg(F.max(F.size("_w"))).first()[0] or 0
-    if longest > max_template_words:
-        raise ValueError(f"a template has {longest} words; the limit is {max_template_words}")
-    t = t.withColumn("_sh", F.array_distinct(_shingles(F.col("_w")))).withColumn("_n", F.size("_w"))
+    if max_template_words is not None:
+        longest = t.agg(F.max(F.size("_w"))).first()[0] or 0
+        if longest > max_template_words:
+            raise ValueError(f"a template has {longest} words; the limit is {max_template_words}")
+    t = t.distinct().withColumn("_tid", F.xxhash64("_template", "_w")).withColumn("_all", _shingles(F.col("_w")))
     # a template's windows start at every word, so that those of a document need not line up
-    t = t.withColumn("_all", _shingles(F.col("_w")))
-    t = _banded(t.select("_template", "_sh", "_n", F.explode(_windows(F.col("_all"), 1)).alias("_win")), bands)
-    per_band = t.groupBy("_band").agg(F.collect_set(F.struct("_template", "_sh", "_n")).alias("_templates"))
-
-    d = docs.select(F.col(id_col).alias("_id"), _words(F.col(text_col)).alias("_w"))
-    d = d.select("_id", _shingles(F.col("_w")).alias("_all"))
-    d = _banded(d.select("_id", "_all", F.explode(_windows(F.col("_all"), STEP)).alias("_win")), bands)
-    hits = d.join(F.broadcast(per_band), "_band") \
-            .select("_id", "_all", F.col("_win.start").alias("_start"), F.explode("_templates").alias("_t"))
-    # a template that meets this window starts at most its own length before it
-    first = F.greatest(F.col("_start") - F.col("_t._n"), F.lit(0))
-    around = F.slice("_all", first + 1, F.col("_t._n") * 2 + WINDOW)
-    held = F.array_intersect(F.array_distinct(around), F.col("_t._sh"))
-    share = F.size(held) / F.size("_t._sh")
-    at = first + F.array_position(around, F.get(held, 0)).cast("int") - 1
-    found = hits.select("_id", F.col("_t._template").alias("template"), F.col("_t._n").alias("n_words"),
-                        "_start", at.alias("_at"), share.alias("_share")).where(F.col("_share") >= containment)
-    best = F.max(F.struct(F.col("_share").alias("share"), (-F.col("_at")).alias("at")))
-    return found.groupBy(F.col("_id").alias(id_col), "template", "n_words") \
-        .agg(best.alias("_b"), F.countDistinct("_start").alias("n_places")) \
+    marks = _banded(t.select("_tid", F.explode(_windows(F.col("_all"), 1)).alias("_win")), bands)
+    per_band = marks.groupBy("_band").agg(F.collect_set("_tid").alias("_tids"))
+
+    d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_h")).where(F.col(text_col).isNotNull())
+    words = d.select("_id", "_h", _words(F.col("_text")).alias("_w")).select("_id", "_h", _shingles(F.col("_w")).alias("_all"))
+    wins = _banded(words.select("_id", "_h", F.explode(_windows(F.col("_all"), STEP)).alias("_win")), bands)
+    hits = wins.join(F.broadcast(per_band), "_band") \
+               .select(F.col("_id").alias("_i"), F.col("_h").alias("_g"), F.col("_win.start").alias("_start"), F.explode("_tids").alias("_tid"))
+    hits = written(hits.groupBy("_i", "_g", "_tid").agg(F.collect_set("_start").alias("_starts")), "license-hits")
+
+    # not hinted: the planner knows the size of the written table
+    seen = d.join(hits, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g"))) \
+            .select("_id", "_tid", "_starts", _words(F.col("_text")).alias("_w"))
+    looked = t.select("_tid", "_template", F.size("_w").alias("_n"), F.array_distinct("_all").alias("_sh"))
+    seen = seen.select("_id", "_tid", "_starts", _shingles(F.col("_w")).alias("_all")).join(F.broadcast(looked), "_tid")
+    n, sh = F.col("_n"), F.col("_sh")
+
+    def place(start: Column) -> Column:
+        # a template that meets this window starts at most its own length before it
+        first = F.greatest(start - n, F.lit(0))
+        return _let(F.slice("_all", first + 1, n * 2 + WINDOW), lambda around: _let(F.array_intersect(around, sh), lambda held: F.struct(
+            start.alias("start"), (first + F.array_position(around, F.get(held, F.lit(0))).cast("int") - 1).alias("at"),
+            (F.size(held) / F.size(sh)).alias("share"))))
+
+    places = F.filter(F.transform("_starts", place), lambda p: p.share >= containment)
+    found = seen.select("_id", "_template", "_n", F.explode(places).alias("_p"))
+    best = F.max(F.struct(F.col("_p.share").alias("share"), (-F.col("_p.at")).alias("at")))
+    return found.groupBy(F.col("_id").alias(id_col), F.col("_template").alias("template"), F.col("_n").alias("n_words")) \
+        .agg(best.alias("_b"), F.countDistinct("_p.start").alias("n_places")) \
         .select(id_col, "template", F.col("n_words").cast("long").alias("n_words"),
                 (-F.col("_b.at")).cast("long").alias("start"), F.col("_b.share").alias("containment"),
                 F.col("n_places").cast("long").alias("n_places"))

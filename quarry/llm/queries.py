@@ -16,7 +16,7 @@ from quarry.llm.conversations import conversation_hashes, damaged, repair_conver
 from quarry.llm.encoding import public_path
 from quarry.llm.fingerprints import compare_with_next, lexicon
 from quarry.llm.jaccard import jaccard_components
-from quarry.llm.licenses import notices, scan_licenses
+from quarry.llm.licenses import all_templates, scan_licenses
 from quarry.llm.lines import dedup_lines
 from quarry.llm.mixing import mix_sources
 from quarry.llm.packing import pack_documents
@@ -67,8 +67,8 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License notices in all documents: a row for each document and notice."""
-    return scan_licenses(documents(spark, sf_dir, "doc_id", "text"), notices(spark))
+    """License notices and whole license texts in all documents: a row for each document and template."""
+    return scan_licenses(documents(spark, sf_dir, "doc_id", "text"), all_templates(spark))
 
 
 @query()

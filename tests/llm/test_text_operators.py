@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
 
 from quarry.llm import fingerprints as fp
 from quarry.llm import jaccard, quality
-from quarry.llm.licenses import NOTICES, bands_for, notices, scan_licenses
+from quarry.llm.license_texts import TEXTS
+from quarry.llm.licenses import NOTICES, STEP, WINDOW, all_templates, bands_for, notices, scan_licenses
 from quarry.llm.lines import dedup_lines
 from tests.llm.brute import LOWER, ODD, components
 
@@ -94,6 +96,62 @@ def test_license_scan_takes_edited_notices_at_the_threshold(spark):
         scan_licenses(table(spark, []), templates, max_template_words=10)
 
 
+def brute_licenses(docs, templates, least):
+    def shingles(text):
+        w = [x for x in re.split(r"[\s!-/:-@\[-`{-~]+", (text or "").lower()) if x]
+        return [tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else [], len(w)
+
+    out = {}
+    for i, text in docs:
+        have, _ = shingles(text)
+        for name, template in templates:
+            want, n = shingles(template)
+            want, best = set(want), None
+            for start in range(0, len(have), STEP):
+                if not set(have[start:start + WINDOW - 2]) & want:
+                    continue
+                first = max(0, start - n)
+                around = have[first:first + 2 * n + WINDOW]
+                share = len(want.intersection(around)) / len(want)
+                at = first + next(k for k, x in enumerate(around) if x in want)
+                if share >= least and (best is None or (share, -at) > best):
+                    best = share, -at
+            if best:
+                out[i, name] = (n, -best[1], best[0])
+    return out
+
+
+def test_license_scan_matches_brute_force(spark):
+    rnd = random.Random(12)
+    templates = [(f"t{k}", prose(rnd, n)) for k, n in enumerate([3, 4, 7, 12, 30, 90, 400, 3000])]
+    docs = []
+    for k in range(60):
+        body = prose(rnd, rnd.randint(0, 80)).split()
+        for _ in range(rnd.randint(0, 3)):
+            words = rnd.choice(templates)[1].split()
+            for _ in range(rnd.randint(0, len(words) // 25)):
+                words[rnd.randrange(len(words))] = rnd.choice(["new", "other, ", "w1"])
+            at = rnd.randint(0, len(body))
+            body[at:at] = words
+        docs.append((k, " ".join(body)))
+    want = brute_licenses(docs, templates, 0.8)
+    got = scan_licenses(table(spark, docs + docs[:5]), spark.createDataFrame(templates, "template string, text string")).collect()
+    assert {(r["doc_id"], r["template"]): (r["n_words"], r["start"], r["containment"]) for r in got} == want
+    assert len(got) == len(want) > 40 and {t for _, t in want} == {t for t, _ in templates}
+
+
+def test_license_scan_finds_whole_texts_in_very_long_ones(spark):
+    rnd = random.Random(13)
+    body = prose(rnd, 200_000, 5000)
+    docs = [(k, "Copyright someone\n\n" + t.replace("\n", "\n// ").replace("any", "some", 1)) for k, t in enumerate(TEXTS.values())]
+    docs += [(50, body), (51, body + " " + TEXTS["mit-text"]), (None, TEXTS["isc-text"]), (None, TEXTS["isc-text"]), (None, None)]
+    got = scan_licenses(table(spark, docs), all_templates(spark)).collect()
+    found = {(r["doc_id"], r["template"]): r["start"] for r in got}
+    assert all((k, name) in found for k, name in enumerate(TEXTS)) and (None, "isc-text") in found
+    assert 50 not in {i for i, _ in found} and found[51, "mit-text"] == found[51, "mit-grant"] == 200_000
+    assert len(got) == len(found)
+
+
 # ---- quality
 
 def test_weak_labels_learn_to_tell_junk(spark):
