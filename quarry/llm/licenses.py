@@ -128,8 +128,8 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, containment: float = 0.
                .select(F.col("_id").alias("_i"), F.col("_h").alias("_g"), F.col("_win.start").alias("_start"), F.explode("_tids").alias("_tid"))
     hits = written(hits.groupBy("_i", "_g", "_tid").agg(F.collect_set("_start").alias("_starts")), "license-hits")
 
-    # not hinted: the planner knows the size of the written table
-    seen = d.join(hits, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g"))) \
+    # one plan at every size: texts and hits meet by shuffle, whether or not the hits would fit a broadcast
+    seen = d.join(hits.hint("merge"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g"))) \
             .select("_id", "_tid", "_starts", _words(F.col("_text")).alias("_w"))
     looked = t.select("_tid", "_template", F.size("_w").alias("_n"), F.array_distinct("_all").alias("_sh"))
     seen = seen.select("_id", "_tid", "_starts", _shingles(F.col("_w")).alias("_all")).join(F.broadcast(looked), "_tid")
