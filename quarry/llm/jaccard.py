@@ -215,16 +215,24 @@ def jaccard_components(docs: DataFrame, words: int = 5, id_col: str = "doc_id",
         .where("id is not null and n > 0")
     budget = F.floor(F.col("n") * (100 - LIKENESS) / LIKENESS).cast("long")
     over = F.coalesce(F.size(F.filter("own", lambda x: x > budget)), F.lit(0))
-    facts = written(facts.join(own, "id", "left").where(over < F.col("bands")).select("id", "n", "h", "g"), "facts")
-    # sets of the same features: the smallest id stands for them
-    same = written(facts.groupBy("n", "h", "g").agg(F.min("id").alias("lead")), "same")
-    copies = facts.join(same, ["n", "h", "g"]).select("id", "lead")
-    leads = same.select(F.col("lead").alias("id"), "n").groupBy("id").agg(F.max("n").alias("m"), F.min("n").alias("l"))
-    leads = written(leads, "leads")
-    texts = written(zipped(src.where("text <> ''"), "text").join(leads, "id", "left_semi"), "texts")
+    # signatures are summed by id, so nothing is known of the sets of an id that has several
+    whole = F.struct("n", "h", "g")
+    many = facts.groupBy("id").agg((F.min(whole) != F.max(whole)).alias("many")).where("many")
+    facts = facts.join(own, "id", "left").join(many, "id", "left").where(F.col("many") | (over < F.col("bands")))
+    facts = written(facts.select("id", "n", "h", "g"), "facts")
+    # sets of the same features: a text of the smallest id stands for them. From here on ``id`` numbers
+    # the texts, so that each of an id's sets is one of its own; ``least`` is the document's.
+    same = written(facts.groupBy("n", "h", "g").agg(F.min("id").alias("least")), "same")
+    ids = same.select(F.col("least").alias("id")).distinct()
+    texts = zipped(src.where("text <> ''"), "text").join(ids, "id", "left_semi")
+    texts = written(texts.select(F.monotonically_increasing_id().alias("id"), "text", "text_n"), "texts")
     few = written(_with_sets(texts, words, zip_=True), "few")
+    reps = few.groupBy("n", "h", "g").agg(F.min("id").alias("lead"))
+    reps = written(reps.join(same, ["n", "h", "g"]), "representatives")
+    copies = facts.join(reps, ["n", "h", "g"]).select("id", "lead")
+    leads = reps.select(F.col("lead").alias("id"), F.col("n").alias("m"), F.col("n").alias("l"))
     # 2. the rarest signatures of each
-    rows = exploded(few)
+    rows = exploded(few.select("id", "sigs").join(leads, "id", "left_semi"))
     counts = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
     rows = rows.join(counts, "sig", "left").withColumn("c", F.coalesce("c", F.lit(1)))
     its = W.partitionBy("ref")  # a document's signatures
@@ -276,7 +284,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, id_col: str = "doc_id",
     added = rest.where(near).join(places.select(F.col("id").alias("a"), F.col("part").alias("pa")), "a") \
         .join(places.select(F.col("id").alias("b"), F.col("part").alias("pb")), "b")
     last = connected_components(added, "pa", "pb").withColumnRenamed("component", "last")
-    places = places.join(last.withColumnRenamed("id", "part"), "part", "left").select(
-        F.col("id").alias("first"), F.coalesce("last", "part").alias("component"))
+    places = places.join(last.withColumnRenamed("id", "part"), "part", "left").select("id", F.coalesce("last", "part").alias("part"))
+    places = written(places.join(reps.select(F.col("lead").alias("id"), "least"), "id"), "places")
+    least = places.groupBy("part").agg(F.min("least").alias("component"))
+    places = places.select(F.col("id").alias("first"), "part").join(least, "part")
     out = sets.groupBy("id").agg(F.max("n").alias("n_shingles")).join(first, "id", "left").join(places, "first", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))

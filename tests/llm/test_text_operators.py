@@ -298,3 +298,14 @@ def test_jaccard_repeated_null_and_empty(spark):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(table(spark, rows)).collect()}
     assert got == {1: (2, 1), 2: (2, 1), 3: (0, 3), None: (2, None)}
     assert jaccard.jaccard_components(table(spark, [])).collect() == []
+
+
+def test_jaccard_ids_with_several_texts(spark):
+    """An id links through any of its texts, also if one is much longer than the copied one."""
+    rnd = random.Random(21)
+    short, long, other = prose(rnd, 104, 5000), prose(rnd, 1500, 5000), prose(rnd, 300, 5000)
+    near = lambda t: t + " end"
+    rows = [(11, short), (2, near(short)), (2, long), (13, near(long)), (4, other), (5, prose(rnd, 200, 5000)), (5, prose(rnd, 90, 5000)),
+            (7, near(other)), (7, near(other)), (6, " "), (6, short + " x")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(table(spark, rows)).collect()}
+    assert got == {11: 2, 2: 2, 13: 2, 6: 2, 4: 4, 7: 4, 5: 5}
