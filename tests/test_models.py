@@ -94,6 +94,38 @@ def test_categories_split_as_sets_and_fits_stop(spark):
     assert got["sets"][0] > got["order"][0] and got["sets"][0] > 0.85 and got["sets"][1] < 60
 
 
+def _parts_of_fits(monkeypatch):
+    """Rows by partition of all that boosted trees are fitted on and held against."""
+    seen = []
+    fit = ML.GBTClassifier._fit
+    monkeypatch.setattr(ML.GBTClassifier, "_fit", lambda self, d: (
+        seen.append([r["n"] for r in d.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]), fit(self, d))[1])
+    return seen
+
+
+def test_fits_take_rows_dealt_evenly(spark, monkeypatch):
+    """Behind an exchange by a hot key and merged by AQE all rows were in one task."""
+    monkeypatch.setattr(ML, "ROWS_A_PART", 500)
+    seen = _parts_of_fits(monkeypatch)
+    df = spark.range(6000).select("id", (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    df = df.withColumns({"y": (F.col("b") > 3).cast("int"), "valid": F.col("id") % 3 == 0}).repartition("a")
+    ML.patient_gbt(df, ["a", "b"], "y", "valid", most_rounds=2, stage=2, max_depth=2)
+    ML.fitted(ML.gbt_pipeline(["a", "b"], "y", max_iter=2, max_depth=2), df)
+    assert [sum(n) for n in seen] == [4000, 6000] and [len(n) for n in seen] == [8, 12]
+    assert max(map(max, seen)) < 600
+    assert ML.dealt(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["batch_score"])
+def test_queries_fit_on_bounded_parts(spark, monkeypatch, name):
+    from quarry.plans.catalog import load_all
+
+    monkeypatch.setattr(ML, "ROWS_A_PART", 300)
+    seen = _parts_of_fits(monkeypatch)
+    load_all()[name].build(spark, "/root/testdata/sf0.001").count()
+    assert seen and max(map(max, seen)) < 400
+
+
 def test_rare_categories_share_a_number(spark):
     df = spark.createDataFrame([(float(x % 50 if x < 400 else 1000 + x), 1) for x in range(500)] + [(None, 1)], "c double, y int")
     stage, = ML.category_stages(df, ["c"], most=8)

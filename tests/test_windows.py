@@ -87,6 +87,14 @@ def test_top_n_per_hot_key(spark):
         assert got[got.k == k].sort_values("_rank").id.tolist() == exp
 
 
+def test_group_mean_encode_leaves_rows_where_they_are(spark):
+    """The few means are broadcast; the rows were shuffled by a key of few values."""
+    df = spark.createDataFrame([("a", 1), ("a", 0), (None, 1), ("b", None)], "k string, y int").checkpoint()
+    r = W.group_mean_encode(df, "k", "y", "m", default=0.5)
+    assert "SortMergeJoin" not in r._jdf.queryExecution().executedPlan().toString()
+    assert sorted((str(x["k"]), x["m"]) for x in r.collect()) == [("None", 0.5), ("a", 0.5), ("a", 0.5), ("b", 0.5)]
+
+
 def test_group_mean_encode_leave_one_out(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("a", 1), ("b", 0)], "k string, y int")
     r = W.group_mean_encode(df, "k", "y", "m", leave_one_out=True).orderBy("k", "y").toPandas()
