@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.metrics import auc_exact
-from quarry.operators.models import gbt_pipeline, score
+from quarry.operators.models import fitted, gbt_pipeline, score
 
 
 @dataclass(frozen=True)
@@ -119,7 +119,7 @@ def fold_aucs(df: DataFrame, features: Sequence[str], label: str, block: str, fo
         train, test = df.where(F.col(block) < k), df.where(F.col(block) == k)
         if train.select(label).distinct().count() < 2:
             return None
-        m = gbt_pipeline(features, label, **params).fit(train)
+        m = fitted(gbt_pipeline(features, label, **params), train)
         r = auc_exact(score(m, test), "prob", label).select("auc").first()
         return r["auc"] if r else None
 

@@ -116,7 +116,7 @@ def test_fits_take_rows_dealt_evenly(spark, monkeypatch):
     assert ML.dealt(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["batch_score"])
+@pytest.mark.parametrize("name", ["batch_score", "boosted_trees_noshow"])
 def test_queries_fit_on_bounded_parts(spark, monkeypatch, name):
     from quarry.plans.catalog import load_all
 
