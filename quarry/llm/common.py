@@ -112,6 +112,19 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("quarry_worker_cache", types.ModuleType("quarry_worker_cache")).__dict__
 
 
+def forget() -> None:
+    """Drops what other operators left in this Python worker's cache and hands
+    Arrow's free memory back. Workers are used again and stay for a while
+    when idle, so a tokenizer's words would take memory of the steps after it.
+    Operators that keep nothing call it as a task begins."""
+    import pyarrow as pa
+
+    cache = worker_cache()
+    for key in [k for k in cache if ":" in k]:  # the module's own names have none
+        cache.pop(key, None)
+    pa.default_memory_pool().release_unused()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

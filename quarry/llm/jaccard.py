@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quarry.llm.common import binary_texts, by_bytes, connected_components, mix64, unzipped, words_of, written, zipped
+from quarry.llm.common import binary_texts, by_bytes, connected_components, forget, mix64, unzipped, words_of, written, zipped
 
 #: Least likeness of a link, in hundredths.
 LIKENESS = 80
@@ -127,7 +127,8 @@ def _with_sets(docs: DataFrame, words: int, zip_: bool = False) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
+        forget()
+        for b in (batch.slice(lo, 500) for batch in batches for lo in range(0, batch.num_rows, 500)):
             raw = binary_texts(b.column(1))
             rows = zip(b.column(0).to_pylist(), map(unzipped, raw, b.column(2).to_pylist()) if zip_ else raw)
             for part in by_bytes(rows, lambda r: len(r[1]), 1 << 22):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import binary_texts, written
+from quarry.llm.common import binary_texts, forget, written
 
 JUNK, GOOD, NONE = 1, 0, -1
 LABELLERS = ("capitals", "symbols", "separators", "stutter", "variety", "doubled", "prose")
@@ -147,6 +147,7 @@ def score_quality(docs: DataFrame, sample_rows: int = 4000, threshold: float = 0
     def vote(batches):
         import pyarrow as pa
 
+        forget()
         for b in batches:
             v = [votes(measures(t)[1]) for t in binary_texts(b.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.list_(pa.int8())), b.column(1)], ["v", "h"])
@@ -161,6 +162,7 @@ def score_quality(docs: DataFrame, sample_rows: int = 4000, threshold: float = 0
     def encode(batches):
         import pyarrow as pa
 
+        forget()
         for b in batches:
             idx, val, y = [], [], []
             for t in binary_texts(b.column(0)):
@@ -189,6 +191,7 @@ def score_quality(docs: DataFrame, sample_rows: int = 4000, threshold: float = 0
     def score(batches):
         import pyarrow as pa
 
+        forget()
         for b in batches:
             q, weak = [], []
             for t in binary_texts(b.column(at)):

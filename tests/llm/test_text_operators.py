@@ -309,3 +309,17 @@ def test_jaccard_ids_with_several_texts(spark):
             (7, near(other)), (7, near(other)), (6, " "), (6, short + " x")]
     got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(table(spark, rows)).collect()}
     assert got == {11: 2, 2: 2, 13: 2, 6: 2, 4: 4, 7: 4, 5: 5}
+
+
+def test_forget_drops_what_other_operators_left(spark):
+    """A tokenizer and its words stayed in workers that went on to other operators."""
+    from quarry.llm.common import forget, worker_cache
+    from quarry.llm.encoding import encoder, public_path
+
+    encoder(public_path()).encode(["some words of a text"])
+    forget()
+    assert not [k for k in worker_cache() if k.startswith("encoder:")]
+    from quarry.llm.jaccard import jaccard_components
+
+    docs = spark.createDataFrame([(k, f"w{k % 40} a b c d e") for k in range(1300)], "doc_id long, text string").coalesce(1)
+    assert jaccard_components(docs).agg({"component_id": "max"}).first()[0] == 39  # over several slices of a batch
