@@ -11,7 +11,8 @@ import pytest
 from quarry.llm import token_files as tf
 from quarry.llm.encoding import Encoder, public_path
 from quarry.llm.mixing import mix_sources
-from quarry.llm.packing import Fillings, Sizes, best_fit, cut_pieces, pack_documents, pack_pieces, pack_sizes, sequences
+from quarry.llm.packing import (Fillings, Sizes, best_fit, cut_pieces, least_bins, pack_documents, pack_pieces, pack_sizes, searched,
+                                sequences)
 from quarry.llm.topk import exact_top_k
 from tests.llm.brute import ODD, words
 
@@ -97,6 +98,16 @@ def test_pack_sizes_is_whole_and_near_the_bound():
         assert len(bins) <= len(best_fit(sizes, cap))
 
 
+def test_pack_sizes_repacks_the_bins_that_are_not_full():
+    """The search of all bins alone ends one bin above the bound here."""
+    for seed in (10, 13):
+        rnd = random.Random(seed)
+        sizes = Counter(min(2048, int(rnd.lognormvariate(6.7, 0.9)) + 1) for _ in range(1000))
+        bins = pack_sizes(sizes, 2048, 300)
+        assert Counter(s for b in bins for s in b) == sizes and all(sum(b) <= 2048 for b in bins)
+        assert len(bins) == least_bins(sizes, 2048) < len(searched(best_fit(sizes, 2048), 2048, 300))
+
+
 def test_pack_sizes_finds_the_optimum():
     """Against exhaustive search on small cases."""
     def least(items, cap):
