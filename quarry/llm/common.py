@@ -125,6 +125,26 @@ def forget() -> None:
     pa.default_memory_pool().release_unused()
 
 
+#: Bits of a row of ``maybe_in``'s bitmap, bits for a key, and bits at most.
+BITMAP_ROW, BITS_A_KEY, MOST_BITS = 32768, 16, 1 << 28
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in the column ``key`` of ``keys``,
+    and a few others: put before a semi join that would shuffle all of its
+    wide rows only to drop most. The keys' hashes mark the bits of a bitmap
+    that every task gets: two bytes a key, and ``MOST_BITS`` at most, past
+    which more of the others stay. Null keys are dropped."""
+    rows = max(1, min(MOST_BITS // BITMAP_ROW, -(-keys.count() * BITS_A_KEY // BITMAP_ROW)))
+    at = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(rows * BITMAP_ROW))
+    marks = keys.where(F.col(key).isNotNull()).select(at.alias("_at")) \
+        .groupBy(F.expr(f"_at div {BITMAP_ROW}").alias("_row")).agg(F.bitmap_construct_agg(F.col("_at") % BITMAP_ROW).alias("_bits"))
+    byte = F.expr(f"cast(conv(hex(substring(_bits, cast(_at % {BITMAP_ROW} div 8 as int) + 1, 1)), 16, 10) as int)")
+    marked = byte.bitwiseAND(F.expr("shiftleft(1, cast(_at % 8 as int))")) != 0
+    return df.where(F.col(key).isNotNull()).withColumn("_at", at) \
+        .join(F.broadcast(marks), (F.expr(f"_at div {BITMAP_ROW}") == F.col("_row")) & marked, "left_semi").drop("_at")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

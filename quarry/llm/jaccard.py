@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quarry.llm.common import binary_texts, by_bytes, connected_components, forget, mix64, unzipped, words_of, written, zipped
+from quarry.llm.common import binary_texts, by_bytes, connected_components, forget, maybe_in, mix64, unzipped, words_of, written, zipped
 
 #: Least likeness of a link, in hundredths.
 LIKENESS = 80
@@ -203,10 +203,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, id_col: str = "doc_id",
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sets = written(_with_sets(src, words), "sets")
 
-    def exploded(df: DataFrame) -> DataFrame:
-        """(ref, sig): ref is the id times two, plus the band's place."""
-        return df.where("id is not null").select("id", F.explode("sigs").alias("s")) \
-            .select((F.col("id") * 2 + F.col("s").bitwiseAND(1)).alias("ref"), F.shiftright("s", 1).alias("sig"))
+    def exploded(df: DataFrame, *more: str) -> DataFrame:
+        """(ref, sig): ref is the id times two, plus the band's place; and the columns ``more``."""
+        return df.where("id is not null").select("id", *more, F.explode("sigs").alias("s")) \
+            .select((F.col("id") * 2 + F.col("s").bitwiseAND(1)).alias("ref"), F.shiftright("s", 1).alias("sig"), *more)
 
     # 1. (signature, how many rows, one of them); those of one row are summed by document and band
     seen = exploded(sets).groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min("ref").alias("ref"))
@@ -225,20 +225,22 @@ def jaccard_components(docs: DataFrame, words: int = 5, id_col: str = "doc_id",
     # the texts, so that each of an id's sets is one of its own; ``least`` is the document's.
     same = written(facts.groupBy("n", "h", "g").agg(F.min("id").alias("least")), "same")
     ids = same.select(F.col("least").alias("id")).distinct()
-    texts = zipped(src.where("text <> ''"), "text").join(ids, "id", "left_semi")
+    texts = zipped(maybe_in(src.where("text <> ''"), "id", ids), "text").join(ids, "id", "left_semi")
     texts = written(texts.select(F.monotonically_increasing_id().alias("id"), "text", "text_n"), "texts")
     few = written(_with_sets(texts, words, zip_=True), "few")
     reps = few.groupBy("n", "h", "g").agg(F.min("id").alias("lead"))
     reps = written(reps.join(same, ["n", "h", "g"]), "representatives")
     copies = facts.join(reps, ["n", "h", "g"]).select("id", "lead")
-    leads = reps.select(F.col("lead").alias("id"), F.col("n").alias("m"), F.col("n").alias("l"))
+    leads = reps.select(F.col("lead").alias("id"))
+    # a text that another stands for: few, so that the wide rows stay where they are
+    spare = written(few.select("id").join(leads, "id", "left_anti"), "spare")
     # 2. the rarest signatures of each
-    rows = exploded(few.select("id", "sigs").join(leads, "id", "left_semi"))
+    rows = exploded(few.select("id", "sigs", "n").join(spare, "id", "left_anti"), "n")
     counts = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
     rows = rows.join(counts, "sig", "left").withColumn("c", F.coalesce("c", F.lit(1)))
     its = W.partitionBy("ref")  # a document's signatures
     ranked = rows.withColumn("r", F.row_number().over(its.orderBy("c", "sig"))).withColumn("own", F.count(F.when(F.col("c") == 1, 1)).over(its)) \
-        .withColumn("id", F.shiftright("ref", 1)).where("c > 1").join(leads, "id")
+        .where("c > 1").select("sig", F.shiftright("ref", 1).alias("id"), F.col("n").alias("m"), F.col("n").alias("l"), "own", "r")
     budget = F.floor(F.col("m") * (100 - LIKENESS) / LIKENESS).cast("long")
     ranked = written(ranked.select("sig", "id", "m", "l", (F.col("own") / F.col("m")).alias("own"), (F.col("r") <= budget + 1).alias("rare")), "ranked")
     kept = ranked.where("rare").drop("rare")

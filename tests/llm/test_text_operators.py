@@ -300,6 +300,24 @@ def test_jaccard_repeated_null_and_empty(spark):
     assert jaccard.jaccard_components(table(spark, [])).collect() == []
 
 
+def test_maybe_in_keeps_every_key_and_drops_most_others(spark):
+    """Wide rows are dropped before the shuffle of a semi join."""
+    from pyspark.sql import functions as F
+
+    from quarry.llm.common import maybe_in
+
+    rows = spark.range(-20000, 60000).select("id", F.col("id").cast("string").alias("text")) \
+        .unionByName(spark.createDataFrame([(None, "x"), (7, "again")], "id long, text string"))
+    keys = spark.range(0, 60000, 7).unionByName(spark.createDataFrame([(None,), (-(1 << 62),)], "id long"))
+    got = maybe_in(rows, "id", keys)
+    assert got.columns == ["id", "text"]
+    assert got.join(keys, "id", "left_semi").count() == rows.join(keys, "id", "left_semi").count() == 8573
+    assert got.count() < 8573 + 0.1 * 80000
+    assert maybe_in(rows, "id", keys.where("false")).collect() == []
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_jaccard_ids_with_several_texts(spark):
     """An id links through any of its texts, also if one is much longer than the copied one."""
     rnd = random.Random(21)
