@@ -10,16 +10,17 @@ from itertools import filterfalse
 
 import numpy as np
 
-from quarry.llm.common import worker_cache
+from quarry.llm.common import by_bytes, worker_cache
 
 #: Where any of these is, the cut below would not be the tokenizer's: white space other than a space or line feed.
 _OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-_OTHER_SET = frozenset(_OTHER)
 _OTHER_ASCII = [c for c in _OTHER if c.isascii()]
-#: Words kept with their ids by each Python worker.
-CACHED_WORDS = 1_500_000
+#: Words kept with their ids by each Python worker, beside those of the texts at hand.
+CACHED_WORDS = 1_000_000
 #: Words that the library gets as one text.
 JOINED_WORDS = 500
+#: Characters of texts whose words are looked up at once.
+LOOKED_UP = 1 << 20
 
 _POINTS = ".,;:!?%&$*#"
 
@@ -57,6 +58,7 @@ class Encoder:
         feed = tok.encode("\n", add_special_tokens=False).ids
         self.by_word = self.by_word and len(feed) == 1
         self.tok, self.feed = tok, feed[0] if feed else -1
+        self.space = self.whole([" "])[0]
         self.ids: dict[str, bytes] = {}  # of " word" under "word", of "\nword" under itself
         self.tails: dict[str, bytes] = {}  # of runs of points
 
@@ -101,9 +103,37 @@ class Encoder:
         """Whether the cut at spaces and single line feeds is the tokenizer's."""
         if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
             return False
-        if text.isascii():
-            return not any([c in text for c in _OTHER_ASCII])
-        return _OTHER_SET.isdisjoint(set(text))
+        return not any([c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER)])
+
+    def _looked_up(self, rests: list[str]) -> list[bytes]:
+        """Ids of the words of each text, which were behind one space each.
+        Arrow cuts them and numbers the different ones, so that only these are
+        looked up, and puts the ids of all together."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        ends = words.offsets.to_numpy()
+        coded = words.flatten().dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.ids
+        found = list(map(known.get, different))
+        missing = [k for k, x in enumerate(found) if x is None]
+        if len(known) + len(missing) > CACHED_WORDS:  # words of these texts stay, most others are rare
+            known = self.ids = {w: x for w, x in zip(different, found) if x is not None}
+        new = {different[k] for k in missing}
+        new.discard("")
+        self._learn(new)
+        known[""] = self.space  # stands for a space at the end of the text too
+        for k in missing:
+            found[k] = known[different[k]]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        _, offsets, data = ids.buffers()
+        at = np.frombuffer(offsets, np.int64)[ends + ids.offset].tolist()
+        raw = memoryview(data) if data is not None else b""
+        out = [bytes(raw[x:y]) for x, y in zip(at, at[1:])]
+        pa.default_memory_pool().release_unused()
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -113,25 +143,15 @@ class Encoder:
                 (cut if self.by_word and self._plain(text) else whole).append(k)
         for k, ids in zip(whole, self.whole([texts[k] for k in whole]) if whole else ()):
             out[k] = ids
-        if not cut:
-            return out
-        # a line feed becomes a word's mark, so that one split and one look-up do for both kinds of word
-        split = [texts[k].replace("\n", " \n").split(" ") for k in cut]
-        heads = self.whole([w[0] for w in split])
-        known = self.ids
-        for w in split:
-            w[0] = ""  # stands for a space at the end of the text too
-        new: set[str] = set()
-        for w in split:
-            new.update(filterfalse(known.__contains__, w))
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = set().union(*split)
-        new.discard("")
-        self._learn(new)
-        known[""] = self.whole([" "])[0]
-        for k, w, head in zip(cut, split, heads):
-            out[k] = head + b"".join(map(known.__getitem__, w[1:]))
+        for run in by_bytes(cut, lambda k: len(texts[k]), LOOKED_UP):
+            # a line feed becomes a word's mark, so that one cut and one look-up do for both kinds of word
+            split = [texts[k].replace("\n", " \n").partition(" ") for k in run]
+            for k, ids in zip(run, self.whole([head for head, _, _ in split])):
+                out[k] = ids
+            more = [(k, rest) for k, (_, space, rest) in zip(run, split) if space]
+            if more:
+                for (k, _), ids in zip(more, self._looked_up([rest for _, rest in more])):
+                    out[k] += ids
         return out
 
 

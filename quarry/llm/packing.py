@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -10,8 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import written
-from quarry.llm.encoding import encoder
+from quarry.llm.common import by_bytes, written
+from quarry.llm.encoding import LOOKED_UP, encoder
 
 
 class Sizes:
@@ -172,8 +173,10 @@ def best_fit(sizes: dict[int, int], capacity: int) -> list[list[int]]:
     return bins
 
 
-#: Full bins by which a repacked part grows from try to try, and the share of the search's effort that a try has a bin.
-REPACK_STEP, REPACK_EFFORT = 3, 0.15
+#: Full bins by which a repacked part grows from try to try, those up to which it does, and the effort of a try.
+REPACK_STEP, REPACK_GROWN, REPACK_EFFORT = 3, 45, 40
+#: Full bins that are picked first, tries of each number of them, and tries until each has as much effort again.
+PICKED, PICKS, PATIENCE = 12, 4, 40
 
 
 def least_bins(sizes: dict[int, int], capacity: int) -> int:
@@ -186,28 +189,42 @@ def repacked(bins: list[list[int]], capacity: int, bound: int, effort: int) -> l
 
     Nearly all bins of best-fit decreasing are full, and what is lost lies in
     the others. These and the full bins of the most items, a few more from try
-    to try, are searched on their own. All tries have no more steps than the
-    search of all bins, so that where none helps the work is doubled at most.
+    to try, are searched on their own, then these and full bins picked by
+    chance among those of the most items: where some do not help, others
+    mostly do, and many short tries find them sooner than a few long ones. All
+    tries have no more steps than the search of all bins, so that where none
+    helps the work is doubled at most. Reruns pick the same.
     """
-    left, each = effort * len(bins), max(1, round(effort * REPACK_EFFORT))
+    left, each, rng = effort * len(bins), min(effort, REPACK_EFFORT), random.Random(0)
     while len(bins) > bound:
         ends = [b for b in bins if sum(b) < capacity]
         full = sorted([b for b in bins if sum(b) == capacity], key=lambda b: (-len(b), min(b)))
-        useful = sum(len(b) > 1 for b in full)
-        for m in range(0, useful + REPACK_STEP, REPACK_STEP):
-            part = ends + full[:m]
-            left -= each * len(part)
+        for which, more in _parts(sum(len(b) > 1 for b in full), rng):
+            part = ends + [full[i] for i in which]
+            left -= each * more * len(part)
             if left < 0:
                 return bins
-            fewer = searched(part, capacity, each)
+            fewer = searched(part, capacity, each * more)
             if len(fewer) < len(part):
-                bins = fewer + full[m:]
+                taken = set(which)
+                bins = fewer + [b for i, b in enumerate(full) if i not in taken]
                 break
         else:
             return bins
     return bins
 
 
+def _parts(useful: int, rng: random.Random):
+    """(which of the full bins, times the effort) for each try."""
+    for m in range(0, min(useful + REPACK_STEP, REPACK_GROWN), REPACK_STEP):
+        yield range(min(m, useful)), 1
+    k = 0
+    while useful > REPACK_GROWN:
+        m = min(useful, PICKED + k // PICKS * REPACK_STEP)
+        yield rng.sample(range(min(useful, 4 * m)), m), 1 + k // PATIENCE
+        k += 1
+
+
 def pack_sizes(sizes: dict[int, int], capacity: int, effort: int = 2000) -> list[list[int]]:
     """Bins of items with the given sizes (size -> how many; 1 to capacity).
 
@@ -342,6 +359,11 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
     pieces of that length, of which the first may be shorter. ``ids`` are
     little-endian uint32 bytes. A null text is empty and so has one id.
     """
+    def rows(b):
+        for lo in range(0, b.num_rows, 250):
+            run = b.slice(lo, 250)
+            yield from zip(run.column(0).to_pylist(), [t or "" for t in run.column(1).to_pylist()])
+
     def cut(batches):
         import pyarrow as pa
 
@@ -349,11 +371,9 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
         end = np.array([end_id], "<u4").tobytes()
         width = 4 * capacity
         for b in batches:
-            for lo in range(0, b.num_rows, 250):
-                run = b.slice(lo, 250)
+            for run in by_bytes(rows(b), lambda r: len(r[1]), LOOKED_UP):
                 cols: list[list] = [[], [], [], [], [], []]
-                texts = [t or "" for t in run.column(1).to_pylist()]
-                for i, ids in zip(run.column(0).to_pylist(), enc.encode(texts)):
+                for (i, _), ids in zip(run, enc.encode([t for _, t in run])):
                     ids += end
                     cuts = [0, *range(len(ids) % width or width, len(ids) + 1, width)]
                     for k, (x, y) in enumerate(zip(cuts, cuts[1:])):
@@ -361,7 +381,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
                         for c, v in zip(cols, (i, k, x // 4, (y - x) // 4, zlib.crc32(part), part if keep_ids else None)):
                             c.append(v)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, [run.column(0).type, pa.int32(), pa.int64(), pa.int64(),
+                    [pa.array(c, t) for c, t in zip(cols, [b.column(0).type, pa.int32(), pa.int64(), pa.int64(),
                                                            pa.int64(), pa.binary()])][:6 if keep_ids else 5],
                     [id_col, "piece", "start", "length", "ids_crc32", "ids"][:6 if keep_ids else 5])
 

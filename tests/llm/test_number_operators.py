@@ -11,8 +11,8 @@ import pytest
 from quarry.llm import token_files as tf
 from quarry.llm.encoding import Encoder, public_path
 from quarry.llm.mixing import mix_sources
-from quarry.llm.packing import (Fillings, Sizes, best_fit, cut_pieces, least_bins, pack_documents, pack_pieces, pack_sizes, searched,
-                                sequences)
+from quarry.llm.packing import (Fillings, Sizes, best_fit, cut_pieces, least_bins, pack_documents, pack_pieces, pack_sizes, repacked,
+                                searched, sequences)
 from quarry.llm.topk import exact_top_k
 from tests.llm.brute import ODD, words
 
@@ -48,6 +48,17 @@ def test_encoder_is_the_tokenizers(tokenizer, monkeypatch, kept, joined):
             tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_keeps_the_words_at_hand_when_its_cache_is_full(monkeypatch):
+    from quarry.llm import encoding
+    monkeypatch.setattr(encoding, "CACHED_WORDS", 3)
+    enc, learned = Encoder(public_path()), []
+    learn = enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda new: (learned.append(sorted(new)), learn(new)))
+    for text in ("x one two three", "x one two three four", "x four one"):
+        enc.encode([text])
+    assert learned == [["one", "three", "two"], ["four"], []]
+
+
 # ---- token files
 
 def test_codes_read_any_token():
@@ -107,6 +118,17 @@ def test_pack_sizes_repacks_the_bins_that_are_not_full():
     assert len(bins) == least_bins(sizes, 2048) < len(searched(best_fit(sizes, 2048), 2048, 300))
 
 
+def test_repacked_picks_other_bins_where_the_first_do_not_help():
+    """Parts that only grow end one bin above the bound here."""
+    rnd = random.Random(166)
+    sizes = Counter(min(2048, int(rnd.lognormvariate(6.7, 0.9)) + 1) for _ in range(1000))
+    best, bound = best_fit(sizes, 2048), least_bins(sizes, 2048)
+    bins = repacked(best, 2048, bound, 300)
+    assert Counter(s for b in bins for s in b) == sizes and all(sum(b) <= 2048 for b in bins)
+    assert len(bins) == bound < len(best)
+    assert bins == repacked(best, 2048, bound, 300)
+
+
 def test_pack_sizes_finds_the_optimum():
     """Against exhaustive search on small cases."""
     def least(items, cap):
