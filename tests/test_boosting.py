@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from quarry.operators import boosting as B
 from quarry.operators import models as ML
+from quarry.plans import ml
+
+SF001 = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -56,3 +59,22 @@ def test_many_values_nan_and_bad_rows(spark, monkeypatch):
             B.BoostedTrees(labelCol="y", maxIter=1).fit(bad)
     with pytest.raises(ValueError, match="rows"):
         B.BoostedTrees(labelCol="y", maxIter=1).fit(d.limit(0))
+
+
+class _Asked(Exception):
+    pass
+
+
+def _asked(self, df):
+    raise _Asked(self)
+
+
+@pytest.mark.parametrize("build, params, patience", [
+    (ml.boosted_trees_delay, {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "minInstancesPerNode": 500}, 50)])
+def test_registered_fits_have_the_rounds_of_the_reference(spark, monkeypatch, build, params, patience):
+    monkeypatch.setattr(ML.GBTClassifier, "_fit", _asked)
+    with pytest.raises(_Asked) as e:
+        build(spark, SF001)
+    fit = e.value.args[0]
+    assert {k: fit.getOrDefault(k) for k in params} == params
+    assert fit.patience == patience if patience else fit.held is None
