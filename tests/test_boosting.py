@@ -70,7 +70,8 @@ def _asked(self, df):
 
 
 @pytest.mark.parametrize("build, params, patience", [
-    (ml.boosted_trees_delay, {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "minInstancesPerNode": 500}, 50)])
+    (ml.boosted_trees_delay, {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "minInstancesPerNode": 500}, 50),
+    (ml.boosted_trees_noshow, {"maxIter": 200, "maxDepth": 5, "stepSize": 0.05, "minInstancesPerNode": 20}, None)])
 def test_registered_fits_have_the_rounds_of_the_reference(spark, monkeypatch, build, params, patience):
     monkeypatch.setattr(ML.GBTClassifier, "_fit", _asked)
     with pytest.raises(_Asked) as e:
